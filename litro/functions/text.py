@@ -38,7 +38,8 @@ def _tables() -> tuple[str, str, dict[str, str]]:
     source, target, several, deleted = [], [], {}, []
     for code in (c for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF):
         ch = chr(code)
-        folded = fold_plain(ch)
+        plain = code > 0x7F and not unicodedata.decomposition(ch) and ch.upper() == ch
+        folded = "" if plain else fold_plain(ch)
         if len(folded) > 1:
             if ch != "ß":  # `upper` already gives SS
                 several[ch] = folded
@@ -62,7 +63,8 @@ def fold_text(c: Column) -> Column:
     """Match key of a text column, without Python workers."""
     source, target, several = _tables()
     folded = F.upper(F.translate(c, source, target))
-    table = F.create_map(*[F.lit(v) for pair in several.items() for v in pair])
+    pairs = ";".join(f"{ch}={key}" for ch, key in several.items())
+    table = F.str_to_map(F.lit(pairs), F.lit(";"), F.lit("="))
     found = F.regexp_extract_all(folded, F.lit(f"({_char_class(list(several))})"), F.lit(1))
     expanded = F.aggregate(
         F.array_distinct(found), folded, lambda text, ch: F.replace(text, ch, table[ch])

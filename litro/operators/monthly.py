@@ -49,12 +49,12 @@ def price_statistics(histogram: DataFrame, keys: Sequence[str] = GOLD_KEYS) -> D
     mean = F.try_divide(F.col("amount").cast("double"), F.col("total"))
     off = price.cast("double") - mean
     # The two middle observations (the same one for an odd count).
-    has_rank = lambda rank: F.min(F.when(F.col("up_to") >= rank, price))
+    has_rank = lambda rank: F.min(F.when(F.col("up_to") >= rank, price)).cast("double")
     lower = has_rank(F.expr("(total + 1) div 2"))
     upper = has_rank(F.expr("total div 2 + 1"))
     return ranked.groupBy(*keys).agg(
         F.max(mean).alias("preco_medio"),
-        ((lower + upper).cast("double") / 2).alias("preco_mediano"),
+        ((lower + upper) / 2).alias("preco_mediano"),
         F.min(price).cast("double").alias("preco_minimo"),
         F.max(price).cast("double").alias("preco_maximo"),
         F.sqrt(F.try_divide(F.sum(F.col("n") * off * off), F.max("total") - 1)).alias(
