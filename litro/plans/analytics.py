@@ -42,7 +42,10 @@ def overview_by_product(gold: DataFrame) -> DataFrame:
 
 
 def _weighted() -> list[Column]:
-    weighted = F.sum(F.col("preco_medio") * F.col("qtd_coletas")) / F.sum("qtd_coletas")
+    # Amounts are summed as decimals: the same total, and so the same rounding of a tie, however
+    # the rows are partitioned.
+    amount = (F.col("preco_medio") * F.col("qtd_coletas")).cast("decimal(28,6)")
+    weighted = F.sum(amount).cast("double") / F.sum("qtd_coletas")
     return [
         half_away(weighted, 2).alias("preco_medio_ponderado"),
         F.sum("qtd_coletas").alias("total_coletas"),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +27,11 @@ def build_session(app: str = "litro", cpus: int | None = None, **conf: str) -> S
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="litro-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for staged tables, below the shared folder the cluster names.
 
@@ -37,6 +42,5 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
-        shared = os.environ.get("LITRO_LOCAL_WORK") or tempfile.mkdtemp(prefix="litro-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/litro/{purpose}-{uuid.uuid4().hex[:12]}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from litro.schemas import DIMENSION, GOLD, GOLD_GRAIN, PARTITION, SILVER
@@ -63,10 +63,12 @@ def publish_silver(df: DataFrame, root: str) -> None:
 
 def publish_gold(df: DataFrame, root: str) -> list[str]:
     """`ano=…` folders, sorted by grain inside each file; returns the folders written."""
-    dated = df.select(*GOLD.fieldNames(), F.year("ano_mes").alias("ano"))
+    seen = Observation()
+    dated = df.select(*GOLD.fieldNames(), F.year("ano_mes").alias("ano")).observe(
+        seen, F.collect_set("ano").alias("years")
+    )
     write_partitioned(dated, root, ["ano"], GOLD_GRAIN)
-    years = sorted(r.ano for r in dated.select("ano").distinct().collect())
-    return [f"{root.rstrip('/')}/ano={year}" for year in years]
+    return [f"{root.rstrip('/')}/ano={year}" for year in sorted(seen.get["years"])]
 
 
 def write_dimension(df: DataFrame, root: str) -> None:

@@ -21,7 +21,7 @@ from litro.plans.silver_to_gold import silver_to_gold
 from litro.schemas import PARTITION
 from litro.session import work_folder
 from litro.sources.archives import land_archives, one_row_batches
-from litro.sources.layers import publish_gold, publish_silver
+from litro.sources.layers import publish_gold, publish_silver, write_partitioned
 from litro.sources.remote import open_filesystem
 from litro.workload import views
 
@@ -45,11 +45,21 @@ def once(build: Callable[[SparkSession, str, str], None]) -> Callable[[SparkSess
     return folder
 
 
+@once
+def observations(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """The joined tables, stored by partition: every other layer is cut from them."""
+    write_partitioned(views.observations(spark, sf_dir), target, PARTITION)
+
+
+def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(observations(spark, sf_dir))
+
+
 @once
 def bronze(spark: SparkSession, sf_dir: str, target: str) -> None:
     """CSV files whose headers drift: complete in most years; without the brand up to 1996;
     with a new column, in another order, from 2000 on."""
-    raw = views.raw(spark, sf_dir)
+    raw = views.raw(observed(spark, sf_dir))
     data = [c for c in raw.columns if c not in PARTITION]
     year = F.col("ano")
     versions = [
@@ -116,7 +126,7 @@ def silver(spark: SparkSession, sf_dir: str, target: str) -> None:
 @once
 def first_halves(spark: SparkSession, sf_dir: str, target: str) -> None:
     """A Silver folder still without the second semesters."""
-    publish_silver(views.silver(spark, sf_dir).where("semestre = 1"), target)
+    publish_silver(views.silver(observed(spark, sf_dir)).where("semestre = 1"), target)
 
 
 @once
@@ -142,4 +152,4 @@ def gold(spark: SparkSession, sf_dir: str, target: str) -> None:
 @once
 def direct_gold(spark: SparkSession, sf_dir: str, target: str) -> None:
     """Gold published straight from the typed tables; the analytical queries read it."""
-    publish_gold(monthly_prices(views.enriched(spark, sf_dir)), target)
+    publish_gold(monthly_prices(views.enriched(observed(spark, sf_dir))), target)

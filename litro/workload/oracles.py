@@ -99,7 +99,10 @@ SHARE = """count(*) AS total, count(*) FILTER (WHERE razao_etanol_gasolina < 0.7
   round(cast(100.0 * count(*) FILTER (WHERE razao_etanol_gasolina < 0.70) AS double) / count(*), 2)
     AS percentual_abaixo_070"""
 
-WEIGHTED = """round(sum(preco_medio * qtd_coletas) / sum(qtd_coletas), 2) AS preco_medio_ponderado,
+# The amounts are summed as decimals. As doubles the sum depends on the order in which threads meet,
+# and a mean that ends in exactly half a cent is then rounded up in one run and down in the next.
+WEIGHTED = """round(cast(sum(cast(preco_medio * qtd_coletas AS decimal(28,6))) AS double)
+    / sum(qtd_coletas), 2) AS preco_medio_ponderado,
   cast(sum(qtd_coletas) AS bigint) AS total_coletas"""
 
 
@@ -400,6 +403,28 @@ ORACLES: dict[str, str] = {
           total_linhas - linhas AS duplicatas_exatas, '{"|".join(RAW_HEADINGS)}' AS colunas
         FROM size JOIN copy USING (ano, semestre) LEFT JOIN collision USING (ano, semestre)""",
     ),
+    "bronze_profile": with_(
+        f"""{RAW},
+        size AS (SELECT ano, semestre, count(*) AS total_linhas,
+          min(cast(strptime(data_coleta, '%d/%m/%Y') AS date)) AS data_minima,
+          max(cast(strptime(data_coleta, '%d/%m/%Y') AS date)) AS data_maxima,
+          count(*) FILTER (WHERE municipio IS NULL) AS linhas_vazias,
+          {" + ".join(f"cast(count(*) > count({c}) AS int)" for c in RAW_COLUMNS.split(", "))} AS com_nulos,
+          cast(count(*) > count(bandeira) AS int) AS bandeira_com_nulos
+          FROM raw GROUP BY 1, 2),
+        collision AS (SELECT ano, semestre, count(*) AS colisoes FROM (SELECT ano, semestre FROM raw
+          WHERE cnpj_revenda IS NOT NULL GROUP BY ano, semestre, cnpj_revenda, produto, data_coleta
+          HAVING count(*) > 1) GROUP BY 1, 2),
+        copy AS (SELECT ano, semestre, count(*) AS linhas FROM (SELECT DISTINCT * FROM raw) GROUP BY 1, 2)""",
+        """SELECT ano, semestre, total_linhas,
+          cast(CASE WHEN ano <= 1996 THEN 15 WHEN ano < 2000 THEN 16 ELSE 17 END AS bigint) AS total_colunas,
+          data_minima, data_maxima, coalesce(colisoes, 0) AS colisoes_chave_candidata,
+          total_linhas - linhas AS duplicatas_exatas, linhas_vazias,
+          cast(com_nulos - CASE WHEN ano <= 1996 THEN bandeira_com_nulos ELSE 0 END
+            + CASE WHEN ano >= 2000 AND linhas_vazias > 0 THEN 1 ELSE 0 END AS int) AS colunas_com_nulos,
+          ano > 1996 AS tem_bandeira
+        FROM size JOIN copy USING (ano, semestre) LEFT JOIN collision USING (ano, semestre)""",
+    ),
     "csv_scan": with_(RAW, SCANNED),
     "file_discovery": with_(
         OBS, "SELECT DISTINCT 'ano=' || ano || '/semestre=' || semestre AS pasta FROM obs"

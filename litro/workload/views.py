@@ -108,37 +108,33 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir).select(*SILVER.fieldNames(), *PARTITION)
+def silver(obs: DataFrame) -> DataFrame:
+    return obs.select(*SILVER.fieldNames(), *PARTITION)
 
 
-def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enriched(obs: DataFrame) -> DataFrame:
     official = {"municipio": "municipio_oficial", "regiao": "regiao_oficial"}
-    return observations(spark, sf_dir).select(
+    return obs.select(
         "data_coleta",
         "valor_venda",
         *[F.col(official.get(c, c)).alias(c) for c in GOLD_KEYS if c != "ano_mes"],
     )
 
 
-def misspelt(spark: SparkSession, sf_dir: str) -> DataFrame:
+def misspelt(obs: DataFrame) -> DataFrame:
     """Silver rows, some with a municipality name no official list has."""
     name = F.when(F.col("l_quantity") == 7, F.concat(F.lit("VILA "), "municipio")).otherwise(
         F.col("municipio")
     )
-    return (
-        observations(spark, sf_dir)
-        .withColumn("municipio", name)
-        .select(*SILVER.fieldNames(), *PARTITION)
-    )
+    return obs.withColumn("municipio", name).select(*SILVER.fieldNames(), *PARTITION)
 
 
-def faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+def faulty(obs: DataFrame) -> DataFrame:
     """Silver rows with one kind of fault for each of six quantities."""
     quantity = F.col("l_quantity")
     price = F.col("valor_venda")
     return (
-        observations(spark, sf_dir)
+        obs
         .withColumns(
             {
                 "valor_venda": F.when(quantity == 1, None)
@@ -157,9 +153,8 @@ def faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw(obs: DataFrame) -> DataFrame:
     """Bronze text under the source's headings, with exact copies and blank rows added."""
-    obs = observations(spark, sf_dir)
     cnpj, cep = F.col("cnpj_revenda"), F.col("cep")
     old_unit = (F.col("unidade_medida") == "R$ / m³") & (F.col("l_linenumber") > 3)
     text = {
