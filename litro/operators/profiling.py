@@ -108,7 +108,7 @@ def partition_profile(df: DataFrame) -> DataFrame:
             {"nulos": null_map, "colunas": F.array(*[F.lit(c) for c in columns])}
         )
         .drop(*[f"n{i}" for i in range(len(columns))])
-        .join(lists, list(PARTITION))
+        .join(lists, list(PARTITION), "left")
     )
 
 

@@ -19,7 +19,7 @@ def profile_bronze(spark: SparkSession, bronze: str, glob: str = "*.csv") -> Dat
     )
     return (
         profile.drop("colunas", "total_colunas")
-        .join(own, list(PARTITION))
+        .join(own, list(PARTITION), "left")
         .withColumns(
             {
                 "total_colunas": F.size("colunas").cast("bigint"),

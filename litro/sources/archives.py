@@ -41,7 +41,13 @@ def extract_member(content: bytes, folder: str) -> tuple[int, str | None, int |
     hidden = f"{inner}/.{name}.{uuid.uuid4().hex}"
     with archive.open(members[0]) as source, store.open_output_stream(hidden) as target:
         shutil.copyfileobj(source, target, 1 << 20)
-    store.move(hidden, f"{inner}/{name}")
+    try:
+        store.move(hidden, f"{inner}/{name}")
+    except OSError:
+        # Some stores refuse to replace a file: fine if a first attempt already landed all of it.
+        store.delete_file(hidden)
+        if store.get_file_info(f"{inner}/{name}").size != members[0].file_size:
+            raise
     return 1, f"{folder}/{name}", members[0].file_size, None
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litro.schemas import PARTITION
+from litro.sources.remote import surely_absent
 
 
 def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
@@ -72,6 +73,8 @@ def coverage_gaps(expected: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def has_files(spark: SparkSession, root: str, glob: str) -> bool:
+    if surely_absent(root):  # spares Spark a logged failure
+        return False
     try:
         return not list_files(spark, root, glob).select("path").isEmpty()
     except AnalysisException as problem:

@@ -20,6 +20,17 @@ def open_filesystem(path: str):
     return store, base.rstrip("/") + inner
 
 
+def surely_absent(path: str) -> bool:
+    """True if the path can be looked up from here and does not exist."""
+    from pyarrow import ArrowException, fs
+
+    try:
+        store, inner = open_filesystem(path)
+        return store.get_file_info(inner).type == fs.FileType.NotFound
+    except (ArrowException, OSError):
+        return False
+
+
 def first_line(path: str, step: int = 1 << 16) -> bytes:
     """The bytes before the first line end; reads only as far as needed."""
     store, inner = open_filesystem(path)
