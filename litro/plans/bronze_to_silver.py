@@ -70,7 +70,7 @@ def bronze_to_silver(
     good = [k for k in keys if k not in problems]
     if good:
         shapes = header_shapes(headers.where(partition_filter(good)))
-        raw = scan_bronze(spark, bronze, glob, shapes).where(partition_filter(good))
+        raw = scan_bronze(spark, bronze, glob, shapes)
         typed = stage(to_silver(raw, strict=False), "silver")
         for row in report(typed, rules, PARTITION).where("violations > 0").collect():
             problems.setdefault((row.ano, row.semestre), {})[row.check] = row.violations

@@ -17,6 +17,8 @@ def build_session(app: str = "litro", cpus: int | None = None, **conf: str) -> S
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(cpus or 8),
+        # Small tables: let a few MB be a task, or writes would run on one core.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

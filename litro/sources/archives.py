@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from litro.schemas import PARTITION
 from litro.session import work_folder
 from litro.sources.files import partitions, pending
-from litro.sources.remote import open_filesystem
+from litro.sources.remote import open_filesystem, qualified
 
 MANIFEST = (
     "path string, ano int, semestre int, membros_csv int, destino string, bytes bigint, erro string"
@@ -86,7 +86,7 @@ def land_archives(spark: SparkSession, archives: str, bronze: str) -> DataFrame:
     )
     todo = pending(files, partitions(spark, bronze, "*.csv")).select(files.columns)
     target = work_folder(spark, "landing")
-    landed = todo.mapInPandas(partial(land_batches, bronze=bronze.rstrip("/")), MANIFEST)
+    landed = todo.mapInPandas(partial(land_batches, bronze=qualified(spark, bronze)), MANIFEST)
     with one_row_batches(spark):
         landed.write.parquet(target)
     return spark.read.schema(MANIFEST).parquet(target)

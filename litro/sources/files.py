@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litro.schemas import PARTITION
-from litro.sources.remote import surely_absent
+from litro.sources.remote import exists
 
 
 def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
@@ -73,14 +72,7 @@ def coverage_gaps(expected: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def has_files(spark: SparkSession, root: str, glob: str) -> bool:
-    if surely_absent(root):  # spares Spark a logged failure
-        return False
-    try:
-        return not list_files(spark, root, glob).select("path").isEmpty()
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    return exists(spark, root) and not list_files(spark, root, glob).select("path").isEmpty()
 
 
 def require_files(spark: SparkSession, root: str, glob: str, what: str) -> None:

@@ -1,13 +1,32 @@
-"""Opening single files from inside a task, for what no Spark source reads piecewise."""
+"""Paths outside DataFrames: existence on the driver, single files opened inside a task."""
 
 from __future__ import annotations
 
 import re
 
+from pyspark.sql import SparkSession
+
 # Hadoop scheme names that Arrow spells differently.
 ARROW_SCHEME = {"s3a": "s3", "s3n": "s3"}
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(Hadoop file system, path with scheme and authority), by the cluster's own defaults."""
+    raw = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = raw.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store, store.makeQualified(raw)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, full = hadoop_path(spark, path)
+    return store.exists(full)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """Path as tasks need it: independent of the default file system and working folder."""
+    return hadoop_path(spark, path)[1].toString()
+
+
 def open_filesystem(path: str):
     """(Arrow file system, path inside it) for a path as Spark's listings give it."""
     from pyarrow import fs
@@ -20,17 +39,6 @@ def open_filesystem(path: str):
     return store, base.rstrip("/") + inner
 
 
-def surely_absent(path: str) -> bool:
-    """True if the path can be looked up from here and does not exist."""
-    from pyarrow import ArrowException, fs
-
-    try:
-        store, inner = open_filesystem(path)
-        return store.get_file_info(inner).type == fs.FileType.NotFound
-    except (ArrowException, OSError):
-        return False
-
-
 def first_line(path: str, step: int = 1 << 16) -> bytes:
     """The bytes before the first line end; reads only as far as needed."""
     store, inner = open_filesystem(path)

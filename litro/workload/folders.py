@@ -22,7 +22,7 @@ from litro.schemas import PARTITION
 from litro.session import work_folder
 from litro.sources.archives import land_archives, one_row_batches
 from litro.sources.layers import publish_gold, publish_silver, write_partitioned
-from litro.sources.remote import open_filesystem
+from litro.sources.remote import open_filesystem, qualified
 from litro.workload import views
 
 _written: dict[tuple, str] = {}
@@ -84,7 +84,7 @@ def archives(spark: SparkSession, sf_dir: str, target: str) -> None:
         .load(bronze(spark, sf_dir))
         .select("path", "content", *PARTITION)
     )
-    zipped = files.mapInPandas(partial(zip_files, target=target), "path string")
+    zipped = files.mapInPandas(partial(zip_files, target=qualified(spark, target)), "path string")
     with one_row_batches(spark):
         zipped.agg(F.count("path")).collect()
 
