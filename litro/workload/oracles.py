@@ -51,6 +51,13 @@ raw AS ({RAW_TEXT} FROM obs
   UNION ALL {RAW_TEXT} FROM obs WHERE l_quantity = 50
   UNION ALL SELECT {"NULL, " * 16} ano, semestre FROM obs WHERE l_discount = 0 AND l_tax = 0)"""
 
+CLEAN = f"""{RAW},
+clean AS (SELECT regiao, uf, municipio, revenda, regexp_replace(cnpj_revenda, '[^0-9]', '', 'g') AS cnpj_revenda,
+  regexp_replace(cep, '[^0-9]', '', 'g') AS cep, produto, cast(strptime(data_coleta, '%d/%m/%Y') AS date) AS data_coleta,
+  cast(replace(valor_venda, ',', '.') AS decimal(10,2)) AS valor_venda,
+  CASE WHEN unidade_medida = 'R$ / m3' THEN 'R$ / m³' ELSE unidade_medida END AS unidade_medida, bandeira, ano, semestre
+  FROM (SELECT DISTINCT * FROM raw) WHERE coalesce({RAW_COLUMNS}) IS NOT NULL)"""
+
 SILVER_COLUMNS = (
     "regiao, uf, municipio, revenda, cnpj_revenda, cep, produto, data_coleta, "
     "cast(valor_venda AS double) AS valor_venda, unidade_medida, bandeira"
@@ -263,9 +270,9 @@ ORACLES: dict[str, str] = {
         "SELECT regiao, uf, municipio, revenda, cnpj_revenda, cast(NULL AS varchar) AS cep, produto, data_coleta, "
         "valor_venda, unidade_medida, cast(NULL AS varchar) AS bandeira, ano, semestre FROM raw",
     ),
-    "drop_blank_rows": with_(RAW, "SELECT * FROM raw WHERE municipio IS NOT NULL"),
+    "drop_blank_rows": with_(RAW, f"SELECT * FROM raw WHERE coalesce({RAW_COLUMNS}) IS NOT NULL"),
     "exact_dedup": with_(RAW, "SELECT DISTINCT * FROM raw"),
-    "silver_transform": with_(OBS, f"SELECT {SILVER_COLUMNS}, ano, semestre FROM obs"),
+    "silver_transform": with_(CLEAN, f"SELECT {SILVER_COLUMNS}, ano, semestre FROM clean"),
     "distinct_values": with_(
         RAW, "SELECT DISTINCT unidade_medida AS valor FROM raw WHERE unidade_medida IS NOT NULL"
     ),
@@ -430,7 +437,7 @@ ORACLES: dict[str, str] = {
         OBS, "SELECT DISTINCT 'ano=' || ano || '/semestre=' || semestre AS pasta FROM obs"
     ),
     "partition_metadata": with_(OBS, EACH_PARTITION),
-    "parquet_union_scan": with_(OBS, f"SELECT {SILVER_FROM_FILES} FROM obs"),
+    "parquet_union_scan": with_(CLEAN, f"SELECT {SILVER_FROM_FILES} FROM clean"),
     "parquet_sink_roundtrip": with_(
         OBS, f"SELECT {SILVER_COLUMNS}, ano, semestre FROM obs WHERE semestre = 1"
     ),
@@ -440,7 +447,7 @@ ORACLES: dict[str, str] = {
         "SELECT cast(year(ano_mes) AS int) AS ano, count(*) AS linhas, min(ano_mes) AS primeira, "
         "max(ano_mes) AS ultima, cast(sum(qtd_coletas) AS bigint) AS coletas FROM gold GROUP BY 1",
     ),
-    "bronze_to_silver": with_(OBS, f"SELECT {SILVER_FROM_FILES}, ano, semestre FROM obs"),
+    "bronze_to_silver": with_(CLEAN, f"SELECT {SILVER_FROM_FILES}, ano, semestre FROM clean"),
     "silver_to_gold": with_(GOLD_ROUNDED, "SELECT * FROM gold"),
     "zip_landing": with_(RAW, SCANNED),
     "incremental_pending": with_(
