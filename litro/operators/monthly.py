@@ -49,9 +49,8 @@ def price_statistics(histogram: DataFrame, keys: Sequence[str] = GOLD_KEYS) -> D
     mean = F.try_divide(F.col("amount").cast("double"), F.col("total"))
     off = price.cast("double") - mean
     # The two middle observations (the same one for an odd count).
-    has_rank = lambda rank: F.min(F.when(F.col("up_to") >= rank, price)).cast("double")
-    lower = has_rank(F.expr("(total + 1) div 2"))
-    upper = has_rank(F.expr("total div 2 + 1"))
+    lower = F.min(F.when(F.expr("up_to >= (total + 1) div 2"), price)).cast("double")
+    upper = F.min(F.when(F.expr("up_to >= total div 2 + 1"), price)).cast("double")
     return ranked.groupBy(*keys).agg(
         F.max(mean).alias("preco_medio"),
         ((lower + upper) / 2).alias("preco_mediano"),

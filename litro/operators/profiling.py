@@ -55,7 +55,8 @@ def max_decimal_places(df: DataFrame, column: str) -> DataFrame:
 def sorted_values(c: Column) -> Column:
     """Aggregate: distinct values in order, null first if there is one."""
     null = F.when(F.count_if(c.isNull()) > 0, F.array(F.lit(None).cast("string")))
-    return F.concat(F.coalesce(null, F.array().cast("array<string>")), F.sort_array(F.collect_set(c)))
+    first = F.coalesce(null, F.array().cast("array<string>"))
+    return F.concat(first, F.sort_array(F.collect_set(c)))
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

@@ -43,7 +43,9 @@ class HeaderShape:
 
 
 def split_header(line: str) -> list[str]:
-    return next(csv.reader([line], delimiter=DELIMITER, quotechar=QUOTE), [])
+    """Headings of a header line; an empty one is named by its position, as Spark does."""
+    names = next(csv.reader([line], delimiter=DELIMITER, quotechar=QUOTE), [])
+    return [name or f"_c{i}" for i, name in enumerate(names)]
 
 
 def read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,7 +81,8 @@ def header_drift(headers: DataFrame) -> DataFrame:
 
 def header_shapes(headers: DataFrame) -> list[HeaderShape]:
     """Groups files by header. A folder whose files agree is read as a folder."""
-    headed = [(r.pasta, tuple(r.colunas)) for r in headers.select("pasta", "colunas").distinct().collect()]
+    distinct = headers.select("pasta", "colunas").distinct().collect()
+    headed = [(r.pasta, tuple(r.colunas)) for r in distinct]
     times = Counter(folder for folder, _ in headed)
     by_header = defaultdict(list)
     for folder, columns in headed:
@@ -96,6 +99,8 @@ def read_shape(
     spark: SparkSession, root: str, shape: HeaderShape, glob: str = "*.csv", **options: str
 ) -> DataFrame:
     """All files of one header, every column a string, plus ano and semestre from the path."""
+    if not shape.columns:
+        raise ValueError(f"Files without a header line: {shape.paths}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in shape.columns])
     settings = {
         "header": "true",

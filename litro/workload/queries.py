@@ -16,6 +16,7 @@ from litro.schemas import DIMENSION, GOLD, PARTITION, PRODUCTS, SILVER, STATES,
 from litro.sources import delimited, files, layers
 from litro.sources.municipalities import read_municipalities
 from litro.workload import folders, views
+from litro.workload.folders import observed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,10 +29,8 @@ def query(run: Query) -> Query:
 
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles, as other engines hand them out."""
-    kinds = dict(df.dtypes)
-    return df.select(
-        *[named(c).cast("double").alias(c) if kinds[c].startswith("decimal") else named(c) for c in df.columns]
-    )
+    decimals = [c for c, kind in df.dtypes if kind.startswith("decimal")]
+    return df.withColumns({c: named(c).cast("double") for c in decimals})
 
 
 def rounded_deviation(gold: DataFrame) -> DataFrame:
@@ -48,7 +47,7 @@ def published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_monthly_prices(spark, sf_dir):
-    return rounded_deviation(monthly.monthly_prices(views.enriched(folders.observed(spark, sf_dir))))
+    return rounded_deviation(monthly.monthly_prices(views.enriched(observed(spark, sf_dir))))
 
 
 @query
@@ -139,13 +138,13 @@ def decimal_comma(spark, sf_dir):
     """A second comma is appended, so that only the first may change."""
     price = named("Valor de Venda")
     entry = F.concat(price, F.lit(","), named("Numero Rua")).alias("entrada")
-    raw = views.raw(folders.observed(spark, sf_dir)).select(entry)
+    raw = views.raw(observed(spark, sf_dir)).select(entry)
     return raw.select("entrada", values.decimal_comma(F.col("entrada")).alias("saida"))
 
 
 @query
 def digits_only(spark, sf_dir):
-    return views.raw(folders.observed(spark, sf_dir)).select(
+    return views.raw(observed(spark, sf_dir)).select(
         values.digits_only(named("CNPJ da Revenda")).alias("cnpj_revenda"),
         values.digits_only(named("Cep")).alias("cep"),
     )
@@ -154,7 +153,7 @@ def digits_only(spark, sf_dir):
 @query
 def date_parse(spark, sf_dir):
     day = named("Data da Coleta")
-    return views.raw(folders.observed(spark, sf_dir)).select(
+    return views.raw(observed(spark, sf_dir)).select(
         day.alias("texto"), values.to_date(day).alias("data_coleta")
     )
 
@@ -163,7 +162,7 @@ def date_parse(spark, sf_dir):
 def decimal_cast(spark, sf_dir):
     price = named("Valor de Venda")
     return comparable(
-        views.raw(folders.observed(spark, sf_dir)).select(
+        views.raw(observed(spark, sf_dir)).select(
             price.alias("texto"),
             values.to_price(values.decimal_comma(price)).alias("valor_venda"),
         )
@@ -174,7 +173,7 @@ def decimal_cast(spark, sf_dir):
 def unit_normalize(spark, sf_dir):
     unit = named("Unidade de Medida")
     return (
-        views.raw(folders.observed(spark, sf_dir))
+        views.raw(observed(spark, sf_dir))
         .select(unit.alias("original"), values.unit_spelling(unit).alias("unidade_medida"))
         .groupBy("original", "unidade_medida")
         .agg(F.count(F.lit(1)).alias("linhas"))
@@ -184,7 +183,7 @@ def unit_normalize(spark, sf_dir):
 @query
 def month_trunc(spark, sf_dir):
     return (
-        views.silver(folders.observed(spark, sf_dir))
+        views.silver(observed(spark, sf_dir))
         .groupBy(values.month_of(F.col("data_coleta")).alias("ano_mes"))
         .agg(F.count(F.lit(1)).alias("linhas"))
     )
@@ -204,7 +203,7 @@ def text_fold_udf(spark, sf_dir):
 
 @query
 def max_decimal_places(spark, sf_dir):
-    prices = views.silver(folders.observed(spark, sf_dir)).select(F.col("valor_venda").cast("string"))
+    prices = views.silver(observed(spark, sf_dir)).select(F.col("valor_venda").cast("string"))
     return profiling.max_decimal_places(prices, "valor_venda")
 
 
@@ -221,44 +220,44 @@ def struct_path(spark, sf_dir):
 
 @query
 def select_rename(spark, sf_dir):
-    return cleaning.select_silver_names(views.raw(folders.observed(spark, sf_dir)))
+    return cleaning.select_silver_names(views.raw(observed(spark, sf_dir)))
 
 
 @query
 def optional_columns(spark, sf_dir):
-    raw = views.raw(folders.observed(spark, sf_dir)).drop("Bandeira", "Cep")
+    raw = views.raw(observed(spark, sf_dir)).drop("Bandeira", "Cep")
     return cleaning.select_silver_names(cleaning.add_optional_columns(raw))
 
 
 @query
 def drop_blank_rows(spark, sf_dir):
-    return views.plain_names(cleaning.drop_blank_rows(views.raw(folders.observed(spark, sf_dir))))
+    return views.plain_names(cleaning.drop_blank_rows(views.raw(observed(spark, sf_dir))))
 
 
 @query
 def exact_dedup(spark, sf_dir):
-    return views.plain_names(cleaning.drop_exact_duplicates(views.raw(folders.observed(spark, sf_dir))))
+    return views.plain_names(cleaning.drop_exact_duplicates(views.raw(observed(spark, sf_dir))))
 
 
 @query
 def silver_transform(spark, sf_dir):
-    return comparable(cleaning.to_silver(views.raw(folders.observed(spark, sf_dir))))
+    return comparable(cleaning.to_silver(views.raw(observed(spark, sf_dir))))
 
 
 @query
 def distinct_values(spark, sf_dir):
-    return profiling.distinct_values(views.raw(folders.observed(spark, sf_dir)), "Unidade de Medida")
+    return profiling.distinct_values(views.raw(observed(spark, sf_dir)), "Unidade de Medida")
 
 
 @query
 def distinct_sorted(spark, sf_dir):
-    return profiling.distinct_sorted(views.raw(folders.observed(spark, sf_dir)), "Produto")
+    return profiling.distinct_sorted(views.raw(observed(spark, sf_dir)), "Produto")
 
 
 @query
 def union_all(spark, sf_dir):
-    silver = views.silver(folders.observed(spark, sf_dir))
-    return comparable(silver.unionByName(views.faulty(folders.observed(spark, sf_dir))))
+    silver = views.silver(observed(spark, sf_dir))
+    return comparable(silver.unionByName(views.faulty(observed(spark, sf_dir))))
 
 
 # --- Municipalities ---------------------------------------------------------------------------
@@ -283,14 +282,14 @@ def json_nested_scan(spark, sf_dir):
 @query
 def enrich_municipality(spark, sf_dir):
     dimension = layers.read_dimension(spark, folders.dimension(spark, sf_dir))
-    prices = views.misspelt(folders.observed(spark, sf_dir)).drop(*PARTITION)
+    prices = views.misspelt(observed(spark, sf_dir)).drop(*PARTITION)
     return comparable(municipalities.enrich(prices, dimension))
 
 
 @query
 def unmatched_municipalities(spark, sf_dir):
     dimension = layers.read_dimension(spark, folders.dimension(spark, sf_dir))
-    return municipalities.match_coverage(views.misspelt(folders.observed(spark, sf_dir)), dimension)
+    return municipalities.match_coverage(views.misspelt(observed(spark, sf_dir)), dimension)
 
 
 @query
@@ -299,8 +298,8 @@ def check_join_key_unique(spark, sf_dir):
     people = views.table(spark, sf_dir, "customer").join(
         views.places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    listed = people.select("uf", text.fold_text(F.col("municipio_oficial")).alias("municipio_match"))
-    return municipalities.ambiguous_match_keys(listed)
+    key = text.fold_text(F.col("municipio_oficial")).alias("municipio_match")
+    return municipalities.ambiguous_match_keys(people.select("uf", key))
 
 
 # --- Quality ----------------------------------------------------------------------------------
@@ -308,38 +307,38 @@ def check_join_key_unique(spark, sf_dir):
 
 @query
 def schema_drift(spark, sf_dir):
+    """Headers of the raw files, as if two columns had been left out of all of them."""
     headers = delimited.file_headers(spark, folders.bronze(spark, sf_dir))
-    shown = delimited.header_drift(
-        headers.withColumn("colunas", F.array_except("colunas", F.array(F.lit("Cep"), F.lit("Produto"))))
-    )
-    return shown.select(*PARTITION, "coluna", "problema").distinct()
+    fewer = F.array_except("colunas", F.array(F.lit("Cep"), F.lit("Produto")))
+    drift = delimited.header_drift(headers.withColumn("colunas", fewer))
+    return drift.select(*PARTITION, "coluna", "problema").distinct()
 
 
 @query
 def check_price_positive(spark, sf_dir):
-    return quality.report(views.faulty(folders.observed(spark, sf_dir)), [quality.price_rule()], PARTITION)
+    return quality.report(views.faulty(observed(spark, sf_dir)), [quality.price_rule()], PARTITION)
 
 
 @query
 def check_required(spark, sf_dir):
     rules = quality.required_rules(quality.SILVER_REQUIRED)
-    return quality.report(views.faulty(folders.observed(spark, sf_dir)), rules)
+    return quality.report(views.faulty(observed(spark, sf_dir)), rules)
 
 
 @query
 def check_cnpj(spark, sf_dir):
-    return quality.report(views.faulty(folders.observed(spark, sf_dir)), [quality.cnpj_rule()], PARTITION)
+    return quality.report(views.faulty(observed(spark, sf_dir)), [quality.cnpj_rule()], PARTITION)
 
 
 @query
 def check_allowed_values(spark, sf_dir):
     allowed = {"produto": PRODUCTS, "unidade_medida": UNITS, "uf": STATES}
-    return quality.offending_values(views.faulty(folders.observed(spark, sf_dir)), allowed)
+    return quality.offending_values(views.faulty(observed(spark, sf_dir)), allowed)
 
 
 @query
 def silver_quality_report(spark, sf_dir):
-    return quality.report(views.faulty(folders.observed(spark, sf_dir)), quality.silver_rules())
+    return quality.report(views.faulty(observed(spark, sf_dir)), quality.silver_rules())
 
 
 def doubtful_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,27 +397,27 @@ def dimension_quality_report(spark, sf_dir):
 
 @query
 def key_collisions(spark, sf_dir):
-    return views.plain_names(profiling.key_collisions(views.raw(folders.observed(spark, sf_dir))))
+    return views.plain_names(profiling.key_collisions(views.raw(observed(spark, sf_dir))))
 
 
 @query
 def profile_exact_duplicates(spark, sf_dir):
-    return profiling.exact_duplicates(views.raw(folders.observed(spark, sf_dir)))
+    return profiling.exact_duplicates(views.raw(observed(spark, sf_dir)))
 
 
 @query
 def profile_blank_rows(spark, sf_dir):
-    return profiling.blank_rows(views.raw(folders.observed(spark, sf_dir)))
+    return profiling.blank_rows(views.raw(observed(spark, sf_dir)))
 
 
 @query
 def profile_null_counts(spark, sf_dir):
-    return profiling.null_counts(views.plain_names(views.raw(folders.observed(spark, sf_dir))))
+    return profiling.null_counts(views.plain_names(views.raw(observed(spark, sf_dir))))
 
 
 @query
 def partition_profile(spark, sf_dir):
-    profile = profiling.partition_profile(views.raw(folders.observed(spark, sf_dir)))
+    profile = profiling.partition_profile(views.raw(observed(spark, sf_dir)))
 
     def joined(column: str):
         return F.array_join(column, "|", "(null)").alias(column)
@@ -476,7 +475,8 @@ def file_discovery(spark, sf_dir):
 
 @query
 def partition_metadata(spark, sf_dir):
-    return files.partition_metadata(spark, folders.bronze(spark, sf_dir)).select(*PARTITION).distinct()
+    found = files.partition_metadata(spark, folders.bronze(spark, sf_dir))
+    return found.select(*PARTITION).distinct()
 
 
 @query

@@ -68,7 +68,9 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_nationkey").cast("string").alias("codigo_ibge"),
             region_field(0).alias("regiao"),
             region_field(1).alias("regiao_oficial"),
-            F.when(F.col("n_nationkey") < 13, region_field(2)).otherwise(region_field(3)).alias("uf"),
+            F.when(F.col("n_nationkey") < 13, region_field(2))
+            .otherwise(region_field(3))
+            .alias("uf"),
         )
     )
 
@@ -170,7 +172,9 @@ def raw(obs: DataFrame) -> DataFrame:
         "Numero Rua": F.nullif(F.col("l_linenumber").cast("string"), F.lit("7")),
         "Complemento": F.when(F.col("l_linenumber") == 1, "LOJA A"),
         "Bairro": F.col("bandeira"),
-        "Cep": F.concat(cep.substr(1, 2), F.lit("."), cep.substr(3, 3), F.lit("-"), cep.substr(6, 3)),
+        "Cep": F.concat(
+            *[cep.substr(1, 2), F.lit("."), cep.substr(3, 3), F.lit("-"), cep.substr(6, 3)]
+        ),
         "Produto": F.col("produto"),
         "Data da Coleta": F.date_format("data_coleta", "dd/MM/yyyy"),
         "Valor de Venda": F.replace(F.col("valor_venda").cast("string"), F.lit("."), F.lit(",")),

@@ -1,6 +1,6 @@
-"""The whole chain as one job: `spark-submit run.py --bronze … --silver … --gold … --municipalities …`.
+"""The whole chain as one job; see the README for its arguments.
 
-With `--archives`, ZIP files are landed into Bronze first. Steps that have their output skip the work.
+With `--archives`, ZIP files are landed into Bronze first. Partitions that have output are skipped.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ def main() -> None:
     paths = parser.parse_args()
     spark = SparkSession.builder.appName("fuel prices").getOrCreate()
     if paths.archives:
-        land_archives(spark, paths.archives, paths.bronze).where("erro IS NOT NULL").show(100, False)
+        manifest = land_archives(spark, paths.archives, paths.bronze)
+        manifest.where("erro IS NOT NULL").show(100, truncate=False)
     print("Silver:", bronze_to_silver(spark, paths.bronze, paths.silver))
     build_dimension(spark, paths.municipalities, paths.dimension)
     print("Gold:", silver_to_gold(spark, paths.silver, paths.dimension, paths.gold))

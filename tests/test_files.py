@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from litro.operators import cleaning
 from litro.plans import analytics
 from litro.plans.bronze_to_silver import bronze_to_silver
 from litro.plans.municipalities import build_dimension
@@ -330,3 +331,17 @@ def test_profile_keeps_to_each_files_own_columns(spark, tmp_path):
     assert rows[1].colisoes_chave_candidata == 1
     assert rows[2].colunas == short.split(";") and rows[2].total_colunas == 11
     assert rows[2].nulos == {"Novo": 1}
+
+
+def test_unnamed_columns_and_empty_files(spark, tmp_path):
+    put(tmp_path, 2024, 1, HEAD + ";\n" + line() + ";x\n")
+    raw = delimited.scan_bronze(spark, str(tmp_path))
+    assert "_c11" in raw.columns and raw.first()["_c11"] == "x"
+    assert cleaning.to_silver(raw).count() == 1
+    put(tmp_path, 2024, 2, "\n")
+    with pytest.raises(ValueError, match="without a header"):
+        delimited.scan_bronze(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="Colunas críticas ausentes"):
+        bronze_to_silver(spark, str(tmp_path), str(tmp_path / "silver"))
+    done = files.partitions(spark, str(tmp_path / "silver"), layers.PARQUET).collect()
+    assert [(r.ano, r.semestre) for r in done] == [(2024, 1)]
