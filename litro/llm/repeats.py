@@ -92,14 +92,16 @@ class Stretches:
             p = leftmost_least(grams, length - gram + 1)[s]
             first = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (s[1:] != s[:-1] + 1)])
             low, high = s[first], s[np.r_[first[1:] - 1, len(s) - 1]]
-            found.append((low + c, high + c, grams[p[first]], fingerprints(sums, low, high + length)))
+            # Least hashes are small numbers: mixed again, they spread evenly over the buckets.
+            key = mix(grams[p[first]] + np.uint64(1))
+            found.append((low + c, high + c, key, fingerprints(sums, low, high + length)))
         none = (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
         self.low, self.high, self.key, self.print = (np.concatenate(x) for x in zip(*(found or [none]), strict=True))
 
 
 def by_value(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A sorting order, and where each distinct value begins in it."""
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values)
     v = values[order]
     return order, np.flatnonzero(np.r_[len(v) > 0, v[1:] != v[:-1]][: len(v)])
 

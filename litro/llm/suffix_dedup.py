@@ -42,7 +42,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """
     n = len(text)
     head = _eight(text)
-    order = np.argsort(head, kind="stable")
+    order = np.argsort(head)
     new = np.r_[True, head[order][1:] != head[order][:-1]] if n else np.zeros(0, bool)
     group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     rank = np.full(n + 1, -1, np.int64)
@@ -54,7 +54,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
             break
         suffix = order[open_]
         value = group[open_] * (n + 2) + rank[np.minimum(suffix + h, n)] + 1
-        by = np.argsort(value, kind="stable")
+        by = np.argsort(value)
         order[open_], value = suffix[by], value[by]
         new[open_] = np.r_[True, value[1:] != value[:-1]]
         group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
