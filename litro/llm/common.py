@@ -44,3 +44,12 @@ def cut(frame: DataFrame) -> DataFrame:
             raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
     return frame.checkpoint()
+
+
+#: Rows of a few numbers that may be sent to every executor: 64 MB or less.
+SMALL_ROWS = 2_000_000
+
+
+def sized(frame: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """Marked for broadcast if a count shows that it is small enough; else joins shuffle it."""
+    return F.broadcast(frame) if frame.limit(most + 1).count() <= most else frame

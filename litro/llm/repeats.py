@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from litro.llm.common import LAST_ID, id_and_text, total_bytes
 
 #: Text bytes of a shard.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: Units hashed at once; a text of any length is read in such pieces.
 CHUNK = 1 << 20
 _STEP = 0x9E3779B97F4A7C15
@@ -247,12 +247,14 @@ def repeated(
     def remove(key, left, right):
         shard = Shard(left, to_units, length, gram)
         starts = np.zeros(len(shard.units) + 1, np.int32)
-        for r in right.to_pylist():
-            prints, sizes = unpack(r["prints"]), expand(r["sizes"], np.uint8).astype(np.int64)
-            least, begin = unpack(r["least"]).view(np.int64), np.cumsum(sizes) - sizes
-            order = np.argsort(prints)
-            at = np.minimum(np.searchsorted(prints, shard.runs.print, sorter=order), len(prints) - 1)
-            run = np.flatnonzero(prints[order[at]] == shard.runs.print)
+        if right.num_rows:
+            prints = np.concatenate([unpack(x) for x in right["prints"].to_pylist()])
+            sizes = np.concatenate([expand(x, np.uint8) for x in right["sizes"].to_pylist()]).astype(np.int64)
+            least = np.concatenate([unpack(x) for x in right["least"].to_pylist()]).view(np.int64)
+            begin, order = np.cumsum(sizes) - sizes, np.argsort(prints)
+            prints = prints[order]
+            at = np.minimum(np.searchsorted(prints, shard.runs.print), len(prints) - 1)
+            run = np.flatnonzero(prints[at] == shard.runs.print)
             which, n = order[at[run]], (shard.runs.high - shard.runs.low + 1)[run]
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             smaller = least[np.repeat(begin[which], n) + step] < np.repeat(shard.owner[run], n)

@@ -33,60 +33,65 @@ def _eight(text: np.ndarray) -> np.ndarray:
     return wide[:n]
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(text: np.ndarray, depth: int, room: np.ndarray | None = None) -> np.ndarray:
     """Suffixes in the order of their first `depth` bytes at least.
 
     Suffixes are ordered by eight bytes first. Each round then orders the groups that are still
     equal by the rank of the suffix h bytes on, which doubles the bytes compared; groups of one
-    suffix are left alone.
+    suffix are left alone. room: bytes that count of each suffix; one that has fewer than a round
+    compares takes no part in it, and its order beyond them is open.
     """
     n = len(text)
     head = _eight(text)
     order = np.argsort(head)
-    new = np.r_[True, head[order][1:] != head[order][:-1]] if n else np.zeros(0, bool)
-    group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    ordered = head[order]
+    new = np.r_[n > 0, ordered[1:] != ordered[:-1]][:n]
     rank = np.full(n + 1, -1, np.int64)
-    rank[order] = group
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    open_ = np.flatnonzero(~(new & np.r_[new[1:], True]))
     h = 8
-    while h < depth:
-        open_ = np.flatnonzero(~(new & np.r_[new[1:], True]))
-        if not len(open_):
-            break
+    while h < depth and len(open_):
+        if room is not None:
+            # What a later round looks up, or in the last round the suffixes in full.
+            least = depth if 2 * h >= depth else min(2 * h, max(depth - 2 * h, h + 1))
+            open_ = open_[room[order[open_]] >= least]
         suffix = order[open_]
-        value = group[open_] * (n + 2) + rank[np.minimum(suffix + h, n)] + 1
+        value = rank[suffix] * (n + 2) + rank[np.minimum(suffix + h, n)] + 1
         by = np.argsort(value)
-        order[open_], value = suffix[by], value[by]
-        new[open_] = np.r_[True, value[1:] != value[:-1]]
-        group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        rank[order[open_]] = group[open_]
+        suffix, value = suffix[by], value[by]
+        order[open_] = suffix
+        new = np.r_[len(by) > 0, value[1:] != value[:-1]][: len(by)]
+        rank[suffix] = np.maximum.accumulate(np.where(new, open_, 0))
+        open_ = open_[~(new & np.r_[new[1:], True])]
         h *= 2
     return order
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """For each suffix, in text order, how many bytes it shares with the one before it in `order`.
+    """For each suffix in `order`, by its place in the text, how many bytes it shares with the one before it.
 
-    Kasai's rule: if a suffix and its neighbour are preceded by the same byte pair of neighbours, its
-    value is the previous suffix's less one. Only the others are compared, eight bytes a step.
+    Kasai's rule: if the suffix before is preceded by the neighbour of the previous suffix, and the
+    two preceding bytes are equal, the value is the previous suffix's less one. Only the others are
+    compared, eight bytes a step.
     """
     n = len(text)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     follows = np.zeros(n, bool)
     follows[1:] = (before[1:] > 0) & (before[:-1] >= 0) & (before[1:] == before[:-1] + 1)
+    place = np.flatnonzero(follows)
+    follows[place] = text[place - 1] == text[before[place - 1]]
     head = np.r_[_eight(text), np.zeros(8, np.uint64)]
     shared = np.zeros(n, np.int64)
     at = np.flatnonzero(~follows & (before >= 0))
     other, d = before[at], 0
     while len(at):
-        room = n - np.maximum(at, other) - d
         differ = head[np.minimum(at + d, n)] ^ head[np.minimum(other + d, n)]
-        # Leading equal bytes of eight: the number of zero bytes on top.
-        same = np.full(len(at), 8, np.int64)
-        for k in range(8, 0, -1):
-            same[(differ >> np.uint64(8 * (8 - k))) != 0] = k - 1
-        same = np.minimum(same, np.maximum(room, 0))
-        shared[at] += same
+        same = (differ == 0).astype(np.int64)
+        for k in range(1, 8):
+            same += differ < np.uint64(1 << 8 * k)
+        room = np.maximum(n - np.maximum(at, other) - d, 0)
+        shared[at] += np.minimum(same, room)
         go = (same == 8) & (room > 8)
         at, other, d = at[go], other[go], d + 8
     source = np.maximum.accumulate(np.where(follows, 0, np.arange(n)))
@@ -104,16 +109,12 @@ def strings(payload: bytes, sizes: np.ndarray) -> np.ndarray:
     text = repeats.expand(payload, np.uint8)
     n = sizes + LENGTH - 1
     start = np.repeat(np.cumsum(n) - n - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-    order = suffix_array(text, LENGTH)
-    shared = common_prefixes(text, order)
+    room = np.repeat(np.cumsum(n), n) - np.arange(len(text))
+    order = suffix_array(text, LENGTH, room)
     wanted = np.zeros(len(text), bool)
     wanted[start] = True
-    # Suffixes between two windows may end in another stretch: the prefix shared across them is the least on the way.
     kept = order[wanted[order]]
-    rank = np.flatnonzero(wanted[order])
-    along = shared[order]
-    least = np.minimum.reduceat(along, np.r_[0, rank[:-1] + 1]) if len(rank) else along[:0]
-    new = least < LENGTH
+    new = common_prefixes(text, kept)[kept] < LENGTH
     new[:1] = True
     first = kept[new]
     value = np.zeros(len(text), np.uint64)

@@ -1,0 +1,53 @@
+import re
+
+import numpy as np
+
+from litro.llm import html_text
+
+
+def test_blocks_of_broken_markup():
+    page = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var t="</p>";</script></head>
+    <body><nav><ul><li><a href="/x">x</a><li><a href='/y>z'>y</a></ul></nav><!-- ad <p> --><article class="Post main-x"><h1>A &eacute;&nbsp;b</h1>
+    <p>one <b>two</b><br>three<p>four
+      five<div>six &lt; 7</div> tail</article>loose <footer>&copy; f"""
+    got = [(b.path[-1] if b.path else "", b.text) for b in html_text.blocks(page)]
+    assert [t for _, t in got] == ["T & t", "x", "y", "A é b", "one two three", "four five", "six < 7", "tail", "loose", "© f"]
+    assert html_text.blocks(None) == [] and html_text.blocks("<p></p><script>x") == []
+    post = html_text.blocks(page)[3]
+    assert ".post" in post.path and html_text.weak_label(post) == 1
+
+
+def test_gradients_agree_with_differences():
+    r = np.random.default_rng(0)
+    d = html_text.PATH + html_text.WORDS + 2
+    x, live = r.normal(size=(3, 4, d)), np.array([[1, 1, 1, 1], [1, 1, 0, 0], [1, 0, 0, 0]], bool)
+    w, goal = r.normal(0, 0.3, (d + html_text.HIDDEN + 1, 4 * html_text.HIDDEN)), r.normal(size=(3, 4, html_text.HIDDEN)) * live[:, :, None]
+    _, trace = html_text._run(w, x, live, True)
+    step = html_text._back(w, x, live, trace, goal)
+    for i, j in [(0, 0), (70, 20), (d + 3, 40), (-1, 63), (d, 5)]:
+        e = np.zeros_like(w)
+        e[i, j] = 1e-5
+        up, down = (float((html_text._run(w + s * e, x, live)[0] * goal).sum()) for s in (1, -1))
+        assert abs((up - down) / 2e-5 - step[i, j]) < 1e-5
+
+
+def test_held_out_pages(spark):
+    """Fitted on some pages, the text of all others is exactly what lies in the article."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = html_text.main_text(pages).collect()
+    html = {r.page_id: r.html for r in pages.collect()}
+    right = 0
+    for r in got:
+        body = re.search("<article>(.*)</article>", html[r.page_id], re.S).group(1)
+        want = "\n\n".join(b.text for b in html_text.blocks(body))
+        right += r.text == want
+        assert r.n_chars == len(r.text)
+    assert right >= 0.99 * len(got)
+
+
+def test_corner_cases(spark):
+    rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", "<article><p>x</p></article>", 1), (3, "u", "plain", 1), (3, "u", "plain", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    got = html_text.main_text(pages).collect()
+    assert len(got) == 5 and {r.text for r in got if r.page_id in (1, 2)} == {""}
+    assert html_text.main_text(pages.limit(0)).collect() == []

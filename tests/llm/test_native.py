@@ -1,0 +1,152 @@
+"""Personal data, decontamination, quality and preference formatting against plain Python."""
+
+import hashlib
+import itertools
+import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from litro.llm import chat_format, decontamination, personal_data, quality
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def valid(kind, m):
+    digits = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in m.split("."))
+    if kind == "card":
+        total = sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(reversed(digits)))
+        return 16 <= len(digits) <= 19 and total % 10 == 0
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+TEXTS = [
+    "a@b.cd_x@y.zz é mail: foo.bar+1@ex-ample.co.uk, no@dot x@y..z a@b.c.d@e.f %@q.r",
+    "1.2.3.4 256.1.1.1 0255.000.1.2 1.2.3.4.5.6.7.8 9999999999999999999999.1.2.3 1.2.3",
+    "4785380592391139 4785 3805 9239 1139 4785-3805-9239-1139 4785380592391138 12 34 5678901234567890123456",
+    "+1 (523) 555-1055 ++49 30 1234567. +1 2 +12345678901234567 +(1) 5",
+    "\U0001f600 token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\" password=18a0165473c0330cab " + "longlonglongword " * 20,
+    "x" * 3000 + "@" + "1" * 3000 + " anverylongwordofletters " + "7.7.7.7 " * 60,
+    "", None, "  ", "secret: abcdefghijklmnopqrstuvwx0123456789 " + " ".join(f"plainwordnumber{'abcdefghij'[k % 10]}" for k in range(40)),
+]
+
+
+def test_personal_data_base(spark):
+    docs = spark.createDataFrame([(i, t, "s", []) for i, t in enumerate(TEXTS)] + [(0, TEXTS[0], "s", [])], "doc_id long, text string, base string, spans array<int>")
+    got = personal_data.find(docs).collect()
+    assert len(got) == len(TEXTS) + 1
+    for r in got:
+        text = TEXTS[r.doc_id] or ""
+        want = [(k, m.start(), m.end()) for k, p in PATTERNS.items() for m in re.finditer(p, text) if valid(k, m.group())]
+        assert [tuple(s) for s in r.spans if s.kind != "secret"] == want
+    secrets = {(r.doc_id, r.text[s.start : s.end]) for r in got for s in r.spans if s.kind == "secret"}
+    assert secrets == {(4, "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"), (4, "18a0165473c0330cab"), (9, "abcdefghijklmnopqrstuvwx0123456789")}
+    clean = {r.doc_id: r.redacted for r in personal_data.redact(docs).collect()}
+    assert clean[1].startswith("<IP> 256.1.1.1 <IP> <IP>.<IP> ") and clean[8] == "  "
+    assert "password=<SECRET> long" in clean[4]
+    assert personal_data.find(docs.limit(0)).collect() == []
+
+
+def test_reliabilities_tell_good_labelers():
+    share, rates, post = personal_data.reliabilities({(1, 1, 1): 90, (1, 1, 0): 10, (0, 0, 0): 800, (0, 0, 1): 100})
+    assert 0.05 < share < 0.2 and post[1, 1, 1] > 0.99 and post[0, 0, 1] < 0.01
+    assert rates[0][0] > 0.9 and rates[2][1] < 0.2
+
+
+def test_masks_hit_every_overlap():
+    for n, others in ((13, 2), (12, 1), (11, 0)):
+        for bad in itertools.combinations(range(1, n), others):
+            assert any(not set(bad) & {s + k for k in m} for m in decontamination.MASKS for s in range(n - m[-1]))
+
+
+def test_decontamination(spark):
+    item = [f"q{k}" for k in range(30)]
+    changed = list(item)
+    for k in range(4, 30, 6):
+        changed[k] = "other"
+    rows = [
+        (1, "x y " + " ".join(item) + " z"),
+        (2, "Begin " + " ".join(w.upper() + ",***" for w in changed)),
+        (3, "a " + " ".join(item[5:15]) + " b c"),
+        (4, " ".join(item[19:30])),
+        (5, None), (6, ""), (None, " ".join(item[3:20])), (1, "x y " + " ".join(item) + " z"), (7, "w " * 5000 + " ".join(item[:14])),
+    ]
+    docs = spark.createDataFrame([(i, t, "k", 0) for i, t in rows], "doc_id long, text string, row_key string, at int")
+    bench = spark.createDataFrame([(8, " ".join(item)), (8, " ".join(item)), (9, "too short"), (10, None), (None, None)], "item_id long, text string")
+    got = sorted(((r.doc_id or 0, r.contaminated, r.n_items, r.n_words, tuple(r.items)) for r in decontamination.decontaminate(docs, bench).collect()))
+    assert got == [
+        (0, True, 1, 17, (8,)), (1, True, 1, 30, (8,)), (1, True, 1, 30, (8,)), (2, True, 1, 25, (8,)), (3, False, 0, 0, ()),
+        (4, True, 1, 11, (8,)), (5, False, 0, 0, ()), (6, False, 0, 0, ()), (7, True, 1, 14, (8,)),
+    ]
+    assert not [r for r in decontamination.decontaminate(docs, bench.limit(0)).collect() if r.contaminated]
+    assert decontamination.decontaminate(docs.limit(0), bench).collect() == []
+
+
+def plain_counts(text):
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", text or "") if x]
+    lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    hit = {i + k for i, x in enumerate(windows) if windows.count(x) > 1 for k in range(5)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(hit)
+
+
+def test_quality(spark):
+    texts = ["a b c d e f a b c d e x", "é#* $%\nline one\n\nline one\nline one \n \n ", None, "", "a " * 40, "one two three four five six seven eight nine ten eleven", "\x0bq\x0c\x85r s t"]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(5, texts[5], 1), (None, texts[5], 1)], "doc_id long, text string, h int")
+    trusted = spark.createDataFrame([(5,), (5,), (None,), (99,)], "doc_id long")
+    got = quality.quality(docs, trusted).collect()
+    assert len(got) == 9
+    for r in got:
+        if r.doc_id is not None:
+            assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_counts(texts[r.doc_id])
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+    assert all(r.kept == (not r.base_failed and r.ratio >= quality.THRESHOLD) for r in got)
+    # The ratio again, from the buckets in plain Python.
+    rows = quality._parts(docs).select("doc_id", quality._buckets().alias("g")).collect()
+    target, raw = {}, {}
+    for r in rows:
+        for g in r.g:
+            raw[g] = raw.get(g, 0) + 1
+            target[g] = target.get(g, 0) + (r.doc_id == 5)
+    t, n, b = sum(target.values()), sum(raw.values()), quality.BUCKETS
+    by_id = {r.doc_id: r.g for r in rows}
+    for r in got:
+        g = by_id[r.doc_id]
+        want = sum(math.log((target[k] + 1) / (t + b)) - math.log((raw[k] + 1) / (n + b)) for k in g) / len(g) if g else 0.0
+        assert r.ratio == pytest.approx(want, abs=1e-9)
+    assert quality.quality(docs.limit(0), trusted).collect() == []
+
+
+def test_preferences(spark):
+    talk = [
+        (1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "yes é"), (1, 3, None, None),
+        (2, 0, "system", "s"), (2, 1, "user", "u"), (2, 5, "assistant", "no"), (2, 5, "assistant", "no"),
+        (3, 0, "user", "x"), (4, 0, "user", "x"), (None, 0, "user", "lost"), (5, None, "user", "lost"),
+    ]
+    turns = spark.createDataFrame([(*t, "c") for t in talk], "conv_id long, turn long, role string, text string, chosen string")
+    pairs = spark.createDataFrame([(1, 2), (1, 2), (3, 4), (3, None), (9, 1)], "chosen_id long, rejected_id long")
+    got = {(r.chosen_id, r.rejected_id): r for r in chat_format.format_preferences(turns, pairs).collect()}
+    assert chat_format.format_preferences(turns, pairs).count() == 5
+    r = got[1, 2]
+    assert r.n_prompt_turns == 2 and r.prompt == "<|im_start|>system\ns<|im_end|>\n<|im_start|>user\nu<|im_end|>\n"
+    assert r.chosen == "<|im_start|>assistant\nyes é<|im_end|>\n<|im_start|>user\n<|im_end|>\n"
+    assert [r.chosen[s.start : s.end] for s in r.chosen_loss] == ["yes é<|im_end|>\n"]
+    assert [r.rejected[s.start : s.end] for s in r.rejected_loss] == ["no<|im_end|>\n"]
+    assert (got[3, 4].n_prompt_turns, got[3, 4].chosen, got[3, 4].rejected) == (1, "", "")
+    assert (got[3, None].prompt, got[3, None].rejected) == ("", None) and got[9, 1].chosen is None
+    assert chat_format.format_preferences(turns, pairs.limit(0)).collect() == []
+    assert chat_format.format_preferences(turns.limit(0), pairs).count() == 5
+
+
+def test_sha_of_no_spans_is_that_of_nothing(spark):
+    empty = spark.createDataFrame([(1, None)], "doc_id long, text string")
+    row = personal_data.find(empty).select(F.sha2(F.array_join(F.transform("spans", lambda s: s["kind"]), ","), 256).alias("x")).first()
+    assert row.x == hashlib.sha256(b"").hexdigest()
