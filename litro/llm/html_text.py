@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from litro.llm.common import table
 
 #: Pages the network is fitted on, those of least url hash, of so many blocks at most.
-SAMPLE_PAGES, SAMPLE_BLOCKS = 256, 200
-PATH, WORDS, HIDDEN, ROUNDS = 48, 16, 16, 150
+SAMPLE_PAGES, SAMPLE_BLOCKS = 128, 200
+PATH, WORDS, HIDDEN, ROUNDS = 48, 16, 16, 100
 #: Blocks of a batch that run through the network together.
 BATCH_BLOCKS = 20_000
 
