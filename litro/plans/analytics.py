@@ -80,9 +80,15 @@ def region_matrix(
 ) -> DataFrame:
     """Products as rows, regions as columns; a missing pair is null, a repeated one an error.
 
-    With `regions` given, the columns are fixed and no extra job looks for them.
+    With `regions` given, the columns are fixed and no extra job looks for them; a row of another
+    region, or of none, is an error and not lost.
     """
-    repeated = F.raise_error(F.concat(F.lit("More than one value for "), F.first("produto")))
+    if regions:
+        name = F.coalesce("regiao", F.lit("null"))
+        outside = F.raise_error(F.concat(F.lit("Region outside the list: "), name))
+        known = F.coalesce(F.col("regiao").isin(list(regions)), F.lit(False))
+        long = long.withColumn("regiao", F.when(known, F.col("regiao")).otherwise(outside))
+    repeated = F.raise_error(F.lit("More than one value for a product and region"))
     cell = F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.max(value))
     grouped = long.groupBy("produto")
     pivoted = grouped.pivot("regiao", list(regions)) if regions else grouped.pivot("regiao")

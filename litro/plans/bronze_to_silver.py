@@ -12,21 +12,25 @@ from pyspark.sql import functions as F
 from litro.operators.cleaning import to_silver
 from litro.operators.quality import Rule, report, silver_rules
 from litro.schemas import PARTITION
-from litro.session import work_folder
-from litro.sources.delimited import file_headers, header_drift, header_shapes, scan_bronze
+from litro.session import scratch_folder
+from litro.sources.delimited import (
+    file_headers,
+    header_drift,
+    header_shapes,
+    malformed_rows,
+    scan_bronze,
+)
 from litro.sources.files import partitions, pending
 from litro.sources.layers import PARQUET, publish_silver
 
 logger = logging.getLogger(__name__)
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Writes `df` to the shared working folder and reads it back: checks and publishing then
+def stage(df: DataFrame, target: str) -> DataFrame:
+    """Writes `df` below the shared working folder and reads it back: checks and publishing then
     share one computation that outlives lost executors."""
-    spark = df.sparkSession
-    target = work_folder(spark, purpose)
     df.write.parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
 def partition_filter(keys: Sequence[tuple[int, int]]):
@@ -47,10 +51,17 @@ def bronze_to_silver(
 ) -> list[tuple[int, int]]:
     """Publishes every pending partition that passes the rules; returns their (ano, semestre).
 
-    A partition with a missing critical heading or a violated rule is not published and, once the
-    others are, reported in one error. Partitions that already have Silver files are skipped.
+    A partition with an unusable header, a missing critical heading, a row of too many fields, bytes
+    that are not UTF-8, a violated rule or no row left is not published and, once the others are,
+    reported in one error. Partitions that already have Silver files are skipped.
     """
-    rules = list(rules or silver_rules())
+    with scratch_folder(spark, "bronze-to-silver") as work:
+        return _publish_pending(spark, bronze, silver, list(rules or silver_rules()), glob, work)
+
+
+def _publish_pending(
+    spark: SparkSession, bronze: str, silver: str, rules: list[Rule], glob: str, work: str
+) -> list[tuple[int, int]]:
     todo = pending(partitions(spark, bronze, glob), partitions(spark, silver, PARQUET)).collect()
     if not todo:
         return []
@@ -58,9 +69,12 @@ def bronze_to_silver(
         if row.arquivos > 1:
             logger.info("%s files read together in %s/%s", row.arquivos, row.ano, row.semestre)
     keys = [(r.ano, r.semestre) for r in todo]
-    headers = stage(file_headers(spark, bronze, glob).where(partition_filter(keys)), "headers")
+    headers = stage(file_headers(spark, bronze, glob, partition_filter(keys)), f"{work}/headers")
     problems: dict[tuple[int, int], dict] = {}
-    drift = header_drift(headers).select(*PARTITION, "coluna", "problema").distinct()
+    unusable = headers.where("erro IS NOT NULL").select(*PARTITION, "erro").distinct()
+    for row in unusable.collect():  # a few texts per partition
+        problems.setdefault((row.ano, row.semestre), {})[row.erro] = "cabeçalho"
+    drift = header_drift(headers.where("erro IS NULL")).select(*PARTITION, "coluna", "problema").distinct()
     for row in drift.collect():  # at most a heading or two per partition
         if row.problema == "unknown":
             logger.warning("Unknown column %s in %s/%s", row.coluna, row.ano, row.semestre)
@@ -70,8 +84,14 @@ def bronze_to_silver(
     good = [k for k in keys if k not in problems]
     if good:
         shapes = header_shapes(headers.where(partition_filter(good)))
+        for row in malformed_rows(spark, bronze, shapes, glob).collect():
+            found = {"Campos excedentes": row.campos_excedentes, "Bytes inválidos": row.bytes_invalidos}
+            problems[row.ano, row.semestre] = {k: n for k, n in found.items() if n}
         raw = scan_bronze(spark, bronze, glob, shapes)
-        typed = stage(to_silver(raw, strict=False), "silver")
+        typed = stage(to_silver(raw, strict=False), f"{work}/silver")
+        present = {tuple(r) for r in typed.select(*PARTITION).distinct().collect()}
+        for key in set(good) - present:
+            problems.setdefault(key, {})["Nenhuma linha"] = 0
         for row in report(typed, rules, PARTITION).where("violations > 0").collect():
             problems.setdefault((row.ano, row.semestre), {})[row.check] = row.violations
         good = [k for k in good if k not in problems]

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from litro.operators.monthly import monthly_prices_of_places
 from litro.operators.quality import validate_gold
 from litro.plans.bronze_to_silver import stage
+from litro.session import scratch_folder
 from litro.sources.layers import publish_gold, read_dimension, read_gold, read_silver
 
 
@@ -16,9 +17,11 @@ def silver_to_gold(spark: SparkSession, silver: str, dimension: str, gold: str)
     A price row without official municipality fails the validation, and nothing is published.
     """
     prices = read_silver(spark, silver)
-    rows = stage(monthly_prices_of_places(prices, read_dimension(spark, dimension)), "gold")
-    validate_gold(rows)
-    return publish_gold(rows, gold)
+    places = monthly_prices_of_places(prices, read_dimension(spark, dimension))
+    with scratch_folder(spark, "silver-to-gold") as work:
+        rows = stage(places, f"{work}/gold")
+        validate_gold(rows)
+        return publish_gold(rows, gold)
 
 
 def check_published_gold(spark: SparkSession, gold: str) -> int:

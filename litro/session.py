@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -46,3 +48,14 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
         shared = _local_folder()
     return f"{shared.rstrip('/')}/litro/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A work folder that is deleted at the end, whether the work succeeds or fails."""
+    folder = work_folder(spark, purpose)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import io
 import shutil
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import partial
 
 import pandas as pd
@@ -16,37 +15,61 @@ from pyspark.sql import functions as F
 
 from litro.schemas import PARTITION
 from litro.session import work_folder
-from litro.sources.files import partitions, pending
+from litro.sources.files import partition_metadata, partitions, pending
 from litro.sources.remote import open_filesystem, qualified
 
 MANIFEST = (
     "path string, ano int, semestre int, membros_csv int, destino string, bytes bigint, erro string"
 )
 
+#: Archives are dealt over so many tasks at most.
+MOST_TASKS = 10_000
+#: Bytes of the record that ends every archive, by the format.
+END_RECORD = 22
 
-def extract_member(content: bytes, folder: str) -> tuple[int, str | None, int | None, str | None]:
-    """Writes the only CSV member into `folder`; (members, destination, bytes, error)."""
-    try:
-        archive = zipfile.ZipFile(io.BytesIO(content))
-    except zipfile.BadZipFile as problem:
-        return 0, None, None, str(problem)
-    members = [m for m in archive.infolist() if m.filename.lower().endswith(".csv")]
-    if len(members) != 1:
-        names = sorted(m.filename for m in members)
-        return len(members), None, None, f"expected exactly 1 CSV, found {names}"
-    name = members[0].filename.rsplit("/", 1)[-1]
-    store, inner = open_filesystem(folder)
-    store.create_dir(inner, recursive=True)
-    # Written under a hidden name and moved, so a lost or repeated task leaves no partial file.
-    hidden = f"{inner}/.{name}.{uuid.uuid4().hex}"
-    with archive.open(members[0]) as source, store.open_output_stream(hidden) as target:
-        shutil.copyfileobj(source, target, 1 << 20)
+
+def _crc(store, path: str) -> int:
+    value = 0
+    with store.open_input_stream(path) as stream:
+        while block := stream.read(1 << 20):
+            value = zlib.crc32(block, value)
+    return value
+
+
+def extract_member(path: str, folder: str, shared: bool) -> tuple[int, str | None, int | None, str | None]:
+    """Writes the only CSV member of the archive into `folder`; (members, destination, bytes, error).
+
+    The archive is read where it lies, a block at a time. If other archives share the folder, the
+    file's name starts with the archive's, so that no member replaces another's.
+    """
+    store, inner = open_filesystem(path)
+    with store.open_input_file(inner) as raw:
+        if raw.size() < END_RECORD:  # too short for the record that ends every archive
+            return 0, None, None, "File is not a zip file"
+        try:
+            archive = zipfile.ZipFile(raw)
+        except zipfile.BadZipFile as problem:
+            return 0, None, None, str(problem)
+        members = [m for m in archive.infolist() if m.filename.lower().endswith(".csv")]
+        if len(members) != 1:
+            names = sorted(m.filename for m in members)
+            return len(members), None, None, f"expected exactly 1 CSV, found {names}"
+        # The scan looks for `.csv`: another spelling of the extension would never be read.
+        name = members[0].filename.rsplit("/", 1)[-1][: -len(".csv")] + ".csv"
+        if shared:
+            name = f"{path.rsplit('/', 1)[-1].rsplit('.', 1)[0]}__{name}"
+        store, inner = open_filesystem(folder)
+        store.create_dir(inner, recursive=True)
+        # Written under a hidden name and moved, so a lost or repeated task leaves no partial file.
+        hidden = f"{inner}/.{name}.{uuid.uuid4().hex}"
+        with archive.open(members[0]) as source, store.open_output_stream(hidden) as target:
+            shutil.copyfileobj(source, target, 1 << 20)
     try:
         store.move(hidden, f"{inner}/{name}")
     except OSError:
-        # Some stores refuse to replace a file: fine if a first attempt already landed all of it.
+        # Some stores refuse to replace a file: fine if a first attempt already landed the same bytes.
         store.delete_file(hidden)
-        if store.get_file_info(f"{inner}/{name}").size != members[0].file_size:
+        if _crc(store, f"{inner}/{name}") != members[0].CRC:
             raise
     return 1, f"{folder}/{name}", members[0].file_size, None
 
@@ -54,39 +77,27 @@ def extract_member(content: bytes, folder: str) -> tuple[int, str | None, int |
 def land_batches(batches: Iterator[pd.DataFrame], bronze: str) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for path, content, ano, semestre in batch.itertuples(index=False):
+        for path, ano, semestre, arquivos in batch.itertuples(index=False):
             folder = f"{bronze}/ano={ano}/semestre={semestre}"
-            rows.append((path, ano, semestre, *extract_member(content, folder)))
+            rows.append((path, ano, semestre, *extract_member(path, folder, arquivos > 1)))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in MANIFEST.split(", ")])
 
 
-@contextmanager
-def one_row_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of one row, for rows that hold whole files."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "1")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def land_archives(spark: SparkSession, archives: str, bronze: str) -> DataFrame:
     """Extracts `archives/ano=/semestre=/*.zip` into the Bronze layout; returns the manifest.
 
-    Partitions that already hold a CSV are skipped. Archives are unpacked in tasks, one at a time;
-    those without exactly one CSV come back with `erro` set and land nothing.
+    Partitions that already hold a CSV are skipped; only paths are compared and dealt out. Archives
+    are unpacked in tasks, one at a time; those without exactly one CSV come back with `erro` set
+    and land nothing.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .load(archives)
-        .select("path", "content", *[F.col(c).cast("int").alias(c) for c in PARTITION])
-    )
-    todo = pending(files, partitions(spark, bronze, "*.csv")).select(files.columns)
+    files = partition_metadata(spark, archives, "*.zip")
+    todo = pending(files, partitions(spark, bronze, "*.csv"))
+    todo = todo.join(todo.groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("arquivos")), list(PARTITION))
+    todo = todo.select("path", *PARTITION, "arquivos")
     target = work_folder(spark, "landing")
-    landed = todo.mapInPandas(partial(land_batches, bronze=qualified(spark, bronze)), MANIFEST)
-    with one_row_batches(spark):
-        landed.write.parquet(target)
+    tasks = min(MOST_TASKS, max(1, files.count()))
+    landed = todo.repartition(tasks, "path").mapInPandas(
+        partial(land_batches, bronze=qualified(spark, bronze)), MANIFEST
+    )
+    landed.write.parquet(target)
     return spark.read.schema(MANIFEST).parquet(target)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,17 +48,34 @@ def split_header(line: str) -> list[str]:
     return [name or f"_c{i}" for i, name in enumerate(names)]
 
 
+def checked_header(line: bytes) -> tuple[list[str], str | None]:
+    """Headings of a raw header line, and why they cannot be used."""
+    try:
+        columns = split_header(line.decode("utf-8-sig").rstrip("\r"))
+    except UnicodeDecodeError:
+        return [], "Cabeçalho ilegível"
+    repeated = [c for c, n in Counter(c.lower() for c in columns).items() if n > 1]
+    return columns, f"Colunas repetidas: {repeated}" if repeated else None
+
+
 def read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        lines = [first_line(p).decode("utf-8-sig").rstrip("\r") for p in batch["path"]]
-        yield batch.assign(colunas=[split_header(line) for line in lines])
+        found = [checked_header(first_line(p)) for p in batch["path"]]
+        yield batch.assign(colunas=[c for c, _ in found], erro=[e for _, e in found])
 
 
-def file_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """path, ano, semestre, colunas (header of the file), pasta."""
+def file_headers(
+    spark: SparkSession, root: str, glob: str = "*.csv", keep: Column | None = None
+) -> DataFrame:
+    """path, ano, semestre, colunas (header of the file), erro, pasta.
+
+    keep is a condition on ano and semestre: files of other partitions are not opened.
+    """
     files = partition_metadata(spark, root, glob)
+    if keep is not None:
+        files = files.where(keep)
     return files.mapInPandas(
-        read_headers, "path string, ano int, semestre int, colunas array<string>"
+        read_headers, "path string, ano int, semestre int, colunas array<string>, erro string"
     ).withColumn("pasta", F.regexp_replace("path", "/[^/]*$", ""))
 
 
@@ -81,7 +98,9 @@ def header_drift(headers: DataFrame) -> DataFrame:
 
 def header_shapes(headers: DataFrame) -> list[HeaderShape]:
     """Groups files by header. A folder whose files agree is read as a folder."""
-    distinct = headers.select("pasta", "colunas").distinct().collect()
+    distinct = headers.select("pasta", "colunas", "erro").distinct().collect()
+    if unusable := sorted({f"{r.pasta}: {r.erro}" for r in distinct if r.erro}):
+        raise ValueError(f"Unusable headers: {unusable}")
     headed = [(r.pasta, tuple(r.colunas)) for r in distinct]
     times = Counter(folder for folder, _ in headed)
     by_header = defaultdict(list)
@@ -113,6 +132,28 @@ def read_shape(
     return spark.read.schema(schema).options(**settings).csv(list(shape.paths))
 
 
+def malformed_rows(
+    spark: SparkSession, root: str, shapes: list[HeaderShape], glob: str = "*.csv"
+) -> DataFrame:
+    """(ano, semestre, campos_excedentes, bytes_invalidos): rows with more fields than their header,
+    and rows whose bytes are not UTF-8, both judged on the raw line. Partitions without any are left out.
+    """
+    parts = []
+    for shape in shapes:
+        options = {"pathGlobFilter": glob, "basePath": root}
+        lines = spark.read.options(**options).text(list(shape.paths))
+        bare = F.regexp_replace(F.make_valid_utf8("value"), f'{QUOTE}[^{QUOTE}]*{QUOTE}', "")
+        fields = F.length(bare) - F.length(F.translate(bare, DELIMITER, "")) + 1
+        surplus = fields > len(shape.columns)
+        invalid = ~F.is_valid_utf8("value")
+        counted = [surplus.cast("long").alias("surplus"), invalid.cast("long").alias("invalid")]
+        parts.append(lines.select(*PARTITION, *counted).where("surplus + invalid > 0"))
+    whole = reduce(DataFrame.unionByName, parts)
+    return whole.groupBy(*PARTITION).agg(
+        F.sum("surplus").alias("campos_excedentes"), F.sum("invalid").alias("bytes_invalidos")
+    )
+
+
 def scan_bronze(
     spark: SparkSession,
     root: str,

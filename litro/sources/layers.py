@@ -72,5 +72,4 @@ def publish_gold(df: DataFrame, root: str) -> list[str]:
 
 
 def write_dimension(df: DataFrame, root: str) -> None:
-    """One file: the table is the list of a country's municipalities."""
-    df.select(DIMENSION.fieldNames()).coalesce(1).write.mode("overwrite").parquet(root)
+    df.select(DIMENSION.fieldNames()).write.mode("overwrite").parquet(root)

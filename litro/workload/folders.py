@@ -8,6 +8,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import partial, wraps
 
 import pandas as pd
@@ -20,7 +21,7 @@ from litro.plans.municipalities import build_dimension
 from litro.plans.silver_to_gold import silver_to_gold
 from litro.schemas import PARTITION
 from litro.session import work_folder
-from litro.sources.archives import land_archives, one_row_batches
+from litro.sources.archives import land_archives
 from litro.sources.layers import publish_gold, publish_silver, write_partitioned
 from litro.sources.remote import open_filesystem, qualified
 from litro.workload import views
@@ -75,6 +76,18 @@ def bronze(spark: SparkSession, sf_dir: str, target: str) -> None:
         ).csv(target)
 
 
+@contextmanager
+def one_row_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of one row, for rows that hold whole files."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @once
 def archives(spark: SparkSession, sf_dir: str, target: str) -> None:
     """Every Bronze file zipped on its own, in the same folder layout."""

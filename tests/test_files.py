@@ -158,10 +158,48 @@ def test_archives_need_exactly_one_csv(spark, tmp_path):
         (2024, 2): (1, True, 4),
         (2025, 1): (0, False, None),
     }
-    assert sorted(p.name for p in bronze.rglob("*") if p.is_file()) == ["b.CSV", "preços.csv"]
-    # The upper-case name landed but is no `*.csv`, so only that archive and the faulty ones return.
+    # An upper-case extension lands as the one that the scan looks for.
+    assert sorted(p.name for p in bronze.rglob("*") if p.is_file()) == ["b.csv", "preços.csv"]
     again = land_archives(spark, str(source), str(bronze)).collect()
-    assert {(r.ano, r.semestre) for r in again} == set(found) - {(2023, 1)}
+    assert {(r.ano, r.semestre) for r in again} == set(found) - {(2023, 1), (2024, 2)}
+
+
+def test_members_of_one_name_all_land(spark, tmp_path):
+    source, bronze = tmp_path / "zip", tmp_path / "bronze"
+    for name, text in (("um", "A\n1\n"), ("dois", "A\n2\n")):
+        make_zip(tmp_path / name, 2023, 1, {"p.csv": text})
+        folder = source / "ano=2023" / "semestre=1"
+        folder.mkdir(parents=True, exist_ok=True)
+        made = next((tmp_path / name).rglob("*.zip"))
+        (folder / f"{name}.zip").write_bytes(made.read_bytes())
+    manifest = land_archives(spark, str(source), str(bronze)).collect()
+    assert all(r.erro is None for r in manifest)
+    landed = {p.name: p.read_text() for p in bronze.rglob("*.csv")}
+    assert landed == {"um__p.csv": "A\n1\n", "dois__p.csv": "A\n2\n"}
+
+
+def test_a_bad_file_blocks_its_partition_only(spark, tmp_path, raw_row):
+    bronze, silver = tmp_path / "bronze", tmp_path / "silver"
+    row = raw_row()
+    head, line = ";".join(row), ";".join(f'"{v}"' for v in row.values())
+    text = {
+        1: f"{head}\n{line}\n",
+        2: f"{head}\n{line};surplus;fields\n",
+        3: f"{head}\n{line}\n".replace("PORTO", "S\xc3O"),
+        4: f"{head};{list(row)[0]}\n{line};x\n",
+        5: f"{head}\n{';' * (len(row) - 1)}\n",
+        6: f"{head}\u00c9\n{line}\n",
+    }
+    for k, content in text.items():
+        folder = bronze / f"ano={2020 + k}" / "semestre=1"
+        folder.mkdir(parents=True)
+        (folder / "p.csv").write_bytes(content.encode("latin-1" if k in (3, 6) else "utf-8"))
+    with pytest.raises(ValueError, match="not published") as problem:
+        bronze_to_silver(spark, str(bronze), str(silver))
+    said = str(problem.value)
+    for part in ("Campos excedentes': 1", "Bytes inválidos': 1", "Colunas repetidas", "Nenhuma linha", "Cabeçalho ilegível"):
+        assert part in said
+    assert {p.parent.parent.name for p in silver.rglob("*.parquet")} == {"ano=2021"}
 
 
 def payload(tmp_path):
@@ -270,7 +308,12 @@ def test_pivot_needs_unique_cells(spark):
     assert [tuple(r) for r in got] == [("ETANOL", None, 3.0), ("GNV", 2.0, 1.0)]
     assert sorted(analytics.region_matrix(long, "v", None).columns) == ["Norte", "Sul", "produto"]
     with pytest.raises(Exception, match="More than one value"):
-        analytics.region_matrix(long.unionAll(long), "v", ["Sul"]).collect()
+        analytics.region_matrix(long.unionAll(long), "v", ["Norte", "Sul"]).collect()
+    with pytest.raises(Exception, match="Region outside the list: Norte"):
+        analytics.region_matrix(long, "v", ["Sul"]).collect()
+    lost = spark.createDataFrame([("GNV", None, 1.0)], long.schema)
+    with pytest.raises(Exception, match="Region outside the list: null"):
+        analytics.region_matrix(lost, "v", ["Sul"]).collect()
 
 
 def test_parity_share_uses_the_rounded_ratio(spark):
