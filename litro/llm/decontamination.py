@@ -111,7 +111,7 @@ _MARKS = MARKS.replace("'", "''")
 ORACLE = f"""
 WITH d AS ({_sql_words("documents", "doc_id", _MARKS)}),
 b AS ({_sql_words("benchmark", "item_id", _MARKS)}),
-same AS (SELECT doc_id, item_id, d.at - b.at AS shift, d.at AS pos FROM d JOIN b USING (word)),
+same AS (SELECT doc_id, item_id, d.pos - b.pos AS shift, d.pos AS pos FROM d JOIN b USING (word)),
 busy AS (SELECT doc_id, item_id, shift FROM same GROUP BY ALL HAVING count(*) >= {EQUAL}),
 counted AS (
   SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY pos RANGE BETWEEN CURRENT ROW AND {PLACES - 1} FOLLOWING) AS n
