@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -137,13 +138,28 @@ class _Vectors(dict):
 _PATHS, _WORDS = _Vectors(PATH), _Vectors(WORDS)
 
 
+class _Sums(dict):
+    """The sum of a path's vectors, for the paths met so far."""
+
+    def __missing__(self, path: tuple[str, ...]) -> np.ndarray:
+        if len(self) > 1 << 14:
+            self.clear()
+        value = self[path] = sum((_PATHS[p] for p in path), np.zeros(PATH)).astype(np.float32)
+        return value
+
+
+_SUMS = _Sums()
+
+
 def vectors(page: list[Block]) -> np.ndarray:
     x = np.zeros((len(page), PATH + WORDS + 2), np.float32)
+    words = [b.text.split() for b in page]
+    n = np.array([len(w) for w in words])
+    bucket = np.fromiter(map(_WORDS.__getitem__, chain.from_iterable(words)), np.int64, n.sum())
+    counts = np.bincount(np.repeat(np.arange(len(page)), n) * WORDS + bucket, minlength=len(page) * WORDS)
+    x[:, PATH : PATH + WORDS] = counts.reshape(-1, WORDS) / n[:, None]
     for k, b in enumerate(page):
-        for p in b.path:
-            x[k, :PATH] += _PATHS[p]
-        words = b.text.split()
-        x[k, PATH : PATH + WORDS] = np.bincount([_WORDS[w] for w in words], minlength=WORDS) / len(words)
+        x[k, :PATH] = _SUMS[b.path]
         x[k, -2:] = np.log1p(len(b.text)) / 8, min(1.0, b.links / len(b.text))
     return x
 
@@ -161,61 +177,70 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _run(w: np.ndarray, x: np.ndarray, live: np.ndarray, keep: bool = False):
-    """Hidden states of one direction over x (pages, blocks, inputs); where not live, the state stays as it is."""
+def _run(w: np.ndarray, x: np.ndarray, length: np.ndarray, keep: bool = False):
+    """Hidden states of one direction over x (pages, blocks, inputs); longer pages come first, and only those not yet at their end take part in a step."""
     n, t, d = x.shape
     h, c = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
     states, trace = np.zeros((n, t, HIDDEN)), []
     inputs = x @ w[:d] + w[-1]
     for k in range(t):
-        z = inputs[:, k] + h @ w[d:-1]
+        m = int(np.count_nonzero(length > k))
+        h, c = h[:m], c[:m]
+        z = inputs[:m, k] + h @ w[d:-1]
         gates = np.concatenate([_sigmoid(z[:, : 3 * HIDDEN]), np.tanh(z[:, 3 * HIDDEN :])], 1)
         i, f, o, g = np.split(gates, 4, 1)
-        on = live[:, k, None]
-        new_c = np.where(on, f * c + i * g, c)
-        new_h = np.where(on, o * np.tanh(new_c), h)
+        new_c = f * c + i * g
+        tanh = np.tanh(new_c)
         if keep:
-            trace.append((h, c, gates, new_c))
-        h, c = new_h, new_c
-        states[:, k] = h
+            trace.append((h, c, gates, tanh))
+        h, c = o * tanh, new_c
+        states[:m, k] = h
     return states, trace
 
 
-def _back(w: np.ndarray, x: np.ndarray, live: np.ndarray, trace: list, grad: np.ndarray) -> np.ndarray:
+def _back(w: np.ndarray, x: np.ndarray, trace: list, grad: np.ndarray) -> np.ndarray:
     n, t, d = x.shape
     total, dh, dc = np.zeros_like(w), np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
     for k in range(t - 1, -1, -1):
-        h, c, gates, new_c = trace[k]
+        h, c, gates, tanh = trace[k]
+        m = len(h)
         i, f, o, g = np.split(gates, 4, 1)
-        on = live[:, k, None]
-        dh = dh + grad[:, k]
-        tanh = np.tanh(new_c)
-        down = np.where(on, dc + dh * o * (1 - tanh**2), 0)
-        dz = np.concatenate([down * g * i * (1 - i), down * c * f * (1 - f), np.where(on, dh * tanh * o * (1 - o), 0), down * i * (1 - g**2)], 1)
-        total += np.concatenate([x[:, k].T @ dz, h.T @ dz, dz.sum(0, keepdims=True)])
-        dc = np.where(on, down * f, dc)
-        dh = np.where(on, dz @ w[d:-1].T, dh)
+        out = dh[:m] + grad[:m, k]
+        down = dc[:m] + out * o * (1 - tanh**2)
+        dz = np.concatenate([down * g * i * (1 - i), down * c * f * (1 - f), out * tanh * o * (1 - o), down * i * (1 - g**2)], 1)
+        total += np.concatenate([x[:m, k].T @ dz, h.T @ dz, dz.sum(0, keepdims=True)])
+        dc[:m] = down * f
+        dh[:m] = dz @ w[d:-1].T
     return total
 
 
-def _pad(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    longest = max(map(len, pages))
-    x = np.zeros((len(pages), longest, PATH + WORDS + 2), np.float32)
-    live = np.zeros((len(pages), longest), bool)
+def _pad(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pages, longest first, read ahead and behind, and their lengths."""
+    length = np.array([len(p) for p in pages])
+    ahead = np.zeros((len(pages), length.max(), PATH + WORDS + 2), np.float32)
+    behind = np.zeros_like(ahead)
     for k, p in enumerate(pages):
-        x[k, : len(p)], live[k, : len(p)] = p, True
-    return x, live
+        ahead[k, : len(p)], behind[k, : len(p)] = p, p[::-1]
+    return ahead, behind, length
+
+
+def _turned(states: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Each page's blocks in the other direction; what lies after its end stays."""
+    place = np.arange(states.shape[1])
+    place = np.where(place < length[:, None], length[:, None] - 1 - place, place)
+    return np.take_along_axis(states, place[:, :, None], 1)
 
 
 def probabilities(net: Network, pages: list[np.ndarray]) -> list[np.ndarray]:
     """For each page, how likely each block is main text."""
     if not pages:
         return []
-    x, live = _pad(pages)
-    ahead, _ = _run(net.forward, x, live)
-    behind, _ = _run(net.backward, x[:, ::-1], live[:, ::-1])
-    p = _sigmoid(np.concatenate([ahead, behind[:, ::-1]], 2) @ net.out[:-1] + net.out[-1])
-    return [p[k, : len(page)] for k, page in enumerate(pages)]
+    order = sorted(range(len(pages)), key=lambda k: -len(pages[k]))
+    ahead, behind, length = _pad([pages[k] for k in order])
+    states = [_run(net.forward, ahead, length)[0], _turned(_run(net.backward, behind, length)[0], length)]
+    p = _sigmoid(np.concatenate(states, 2) @ net.out[:-1] + net.out[-1])
+    row = {k: r for r, k in enumerate(order)}
+    return [p[row[k], : len(page)] for k, page in enumerate(pages)]
 
 
 def train(pages: list[np.ndarray], labels: list[np.ndarray], rounds: int = ROUNDS) -> Network:
@@ -223,20 +248,23 @@ def train(pages: list[np.ndarray], labels: list[np.ndarray], rounds: int = ROUND
     r = np.random.default_rng(11)
     d = PATH + WORDS + 2
     weights = [r.normal(0, 0.15, (d + HIDDEN + 1, 4 * HIDDEN)), r.normal(0, 0.15, (d + HIDDEN + 1, 4 * HIDDEN)), r.normal(0, 0.15, 2 * HIDDEN + 1)]
-    x, live = _pad(pages)
+    order = sorted(range(len(pages)), key=lambda k: -len(pages[k]))
+    ahead, behind, length = _pad([pages[k] for k in order])
+    live = np.arange(ahead.shape[1]) < length[:, None]
+    ahead, behind = ahead.astype(np.float64), behind.astype(np.float64)  # once, and not in each round
     y = np.zeros(live.shape)
-    for k, v in enumerate(labels):
-        y[k, : len(v)] = v
+    for row, k in enumerate(order):
+        y[row, : len(labels[k])] = labels[k]
     m, s = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for t in range(1, rounds + 1):
-        ahead, trace_a = _run(weights[0], x, live, True)
-        behind, trace_b = _run(weights[1], x[:, ::-1], live[:, ::-1], True)
-        states = np.concatenate([ahead, behind[:, ::-1]], 2)
+        states_a, trace_a = _run(weights[0], ahead, length, True)
+        states_b, trace_b = _run(weights[1], behind, length, True)
+        states = np.concatenate([states_a, _turned(states_b, length)], 2)
         error = np.where(live, _sigmoid(states @ weights[2][:-1] + weights[2][-1]) - y, 0) / live.sum()
         grad = error[:, :, None] * weights[2][:-1]
         steps = [
-            _back(weights[0], x, live, trace_a, grad[:, :, :HIDDEN]),
-            _back(weights[1], x[:, ::-1], live[:, ::-1], trace_b, grad[:, ::-1, HIDDEN:]),
+            _back(weights[0], ahead, trace_a, grad[:, :, :HIDDEN]),
+            _back(weights[1], behind, trace_b, _turned(grad[:, :, HIDDEN:], length)),
             np.r_[np.einsum("nt,nth->h", error, states), error.sum()],
         ]
         for k, step in enumerate(steps):

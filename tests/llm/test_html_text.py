@@ -20,17 +20,28 @@ def test_blocks_of_broken_markup():
 def test_gradients_agree_with_differences():
     r = np.random.default_rng(0)
     d = html_text.PATH + html_text.WORDS + 2
-    x, live = r.normal(size=(3, 4, d)), np.array([[1, 1, 1, 1], [1, 1, 0, 0], [1, 0, 0, 0]], bool)
+    x, length = r.normal(size=(3, 4, d)), np.array([4, 2, 1])
+    live = np.arange(4) < length[:, None]
     w, goal = r.normal(0, 0.3, (d + html_text.HIDDEN + 1, 4 * html_text.HIDDEN)), r.normal(size=(3, 4, html_text.HIDDEN)) * live[:, :, None]
-    _, trace = html_text._run(w, x, live, True)
-    step = html_text._back(w, x, live, trace, goal)
+    _, trace = html_text._run(w, x, length, True)
+    step = html_text._back(w, x, trace, goal)
     for i, j in [(0, 0), (70, 20), (d + 3, 40), (-1, 63), (d, 5)]:
         e = np.zeros_like(w)
         e[i, j] = 1e-5
-        up, down = (float((html_text._run(w + s * e, x, live)[0] * goal).sum()) for s in (1, -1))
+        up, down = (float((html_text._run(w + s * e, x, length)[0] * goal).sum()) for s in (1, -1))
         assert abs((up - down) / 2e-5 - step[i, j]) < 1e-5
 
 
+def test_pages_of_a_batch_do_not_change_each_other():
+    r = np.random.default_rng(3)
+    d = html_text.PATH + html_text.WORDS + 2
+    shape = (d + html_text.HIDDEN + 1, 4 * html_text.HIDDEN)
+    net = html_text.Network(r.normal(0, 0.3, shape), r.normal(0, 0.3, shape), r.normal(size=2 * html_text.HIDDEN + 1))
+    pages = [r.normal(size=(n, d)).astype(np.float32) for n in (2, 7, 1, 7, 4)]
+    for page, got in zip(pages, html_text.probabilities(net, pages), strict=True):
+        assert np.allclose(got, html_text.probabilities(net, [page])[0], atol=1e-6)
+
+
 def test_held_out_pages(spark):
     """Fitted on some pages, the text of all others is exactly what lies in the article."""
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
