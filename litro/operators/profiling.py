@@ -62,6 +62,8 @@ def sorted_values(c: Column) -> Column:
 def partition_profile(df: DataFrame) -> DataFrame:
     """One row per partition: sizes, dates, products, units, collisions, duplicates, blanks, nulls.
 
+    Unreadable dates are counted and left out of the earliest and latest.
+
     Counting distinct rows, then candidate keys, then partitions is one chain of combining
     aggregates, each much smaller than the one before; the value lists need a second, narrow scan.
     """
@@ -78,12 +80,15 @@ def partition_profile(df: DataFrame) -> DataFrame:
         F.sum(F.when(all_null(columns), F.col("n")).otherwise(0)).alias("blank"),
         *nulls,
     )
-    dates = to_date(named("Data da Coleta"))
+    written = named("Data da Coleta")
+    dates = to_date(written, strict=False)
+    unreadable = dates.isNull() & written.isNotNull()
     sizes = keyed.groupBy(*PARTITION).agg(
         F.sum("n").alias("total_linhas"),
         F.lit(len(columns)).cast("bigint").alias("total_colunas"),
         F.min(dates).alias("data_minima"),
         F.max(dates).alias("data_maxima"),
+        F.sum(F.when(unreadable, F.col("n")).otherwise(0)).alias("datas_ilegiveis"),
         F.count_if(complete & (F.col("n") > 1)).alias("colisoes_chave_candidata"),
         F.sum("copies").alias("duplicatas_exatas"),
         F.sum("blank").alias("linhas_vazias"),

@@ -106,7 +106,8 @@ def enforce(violations: DataFrame, rules: Sequence[Rule], layer: str) -> None:
 
 def offending_values(df: DataFrame, allowed: dict[str, Sequence[str]]) -> DataFrame:
     """(coluna, valor, linhas): non-null values outside their allow-list."""
-    values = df.groupBy(*allowed).agg(F.count(F.lit(1)).alias("linhas"))
+    faulty = reduce(lambda a, b: a | b, [not_allowed(c, vs) for c, vs in allowed.items()])
+    values = df.where(faulty).groupBy(*allowed).agg(F.count(F.lit(1)).alias("linhas"))
     long = values.unpivot(["linhas"], list(allowed), "coluna", "valor")
     outside = reduce(
         lambda a, b: a | b,

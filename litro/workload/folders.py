@@ -142,6 +142,12 @@ def first_halves(spark: SparkSession, sf_dir: str, target: str) -> None:
     publish_silver(views.silver(observed(spark, sf_dir)).where("semestre = 1"), target)
 
 
+@once
+def direct_silver(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """Silver of all semesters, published without the file job."""
+    publish_silver(views.silver(observed(spark, sf_dir)), target)
+
+
 @once
 def payload(spark: SparkSession, sf_dir: str, target: str) -> None:
     """The municipality list as JSON arrays, one per region."""

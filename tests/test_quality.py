@@ -162,3 +162,11 @@ def test_profile_of_one_partition(raw_frame, raw_row):
     values = [r.valor for r in profiling.distinct_sorted(df, "Produto").collect()]
     assert values == [None, "ETANOL", "GASOLINA"]
     assert profiling.max_decimal_places(df, "Valor de Venda").first()[0] == 0
+
+
+def test_profile_counts_unreadable_dates(spark):
+    rows = [raw_row(), raw_row(Data_da_Coleta="31/02/2024"), raw_row(Data_da_Coleta="31/02/2024")]
+    df = raw_frame(rows, list(RAW_HEADINGS)).withColumns({"ano": F.lit(2024), "semestre": F.lit(1)})
+    row = profiling.partition_profile(df).first()
+    assert (row.total_linhas, row.datas_ilegiveis) == (3, 2)
+    assert row.data_minima == row.data_maxima == date(2024, 3, 7)
