@@ -72,6 +72,7 @@ class Model:
 def non_negative_pu(x: np.ndarray, positive: np.ndarray, prior: float, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic classifier; x: rows of 0 and 1, positive: which rows are confirmed."""
     n_p, n_u = max(1, positive.sum()), max(1, (~positive).sum())
+    x = x.astype(np.float64)  # once, and not for each product
     w, bias = np.zeros(x.shape[1]), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, rounds + 1):
