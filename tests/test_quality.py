@@ -164,7 +164,7 @@ def test_profile_of_one_partition(raw_frame, raw_row):
     assert profiling.max_decimal_places(df, "Valor de Venda").first()[0] == 0
 
 
-def test_profile_counts_unreadable_dates(spark):
+def test_profile_counts_unreadable_dates(raw_frame, raw_row):
     rows = [raw_row(), raw_row(Data_da_Coleta="31/02/2024"), raw_row(Data_da_Coleta="31/02/2024")]
     df = raw_frame(rows, list(RAW_HEADINGS)).withColumns({"ano": F.lit(2024), "semestre": F.lit(1)})
     row = profiling.partition_profile(df).first()
