@@ -33,7 +33,9 @@ HEADLINES = (
     "key_collisions",
     "profile_null_counts",
     "partition_profile",
+    "bronze_profile",
     "csv_scan",
+    "zip_landing",
     "gold_sorted",
     "overview_by_product",
     "q1_region_product",
