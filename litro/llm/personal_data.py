@@ -159,9 +159,9 @@ def _decide(candidate: Column, odds: dict[tuple[str, int], float]) -> Column:
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, text, spans array of (kind, start, end)): base kinds as listed in PATTERNS, then secret, by start.
 
-    Spans are in code points, end exclusive. Secrets that touch a base span are left out. Nulls: a
-    missing text is empty; a missing doc_id stays null. Repeated rows each get the same spans. An
-    empty table gives no rows. Other columns are ignored.
+    Spans are in code points, end exclusive. Spans of different kinds may overlap; each is reported
+    whole. Nulls: a missing text is empty; a missing doc_id stays null. Repeated rows each get the same
+    spans. An empty table gives no rows. Other columns are ignored.
     """
     docs = id_and_text(docs)
     kept = [_located("text", pattern).alias(kind) for kind, pattern in PATTERNS.items()]
@@ -175,13 +175,12 @@ def find(docs: DataFrame) -> DataFrame:
         return spans(kind, kind, lambda s: _valid(kind, s["match"]))
 
     base = found.select("doc_id", "text", "candidates", F.concat(*[checked(k) for k in PATTERNS]).alias("base"))
-    free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    secret = spans("candidates", "secret", lambda s: _decide(s, odds) & free(s))
+    secret = spans("candidates", "secret", lambda s: _decide(s, odds))
     return base.select("doc_id", "text", F.concat("base", secret).alias("spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """(doc_id, text): each span replaced by its kind in angle brackets; of overlapping spans the first, the longer one."""
+    """(doc_id, text): each span replaced by its kind in angle brackets; overlapping spans as one, by the kind of the first, the longer one."""
     found = find(docs)
     order = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
     first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("done"))
@@ -189,7 +188,9 @@ def redact(docs: DataFrame) -> DataFrame:
     def add(state: Column, s: Column) -> Column:
         plain = F.col("text").substr((state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
         done = F.concat(state["done"], plain, F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        return F.when(s["start"] < state["at"], state).otherwise(F.struct((-s["back"]).alias("at"), done.alias("done")))
+        end = -s["back"]
+        joined = F.struct(F.greatest(state["at"], end).alias("at"), state["done"].alias("done"))
+        return F.when(s["start"] < state["at"], joined).otherwise(F.struct(end.alias("at"), done.alias("done")))
 
     end = lambda s: F.concat(s["done"], F.col("text").substr((s["at"] + 1).cast("int"), F.length("text")))
     clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate(order, first, add, end))

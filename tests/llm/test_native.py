@@ -55,6 +55,19 @@ def test_personal_data_base(spark):
     assert personal_data.find(docs.limit(0)).collect() == []
 
 
+def test_overlapping_spans(spark):
+    """A secret that holds a card number is reported, and nothing of overlapping spans stays in the text."""
+    key = "abcdef0a4785380592391139fedcba9876543210"
+    rows = [(1, f'token = "{key}" end'), (2, "pay 4785 3805 9239 1139bob@x.com now"), (3, "1.2.3.4 and 4785380592391139 here")]
+    rows += [(10 + k, f'token = "{hashlib.sha1(str(k).encode()).hexdigest()}"') for k in range(20)] + [(40 + k, "longlonglongword " * 20) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in personal_data.redact(docs).collect()}
+    assert [(s.kind, got[1].text[s.start : s.end]) for s in got[1].spans] == [("card", "4785380592391139"), ("secret", key)]
+    assert got[1].redacted == 'token = "<SECRET>" end'
+    assert got[2].redacted == "pay <CARD> now" and [s.kind for s in got[2].spans] == ["email", "card"]
+    assert got[3].redacted == "<IP> and <CARD> here" and [s.kind for s in got[3].spans] == ["ip", "card"]
+
+
 def test_reliabilities_tell_good_labelers():
     share, rates, post = personal_data.reliabilities({(1, 1, 1): 90, (1, 1, 0): 10, (0, 0, 0): 800, (0, 0, 1): 100})
     assert 0.05 < share < 0.2 and post[1, 1, 1] > 0.99 and post[0, 0, 1] < 0.01
