@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from litro.llm.common import table
 
-#: Pages the network is fitted on, those of least url hash, of so many blocks at most.
-SAMPLE_PAGES, SAMPLE_BLOCKS = 128, 200
-PATH, WORDS, HIDDEN, ROUNDS = 48, 16, 16, 100
+#: Pages the network is fitted on, those of least url hash; longer ones in windows of so many blocks.
+SAMPLE_PAGES, SAMPLE_BLOCKS = 256, 200
+PATH, WORDS, HIDDEN, ROUNDS = 48, 16, 16, 150
 #: Blocks of a batch that run through the network together.
 BATCH_BLOCKS = 20_000
 
@@ -200,7 +200,7 @@ def _run(w: np.ndarray, x: np.ndarray, length: np.ndarray, keep: bool = False):
 
 def _back(w: np.ndarray, x: np.ndarray, trace: list, grad: np.ndarray) -> np.ndarray:
     n, t, d = x.shape
-    total, dh, dc = np.zeros_like(w), np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
+    dh, dc, down_z = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN)), []
     for k in range(t - 1, -1, -1):
         h, c, gates, tanh = trace[k]
         m = len(h)
@@ -208,10 +208,14 @@ def _back(w: np.ndarray, x: np.ndarray, trace: list, grad: np.ndarray) -> np.nda
         out = dh[:m] + grad[:m, k]
         down = dc[:m] + out * o * (1 - tanh**2)
         dz = np.concatenate([down * g * i * (1 - i), down * c * f * (1 - f), out * tanh * o * (1 - o), down * i * (1 - g**2)], 1)
-        total += np.concatenate([x[:m, k].T @ dz, h.T @ dz, dz.sum(0, keepdims=True)])
+        down_z.append(dz)
         dc[:m] = down * f
         dh[:m] = dz @ w[d:-1].T
-    return total
+    # One product over all steps, last step first.
+    dz = np.concatenate(down_z)
+    read = np.concatenate([x[: len(trace[k][0]), k] for k in range(t - 1, -1, -1)])
+    held = np.concatenate([trace[k][0] for k in range(t - 1, -1, -1)])
+    return np.concatenate([read.T @ dz, held.T @ dz, dz.sum(0, keepdims=True)])
 
 
 def _pad(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -243,44 +247,58 @@ def probabilities(net: Network, pages: list[np.ndarray]) -> list[np.ndarray]:
     return [p[row[k], : len(page)] for k, page in enumerate(pages)]
 
 
+def _batches(pages: list[np.ndarray], labels: list[np.ndarray]) -> list[tuple]:
+    """Pages of like length together, padded to BATCH_BLOCKS blocks at most: read ahead and behind, lengths, live places, labels."""
+    order, found = sorted(range(len(pages)), key=lambda k: -len(pages[k])), []
+    while order:
+        many = max(1, BATCH_BLOCKS // len(pages[order[0]]))
+        some, order = order[:many], order[many:]
+        ahead, behind, length = _pad([pages[k] for k in some])
+        live = np.arange(ahead.shape[1]) < length[:, None]
+        y = np.zeros(live.shape)
+        for row, k in enumerate(some):
+            y[row, : len(labels[k])] = labels[k]
+        found.append((ahead.astype(np.float64), behind.astype(np.float64), length, live, y))  # once, and not in each round
+    return found
+
+
 def train(pages: list[np.ndarray], labels: list[np.ndarray], rounds: int = ROUNDS) -> Network:
-    """Back-propagation through time with Adam over whole pages."""
+    """Back-propagation through time with Adam; each step follows the gradient over all pages."""
     r = np.random.default_rng(11)
     d = PATH + WORDS + 2
     weights = [r.normal(0, 0.15, (d + HIDDEN + 1, 4 * HIDDEN)), r.normal(0, 0.15, (d + HIDDEN + 1, 4 * HIDDEN)), r.normal(0, 0.15, 2 * HIDDEN + 1)]
-    order = sorted(range(len(pages)), key=lambda k: -len(pages[k]))
-    ahead, behind, length = _pad([pages[k] for k in order])
-    live = np.arange(ahead.shape[1]) < length[:, None]
-    ahead, behind = ahead.astype(np.float64), behind.astype(np.float64)  # once, and not in each round
-    y = np.zeros(live.shape)
-    for row, k in enumerate(order):
-        y[row, : len(labels[k])] = labels[k]
+    batches, total = _batches(pages, labels), sum(map(len, pages))
     m, s = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for t in range(1, rounds + 1):
-        states_a, trace_a = _run(weights[0], ahead, length, True)
-        states_b, trace_b = _run(weights[1], behind, length, True)
-        states = np.concatenate([states_a, _turned(states_b, length)], 2)
-        error = np.where(live, _sigmoid(states @ weights[2][:-1] + weights[2][-1]) - y, 0) / live.sum()
-        grad = error[:, :, None] * weights[2][:-1]
-        steps = [
-            _back(weights[0], ahead, trace_a, grad[:, :, :HIDDEN]),
-            _back(weights[1], behind, trace_b, _turned(grad[:, :, HIDDEN:], length)),
-            np.r_[np.einsum("nt,nth->h", error, states), error.sum()],
-        ]
+        steps = [np.zeros_like(w) for w in weights]
+        for ahead, behind, length, live, y in batches:
+            states_a, trace_a = _run(weights[0], ahead, length, True)
+            states_b, trace_b = _run(weights[1], behind, length, True)
+            states = np.concatenate([states_a, _turned(states_b, length)], 2)
+            error = np.where(live, _sigmoid(states @ weights[2][:-1] + weights[2][-1]) - y, 0) / total
+            grad = error[:, :, None] * weights[2][:-1]
+            steps[0] += _back(weights[0], ahead, trace_a, grad[:, :, :HIDDEN])
+            steps[1] += _back(weights[1], behind, trace_b, _turned(grad[:, :, HIDDEN:], length))
+            steps[2] += np.r_[np.einsum("nt,nth->h", error, states), error.sum()]
         for k, step in enumerate(steps):
             m[k], s[k] = 0.9 * m[k] + 0.1 * step, 0.999 * s[k] + 0.001 * step**2
             weights[k] -= 0.03 * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.999**t)) + 1e-8)
     return Network(*weights)
 
 
+def _windows(values: np.ndarray) -> list[np.ndarray]:
+    """A page's blocks in stretches of like length, SAMPLE_BLOCKS at most; none is left out."""
+    return np.array_split(values, -(-len(values) // SAMPLE_BLOCKS))
+
+
 def fit(pages: DataFrame, most: int = SAMPLE_PAGES) -> Network | None:
-    """From at most `most` pages. None if no block of them is labelled as main text."""
+    """From all blocks of at most `most` pages. None if no block of them is labelled as main text."""
     sample = pages.select("url", "html").where("html IS NOT NULL").orderBy(F.xxhash64("url", "html"), "url").limit(most).collect()
-    parsed = [p for p in (blocks(r.html) for r in sample) if 0 < len(p) <= SAMPLE_BLOCKS]
+    parsed = [p for p in (blocks(r.html) for r in sample) if p]
     labels = [np.array([weak_label(b) for b in p]) for p in parsed]
     if not any(v.any() for v in labels):
         return None
-    return train([vectors(p) for p in parsed], labels)
+    return train([w for p in parsed for w in _windows(vectors(p))], [w for v in labels for w in _windows(v)])
 
 
 def main_text(pages: DataFrame, net: Network | None = None) -> DataFrame:
