@@ -13,12 +13,6 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE, PERCENT = 5, 80
 
 
-def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is among ids; a row without doc_id stays, as no decision can name it."""
-    kept = docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from this stage's texts and the labels, does not call toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -26,9 +20,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of least id; of rows with one id, one."""
-    found = minhash_dedup.near_duplicates(docs, PERCENT, SHINGLE)
-    return _chosen(docs, found.where("kept")).dropDuplicates(["doc_id", "text"])
+    """Of each group of near copies the document of least id; of rows with one id and text, one. Copies without id
+    stay only where no row of their group has one."""
+    gone = minhash_dedup.decisions(docs, PERCENT, SHINGLE).where("NOT kept").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
+    keyed = minhash_dedup.with_text_key(docs.select(*COLUMNS))
+    kept = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left_anti")
+    return kept.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

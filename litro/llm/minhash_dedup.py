@@ -74,20 +74,20 @@ def _bands(least: np.ndarray) -> tuple[list[int], list[int]]:
     return value[0].tolist(), value[1].tolist()
 
 
-SIGNED = "doc_id long, missing boolean, n_shingles long, set_a long, set_b long, left array<long>, right array<long>"
+SIGNED = "doc_id long, text_key string, n_shingles long, set_a long, set_b long, left array<long>, right array<long>"
 
 
 def _signatures(size: int):
     def run(batches):
         for batch in batches:
             rows = {k.split()[0]: [] for k in SIGNED.split(", ")}
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            for doc, text_key, text in zip(batch["doc_id"].to_pylist(), batch["text_key"].to_pylist(), batch["text"], strict=True):
                 values = shingles(text.as_py(), size)
                 left, right = _bands(minhashes(values))
-                row = (LAST_ID if doc is None else doc, doc is None, len(values), _sum(values), _sum(_mix(values)), left, right)
+                row = (doc, text_key, len(values), _sum(values), _sum(_mix(values)), left, right)
                 for column, value in zip(rows.values(), row, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], list(rows))
 
     return run
@@ -102,8 +102,8 @@ def _sets(size: int):
         for batch in batches:
             sets = [shingles(t.as_py(), size).tobytes() for t in batch["text"]]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["group"], batch["low"], batch["high"], batch["block"], pa.array(sets, pa.binary())],
-                ["doc_id", "group", "low", "high", "block", "shingles"],
+                [batch["vertex"], batch["group"], batch["low"], batch["high"], batch["block"], pa.array(sets, pa.binary())],
+                ["vertex", "group", "low", "high", "block", "shingles"],
             )
 
     return run
@@ -113,7 +113,7 @@ def _confirm(percent: int):
     """Links within a group: enough to connect all that are linked, each confirmed on full sets."""
 
     def run(key, group):
-        docs = group["doc_id"].to_numpy()
+        docs = group["vertex"].to_numpy()
         block = group["block"].to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in group["shingles"].to_pylist()]
         size = np.array([len(s) for s in sets])
@@ -142,56 +142,75 @@ def _confirm(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row for each row of docs.
+def with_text_key(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with text_key, which tells texts apart where doc_id does not; a missing text is empty."""
+    return docs.withColumn("text_key", F.md5(F.coalesce(docs[text].cast("string"), F.lit(""))))
 
-    Words are lower-cased in A-Z. Documents whose shingle sets have 100 * intersection >= percent *
-    union are linked; component_id is the least doc_id that links lead to. Nulls: a missing text is
-    empty, linked with nothing and kept; rows without doc_id count as one document after all others,
-    and their component_id is null unless links lead to another. Repeated rows and rows with one
-    doc_id share a component and are kept or not together. An empty table gives no rows. Other
-    columns are ignored. Documents with equal sets are one candidate; a candidate group too large
-    for a task is confirmed block against block.
-    """
-    docs = id_and_text(docs)
+
+def decisions(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """near_duplicates with text_key: rows of one doc_id and text_key have one decision."""
+    docs = with_text_key(id_and_text(docs))
     signed = cut(docs.mapInArrow(_signatures(shingle), SIGNED))
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text_key")).alias("first")
     sets = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("first_id"), F.any_value("left").alias("left"), F.any_value("right").alias("right")
+        F.min("doc_id").alias("least_id"), first, F.any_value("left").alias("left"), F.any_value("right").alias("right")
     )
-    sets = cut(sets)
-    keys = sets.select("first_id", "right", F.posexplode("left").alias("i", "x"))
-    keys = keys.select("first_id", "i", "x", F.posexplode("right").alias("j", "y"))
-    keys = keys.select("first_id", F.xxhash64("i", "j", "x", "y").alias("key"))
-    # The least and greatest id of a key: where they differ, the key is a candidate.
-    tables = keys.groupBy("key").agg(F.min("first_id").alias("b"), F.max("first_id").alias("top")).where("b < top")
-    candidates = keys.join(tables.select("key", "b"), "key").where("first_id > b").select(F.col("first_id").alias("a"), "b")
+    # A vertex is a distinct set; its number is fixed as the rows are written.
+    sets = cut(sets.withColumn("vertex", F.monotonically_increasing_id()))
+    keys = sets.select("vertex", "right", F.posexplode("left").alias("i", "x"))
+    keys = keys.select("vertex", "i", "x", F.posexplode("right").alias("j", "y"))
+    keys = keys.select("vertex", F.xxhash64("i", "j", "x", "y").alias("key"))
+    # The least and greatest vertex of a key: where they differ, the key is a candidate.
+    tables = keys.groupBy("key").agg(F.min("vertex").alias("b"), F.max("vertex").alias("top")).where("b < top")
+    candidates = keys.join(tables.select("key", "b"), "key").where("vertex > b").select(F.col("vertex").alias("a"), "b")
     grouped = components(candidates.distinct())
-    members = grouped.select(F.col("a").alias("doc_id"), F.col("b").alias("group"))
+    members = grouped.select(F.col("a").alias("vertex"), F.col("b").alias("group"))
     members = members.union(grouped.select("b", "b").distinct())
-    members = members.join(sets.select(F.col("first_id").alias("doc_id"), "n_shingles"), "doc_id")
+    members = members.join(sets.select("vertex", "n_shingles", "first.doc_id", "first.text_key"), "vertex")
     shares = members.groupBy("group").agg(
         F.ceil(F.greatest(F.sum("n_shingles") / BLOCK_SHINGLES, F.count("*") / BLOCK_DOCS)).cast("long").alias("blocks")
     )
-    members = members.join(shares, "group").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-    members = members.select("doc_id", "group", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    members = members.select("doc_id", "group", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text")
-    full = texts.join(members, "doc_id").select("doc_id", "group", "low", "high", "block", "text")
-    full = full.mapInArrow(_sets(shingle), "doc_id long, group long, low long, high long, block long, shingles binary")
-    full = full.where(F.octet_length("shingles") > 0)
+    members = members.join(shares, "group").select("vertex", "doc_id", "text_key", "group", "blocks")
+    texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text_key", "text")
+    # One text of each set: repeated rows, and equal texts without doc_id, count once.
+    full = texts.join(members, ["doc_id", "text_key"]).groupBy("vertex", "group", "blocks").agg(F.any_value("text").alias("text"))
+    full = full.withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks")))
+    full = full.select("vertex", "group", "block", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    full = full.select("vertex", "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "text")
+    full = full.mapInArrow(_sets(shingle), "vertex long, group long, low long, high long, block long, shingles binary")
     links = full.groupBy("group", "low", "high").applyInArrow(_confirm(percent), "a long, b long")
     found = components(links)
-    sets = sets.join(found, sets["first_id"] == found["a"], "left")
-    sets = sets.select("set_a", "set_b", "n_shingles", F.coalesce("b", "first_id").alias("component"))
-    result = signed.select("doc_id", "missing", "n_shingles", "set_a", "set_b").join(sets, ["set_a", "set_b", "n_shingles"], "left")
+    found = found.union(found.select("b", "b").distinct())
+    linked = found.join(sets.select(F.col("vertex").alias("a"), "least_id"), "a")
+    least = linked.groupBy("b").agg(F.min("least_id").alias("component"))
+    found = found.join(least, "b").select(F.col("a").alias("vertex"), "component")
+    sets = sets.select("vertex", "set_a", "set_b", "n_shingles", "least_id").join(found, "vertex", "left")
+    sets = sets.select("set_a", "set_b", "n_shingles", F.coalesce("component", "least_id").alias("component"))
+    result = signed.select("doc_id", "text_key", "n_shingles", "set_a", "set_b").join(sets, ["set_a", "set_b", "n_shingles"], "left")
     component = F.coalesce("component", "doc_id")
     return result.select(
-        F.when(~F.col("missing"), F.col("doc_id")).alias("doc_id"),
+        "doc_id",
+        "text_key",
         "n_shingles",
-        F.when(component < LAST_ID, component).alias("component_id"),
-        (F.col("doc_id") == component).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
     )
 
 
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), a row for each row of docs.
+
+    Words are lower-cased in A-Z. Documents whose shingle sets have 100 * intersection >= percent *
+    union are linked; component_id is the least doc_id that links lead to. Nulls: a missing text is
+    empty, linked with nothing and kept; rows without doc_id are linked by their text like all others,
+    and their component_id is null, and they are kept, unless links lead to a row with one. Repeated
+    rows share a component and are kept or not together; rows that share a doc_id but not a text are
+    each linked by their own text. An empty table gives no rows. Other columns are ignored. Documents
+    with equal sets are one candidate; a candidate group too large for a task is confirmed block
+    against block.
+    """
+    return decisions(docs, percent, shingle).drop("text_key")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -65,6 +65,18 @@ def test_nulls_repeats_and_empty(spark):
     assert minhash_dedup.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_rows_of_one_id_do_not_link_others(spark):
+    """Unrelated documents stay apart when rows without doc_id, or of one doc_id, are near copies of each."""
+    x, y, z = (" ".join(f"{c}{k}" for k in range(40)) for c in "xyz")
+    rows = [(5, x), (7, y), (None, x + " more"), (None, y + " more"), (9, x + " else"), (9, y + " else"), (None, z), (None, z + " more"), (None, z)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in minhash_dedup.near_duplicates(docs).collect()))
+    assert got == [
+        (0, 38, 0, True), (0, 38, 0, True), (0, 39, 0, True), (0, 39, 5, False), (0, 39, 7, False),
+        (5, 38, 5, True), (7, 38, 7, True), (9, 39, 5, False), (9, 39, 7, False),
+    ]
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(0, 60)] + [(100, 200), (7, 7)], "a long, b long")
     got = {(r.a, r.b) for r in graph.components(links).collect()}

@@ -34,3 +34,11 @@ def test_stages(spark, tmp_path):
     assert {p.doc_id for p in packed} == set(texts) and max(p.length for p in packed) <= packing.CAPACITY
     again = pipeline.run(spark, str(tmp_path)).collect()
     assert sorted((str(p.doc_id), p.part, p.length) for p in again) == sorted((str(p.doc_id), p.part, p.length) for p in packed)
+
+
+def test_near_copies_without_id_take_no_clean_document_along(spark, tmp_path):
+    x, y = (" ".join(f"{c}{k}" for k in range(60)) for c in "xy")
+    rows = [(5, x), (7, y), (None, x + " more"), (None, y + " more"), (9, x + " else"), (9, "of its own"), (None, "no id")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id or 0, r.text) for r in pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect())
+    assert got == [(0, "no id"), (5, x), (7, y), (9, "of its own")]
