@@ -7,12 +7,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litro.llm import minhash_dedup
 from litro.llm.common import table, words
 
 #: Words of a bin.
 CAPACITY = 2048
 #: Pieces that are packed together; more of them are dealt over more groups.
 GROUP_PIECES = 20_000
+#: Near copies of op8: five-word shingles and a similarity of 0.8 or more.
+SHINGLE, PERCENT = 5, 80
 
 
 class Bins:
@@ -70,7 +73,7 @@ PACKED = "doc_id long, part long, start long, length long, bin_id long, bin_offs
 
 def _pack(capacity: int):
     def run(key, group):
-        group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("part", "ascending"), ("cluster", "ascending")])
+        group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("part", "ascending"), ("exact", "ascending"), ("cluster", "ascending")])
         sources, n_sources = _numbers(group["source"].to_pylist(), 2)
         clusters, n_clusters = _numbers(group["cluster"].to_pylist(), 2)
         bins = Bins(capacity, n_sources, n_clusters, group.num_rows)
@@ -84,29 +87,32 @@ def _pack(capacity: int):
     return run
 
 
-def best_fit(docs: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
+def best_fit(docs: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, cluster: str | None = None) -> DataFrame:
     """(doc_id, part, start, length, bin_id, bin_offset, source): where each piece of each document lies.
 
     docs has doc_id, text and source. A document of more than `capacity` words is cut into pieces of
     that many and a rest. The longest pieces are placed first, each in the fullest bin that has room
-    and holds no piece of its source or of its duplicate cluster (equal words, regardless of case);
-    such a bin is looked for until all open bins are tried. Pieces are dealt by hash over groups of
+    and holds no piece of its source or of its duplicate cluster; such a bin is looked for until all open bins are tried. Pieces are dealt by hash over groups of
     about `group_pieces`, which are packed on their own, so neither a source nor a cluster meets in one task.
+    The duplicate cluster is the number in the column that `cluster` names; without one, and where it is
+    null, a text's own words, regardless of case, so that only exact copies conflict.
     Nulls: a missing text and a text without words give one piece of length 0 with no bin; a missing
     source never conflicts; a missing doc_id stays null. Equal lengths go by doc_id, part and
-    cluster. Repeated rows are placed each, in different bins. An empty table gives no rows.
+    words. Repeated rows are placed each, in different bins. An empty table gives no rows.
     """
-    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["source"].cast("string").alias("source"))
+    named = (docs[cluster] if cluster else F.lit(None)).cast("long").alias("cluster")
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["source"].cast("string").alias("source"), named)
     tokens = words(F.coalesce("text", F.lit("")))
-    docs = docs.select("doc_id", "source", F.size(tokens).cast("long").alias("n"), F.xxhash64(F.lower(F.array_join(tokens, " "))).alias("cluster"))
+    docs = docs.select("doc_id", "source", F.size(tokens).cast("long").alias("n"), F.xxhash64(F.lower(F.array_join(tokens, " "))).alias("exact"), "cluster")
+    docs = docs.withColumn("cluster", F.coalesce("cluster", "exact"))
     last = F.greatest(F.lit(0), F.ceil(F.col("n") / capacity) - 1)
     pieces = docs.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("part"))
     start = F.col("part") * capacity
-    pieces = pieces.select("doc_id", "part", start.alias("start"), F.least(F.col("n") - start, F.lit(capacity)).alias("length"), "source", "cluster")
+    pieces = pieces.select("doc_id", "part", start.alias("start"), F.least(F.col("n") - start, F.lit(capacity)).alias("length"), "source", "exact", "cluster")
     empty = pieces.where("length = 0").select("doc_id", "part", "start", "length", F.lit(None).cast("long").alias("bin_id"), F.lit(None).cast("long").alias("bin_offset"), "source")
     full = pieces.where("length > 0")
     groups = max(1, -(-full.count() // group_pieces))
-    dealt = full.withColumn("deal", F.pmod(F.xxhash64("doc_id", "part", "cluster"), F.lit(groups)))
+    dealt = full.withColumn("deal", F.pmod(F.xxhash64("doc_id", "part", "exact"), F.lit(groups)))
     packed = dealt.repartition(groups, "deal").groupBy("deal").applyInArrow(_pack(capacity), PACKED)
     return packed.unionByName(empty)
 
@@ -120,5 +126,18 @@ def assemble(docs: DataFrame, placed: DataFrame) -> DataFrame:
     return bins.select("bin_id", F.array_join(F.col("parts.text"), "\n\n").alias("text"))
 
 
+def with_clusters(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, source, cluster): cluster is the component of near copies, five words and a similarity of 0.8 or more.
+
+    Texts are compared in lower case, so that exact copies regardless of case stay one cluster. It is
+    null where a component has no doc_id.
+    """
+    docs = minhash_dedup.with_text_key(docs.select("doc_id", "text", "source", F.lower(docs["text"].cast("string")).alias("lower")), "lower")
+    found = minhash_dedup.decisions(docs.select("doc_id", F.col("lower").alias("text")), PERCENT, SHINGLE)
+    found = found.where("component_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), F.col("component_id").alias("cluster")).distinct()
+    both = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
+    return both.select("doc_id", "text", "source", "cluster")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit(table(spark, sf_dir, "documents"))
+    return best_fit(with_clusters(table(spark, sf_dir, "documents")), cluster="cluster")

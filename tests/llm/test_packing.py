@@ -67,3 +67,13 @@ def test_assemble(spark):
     docs = make(spark, [(1, "a  b c d e", "s"), (2, "x y", "t")])
     bins = packing.assemble(docs, packing.best_fit(docs, capacity=4)).collect()
     assert sorted(b.text for b in bins) == ["a b c d", "x y\n\ne"] or sorted(b.text for b in bins) == ["a b c d", "e\n\nx y"]
+
+
+def test_near_copies_share_no_bin(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = [*base[:30], "other", *base[31:]]
+    rows = [(1, " ".join(base), "a"), (2, " ".join(near), "b"), (3, " ".join(f"z{k}" for k in range(60)), "c"), (None, " ".join([*base, "more"]), "d"), (4, "\u00c9 x", "e"), (5, "\u00e9 x", "f")]
+    docs = packing.with_clusters(make(spark, rows))
+    assert sorted((r.source, r.cluster) for r in docs.collect()) == [("a", 1), ("b", 1), ("c", 3), ("d", 1), ("e", 4), ("f", 4)]
+    bins = {p.source: p.bin_id for p in packing.best_fit(docs, 1000, cluster="cluster").collect()}
+    assert len({bins["a"], bins["b"], bins["d"]}) == 3 and bins["e"] != bins["f"]
