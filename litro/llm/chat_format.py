@@ -85,7 +85,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     ids = turns.select(F.col("conv_id").cast("long").alias("conv_id")).where("conv_id IS NOT NULL").distinct()
     even = F.col("conv_id") % 2 == 0
-    pairs = ids.groupBy(F.floor(F.col("conv_id") / 2).alias("pair")).agg(
+    pairs = ids.groupBy(F.shiftright("conv_id", 1).alias("pair")).agg(
         F.max(F.when(even, F.col("conv_id"))).alias("chosen_id"), F.max(F.when(~even, F.col("conv_id"))).alias("rejected_id")
     )
     done = format_preferences(turns, pairs)

@@ -163,3 +163,12 @@ def test_sha_of_no_spans_is_that_of_nothing(spark):
     empty = spark.createDataFrame([(1, None)], "doc_id long, text string")
     row = personal_data.find(empty).select(F.sha2(F.array_join(F.transform("spans", lambda s: s["kind"]), ","), 256).alias("x")).first()
     assert row.x == hashlib.sha256(b"").hexdigest()
+
+
+def test_pairs_of_large_ids(spark, tmp_path):
+    """No conversation is lost where ids are beyond what a double holds, or negative."""
+    ids = [(1 << 60) + k for k in range(6)] + [-2, -1, 0, 1]
+    rows = [(i, 0, "user", f"t{i}") for i in ids]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted((r.chosen_id, r.rejected_id) for r in chat_format.query(spark, str(tmp_path)).collect())
+    assert got == [(-2, -1), (0, 1), *(((1 << 60) + k, (1 << 60) + k + 1) for k in (0, 2, 4))]
