@@ -2,7 +2,9 @@
 
 from litro.llm import (
     chat_format,
+    credentials,
     decontamination,
+    filter_audit,
     html_text,
     minhash_dedup,
     packing,
@@ -11,6 +13,7 @@ from litro.llm import (
     substring_dedup,
     suffix_dedup,
     toxicity,
+    whitening,
 )
 
 QUERIES = {
@@ -24,9 +27,13 @@ QUERIES = {
     "op8_packing": packing.query,
     "op9_toxicity": toxicity.query,
     "op10_chat_format": chat_format.query,
+    "op11_whitening": whitening.query,
+    "op12_secrets": credentials.query,
+    "op13_filter_audit": filter_audit.query,
 }
 
 ORACLES: dict[str, str] = {
     "op3_decontamination": decontamination.ORACLE,
     "op10_chat_format": chat_format.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
