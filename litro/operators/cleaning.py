@@ -21,7 +21,9 @@ from litro.schemas import (
     OPTIONAL_HEADINGS,
     PARTITION,
     RAW_HEADINGS,
+    ROW,
     SILVER_NAME_OF_HEADING,
+    STATE,
 )
 
 logger = logging.getLogger(__name__)
@@ -33,7 +35,7 @@ def source_columns(df: DataFrame) -> list[str]:
 
 
 def unknown_headings(df: DataFrame) -> list[str]:
-    return sorted(set(source_columns(df)) - set(RAW_HEADINGS))
+    return sorted(set(source_columns(df)) - set(RAW_HEADINGS) - {STATE, ROW})
 
 
 def require_critical_headings(df: DataFrame) -> None:
@@ -68,9 +70,9 @@ def add_optional_columns(df: DataFrame) -> DataFrame:
 
 
 def select_silver_names(df: DataFrame) -> DataFrame:
-    """The eleven kept columns under their Silver names; path columns pass through."""
+    """The eleven kept columns under their Silver names; path columns and a line's state pass through."""
     kept = [named(heading).alias(name) for heading, name in SILVER_NAME_OF_HEADING.items()]
-    return df.select(*kept, *[c for c in PARTITION if c in df.columns])
+    return df.select(*kept, *[c for c in (*PARTITION, STATE) if c in df.columns])
 
 
 def normalize_values(df: DataFrame, strict: bool = True) -> DataFrame:
@@ -89,7 +91,8 @@ def to_silver(df: DataFrame, strict: bool = True) -> DataFrame:
     """The whole cleaning chain, one lazy plan with one shuffle (the de-duplication).
 
     `strict=False` turns unreadable dates and prices into nulls, for callers that report them
-    through the quality rules instead of losing the whole job to one bad row.
+    through the quality rules instead of losing the whole job to one bad row. Lines with a state are
+    never blank and never copies of each other, so each of them stays to be reported.
     """
     require_critical_headings(df)
     warn_unknown_headings(df)

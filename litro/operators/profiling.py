@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litro.functions.values import all_null, decimal_places, named, to_date
 from litro.operators.cleaning import source_columns
 from litro.operators.quality import duplicate_keys
 from litro.schemas import PARTITION
+from litro.session import stage, work_folder
 
 CANDIDATE_KEY = ("CNPJ da Revenda", "Produto", "Data da Coleta")
 
@@ -52,70 +54,103 @@ def max_decimal_places(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(decimal_places(named(column))).alias("maximo_casas_decimais"))
 
 
-def sorted_values(c: Column) -> Column:
-    """Aggregate: distinct values in order, null first if there is one."""
-    null = F.when(F.count_if(c.isNull()) > 0, F.array(F.lit(None).cast("string")))
-    first = F.coalesce(null, F.array().cast("array<string>"))
-    return F.concat(first, F.sort_array(F.collect_set(c)))
+#: Measures of a profile's counted rows. The values listed are those of LISTED.
+ROWS, COPIES, BLANK, NULL, KEY, VALUE = "linhas", "copias", "vazias", "nulo", "chave", "valor"
+LISTED = ("Produto", "Unidade de Medida", "Data da Coleta")
+#: A value list in the profile itself holds so many of the first values; the counted rows have all.
+MOST_LISTED = 1000
 
 
-def partition_profile(df: DataFrame) -> DataFrame:
-    """One row per partition: sizes, dates, products, units, collisions, duplicates, blanks, nulls.
+def counted_values(df: DataFrame) -> DataFrame:
+    """(medida, ano, semestre, coluna, valor, n): all that a profile needs to know, counted in long rows.
 
-    Unreadable dates are counted and left out of the earliest and latest.
+    medida `valor`: rows by value of a listed column, null among them; `nulo`: rows that are null in a column;
+    `chave`: rows by complete candidate key; `linhas`, `vazias`: all rows and blank ones; `copias`: rows that
+    equal an earlier one.
 
-    Counting distinct rows, then candidate keys, then partitions is one chain of combining
-    aggregates, each much smaller than the one before; the value lists need a second, narrow scan.
+    One scan: whole rows are counted first, with map-side combine, and what is left of them is counted
+    by measure and value, so neither a frequent row nor a frequent value meets in one task.
     """
     columns = source_columns(df)
-    distinct = df.groupBy(*[named(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("n"))
+    distinct = df.groupBy(*[named(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    n, none = F.col("_n"), F.lit(None).cast("string")
+
+    def entry(measure: str, column: Column, value: Column, number: Column) -> Column:
+        return F.struct(F.lit(measure).alias("medida"), column.alias("coluna"), value.alias("valor"), number.alias("n"))
+
     complete = reduce(lambda a, b: a & b, [named(c).isNotNull() for c in CANDIDATE_KEY])
-    nulls = [
-        F.sum(F.when(named(c).isNull(), F.col("n")).otherwise(0)).alias(f"n{i}")
-        for i, c in enumerate(columns)
+    # Lengths tell keys apart whose parts would read alike when joined.
+    key = F.concat_ws(":", *[F.length(named(c)) for c in CANDIDATE_KEY], *[named(c) for c in CANDIDATE_KEY])
+    entries = [
+        entry(ROWS, none, none, n),
+        entry(COPIES, none, none, n - 1),
+        entry(BLANK, none, none, F.when(all_null(columns), n).otherwise(0)),
+        entry(KEY, none, key, F.when(complete, n).otherwise(0)),
+        *[entry(VALUE, F.lit(c), named(c), n) for c in LISTED if c in columns],
     ]
-    keyed = distinct.groupBy(*PARTITION, *[named(c) for c in CANDIDATE_KEY]).agg(
-        F.sum("n").alias("n"),
-        F.sum(F.col("n") - 1).alias("copies"),
-        F.sum(F.when(all_null(columns), F.col("n")).otherwise(0)).alias("blank"),
-        *nulls,
+    nulls = F.transform(
+        F.filter(F.array(*[F.when(named(c).isNull(), F.lit(c)) for c in columns]), lambda c: c.isNotNull()),
+        lambda c: entry(NULL, c, none, n),
     )
-    written = named("Data da Coleta")
-    dates = to_date(written, strict=False)
-    unreadable = dates.isNull() & written.isNotNull()
-    sizes = keyed.groupBy(*PARTITION).agg(
-        F.sum("n").alias("total_linhas"),
+    long = distinct.select(*PARTITION, F.inline(F.concat(F.array(*entries), nulls))).where("n > 0")
+    return long.groupBy("medida", *PARTITION, "coluna", "valor").agg(F.sum("n").alias("n"))
+
+
+def value_rows(counted: DataFrame) -> DataFrame:
+    """(ano, semestre, coluna, valor, n): every value of the listed columns and its rows, null included."""
+    return counted.where(F.col("medida") == VALUE).select(*PARTITION, "coluna", "valor", "n")
+
+
+def value_lists(counted: DataFrame, columns: Sequence[str], most: int = MOST_LISTED) -> DataFrame:
+    """(ano, semestre, a list for each column): the first `most` values in order, null first if there is one."""
+    order = Window.partitionBy(*PARTITION, "coluna").orderBy(F.asc_nulls_first("valor"))
+    first = value_rows(counted).where(F.col("coluna").isin(*columns)).withColumn("i", F.row_number().over(order)).where(F.col("i") <= most)
+    # Entries sort by place; a list skips nulls, a struct does not.
+    listed = [
+        F.transform(
+            F.sort_array(F.collect_list(F.when(F.col("coluna") == c, F.struct("i", "valor")))), lambda x: x["valor"]
+        ).alias(c)
+        for c in columns
+    ]
+    return first.groupBy(*PARTITION).agg(*listed)
+
+
+def partition_profile(df: DataFrame) -> DataFrame:
+    """One row per partition: sizes, dates, products, units, collisions, duplicates, blanks, nulls.
+
+    Unreadable dates are counted and left out of the earliest and latest. Lists of products and units hold
+    their first values, at most MOST_LISTED; `value_rows` has all of them. The counted rows are staged in
+    the shared working folder, one folder a measure, and every metric reads them there.
+    """
+    counted = stage(counted_values(df), work_folder(df.sparkSession, "profile"), "medida")
+    return profile_of_counts(counted, source_columns(df))
+
+
+def profile_of_counts(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    def total(measure: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("medida") == measure, F.col("n"))), F.lit(0))
+
+    dated = (F.col("medida") == VALUE) & (F.col("coluna") == "Data da Coleta")
+    day = F.when(dated, to_date(F.col("valor"), strict=False))
+    unreadable = dated & F.col("valor").isNotNull() & day.isNull()
+    # At most an entry a column; keys are as many as rows, so they are summed up before partitions meet.
+    nulls = F.map_from_entries(F.collect_list(F.when(F.col("medida") == NULL, F.struct("coluna", F.col("n").alias("nulos")))))
+    sizes = counted.groupBy(*PARTITION).agg(
+        total(ROWS).alias("total_linhas"),
         F.lit(len(columns)).cast("bigint").alias("total_colunas"),
-        F.min(dates).alias("data_minima"),
-        F.max(dates).alias("data_maxima"),
-        F.sum(F.when(unreadable, F.col("n")).otherwise(0)).alias("datas_ilegiveis"),
-        F.count_if(complete & (F.col("n") > 1)).alias("colisoes_chave_candidata"),
-        F.sum("copies").alias("duplicatas_exatas"),
-        F.sum("blank").alias("linhas_vazias"),
-        *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(columns))],
-    )
-    null_map = F.map_from_entries(
-        F.filter(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("coluna"), F.col(f"n{i}").alias("nulos"))
-                    for i, c in enumerate(columns)
-                ]
-            ),
-            lambda pair: pair["nulos"] > 0,
-        )
-    )
-    lists = df.groupBy(*PARTITION).agg(
-        sorted_values(named("Produto")).alias("produtos"),
-        sorted_values(named("Unidade de Medida")).alias("unidades_de_medida"),
+        F.min(day).alias("data_minima"),
+        F.max(day).alias("data_maxima"),
+        F.coalesce(F.sum(F.when(unreadable, F.col("n"))), F.lit(0)).alias("datas_ilegiveis"),
+        F.count_if((F.col("medida") == KEY) & (F.col("n") > 1)).alias("colisoes_chave_candidata"),
+        total(COPIES).alias("duplicatas_exatas"),
+        total(BLANK).alias("linhas_vazias"),
+        nulls.alias("nulos"),
+        F.array(*[F.lit(c) for c in columns]).alias("colunas"),
     )
-    return (
-        sizes.withColumns(
-            {"nulos": null_map, "colunas": F.array(*[F.lit(c) for c in columns])}
-        )
-        .drop(*[f"n{i}" for i in range(len(columns))])
-        .join(lists, list(PARTITION), "left")
+    lists = value_lists(counted, ("Produto", "Unidade de Medida")).withColumnsRenamed(
+        {"Produto": "produtos", "Unidade de Medida": "unidades_de_medida"}
     )
+    return sizes.join(lists, list(PARTITION), "left")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

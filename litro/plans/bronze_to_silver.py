@@ -10,27 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litro.operators.cleaning import to_silver
+from litro.operators.contract import require_contract
 from litro.operators.quality import Rule, report, silver_rules
-from litro.schemas import PARTITION
-from litro.session import scratch_folder
+from litro.schemas import PARTITION, SILVER, STATE
+from litro.session import scratch_folder, stage
+from litro.sources.commit import publish_folders
 from litro.sources.delimited import (
+    BOTH,
+    INVALID,
+    SURPLUS,
     file_headers,
     header_drift,
-    header_shapes,
-    malformed_rows,
     scan_bronze,
 )
 from litro.sources.files import partitions, pending
-from litro.sources.layers import PARQUET, publish_silver
+from litro.sources.layers import PARQUET
 
 logger = logging.getLogger(__name__)
 
 
-def stage(df: DataFrame, target: str) -> DataFrame:
-    """Writes `df` below the shared working folder and reads it back: checks and publishing then
-    share one computation that outlives lost executors."""
-    df.write.parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
+IN_ORDER = "em ordem"
 
 
 def partition_filter(keys: Sequence[tuple[int, int]]):
@@ -54,6 +53,9 @@ def bronze_to_silver(
     A partition with an unusable header, a missing critical heading, a row of too many fields, bytes
     that are not UTF-8, a violated rule or no row left is not published and, once the others are,
     reported in one error. Partitions that already have Silver files are skipped.
+
+    The raw text is read once, and shuffled twice: to find copies, and by partition as it is staged. Clean
+    partitions are then published as they were staged, by renames.
     """
     with scratch_folder(spark, "bronze-to-silver") as work:
         return _publish_pending(spark, bronze, silver, list(rules or silver_rules()), glob, work)
@@ -83,20 +85,37 @@ def _publish_pending(
             found.setdefault("Colunas críticas ausentes", []).append(row.coluna)
     good = [k for k in keys if k not in problems]
     if good:
-        shapes = header_shapes(headers.where(partition_filter(good)))
-        for row in malformed_rows(spark, bronze, shapes, glob).collect():
-            found = {"Campos excedentes": row.campos_excedentes, "Bytes inválidos": row.bytes_invalidos}
-            problems[row.ano, row.semestre] = {k: n for k, n in found.items() if n}
-        raw = scan_bronze(spark, bronze, glob, shapes)
-        typed = stage(to_silver(raw, strict=False), f"{work}/silver")
-        present = {tuple(r) for r in typed.select(*PARTITION).distinct().collect()}
-        for key in set(good) - present:
-            problems.setdefault(key, {})["Nenhuma linha"] = 0
-        for row in report(typed, rules, PARTITION).where("violations > 0").collect():
-            problems.setdefault((row.ano, row.semestre), {})[row.check] = row.violations
+        condition = partition_filter(good)
+        raw = scan_bronze(spark, bronze, glob, headers.where(condition), condition, with_state=True)
+        rows = to_silver(raw, strict=False).withColumn(STATE, F.coalesce(STATE, F.lit(IN_ORDER)))
+        require_contract(rows.drop(STATE, *PARTITION), SILVER, "Silver")
+        folders = (STATE, *PARTITION)
+        staged = stage(rows.hint("rebalance", *folders), f"{work}/silver", *folders)
+        for key, found in malformed(staged).items():
+            problems.setdefault(key, {}).update(found)
+        sound = staged.where(F.col(STATE) == IN_ORDER)
+        present = set()
+        for row in report(sound, rules, PARTITION).collect():  # a row per partition and rule
+            present.add((row.ano, row.semestre))
+            if row.violations:
+                problems.setdefault((row.ano, row.semestre), {})[row.check] = row.violations
+        for key in set(good) - present - set(problems):
+            problems[key] = {"Nenhuma linha": 0}
         good = [k for k in good if k not in problems]
-        if good:
-            publish_silver(typed.where(partition_filter(good)), silver)
+        names = [f"ano={ano}/semestre={half}" for ano, half in sorted(good)]
+        publish_folders(spark, f"{work}/silver/{STATE}={IN_ORDER}", silver, names)
     if problems:
         raise ValueError(f"Silver partitions not published: {dict(sorted(problems.items()))}")
     return sorted(good)
+
+
+def malformed(staged: DataFrame) -> dict[tuple[int, int], dict[str, int]]:
+    """Numbers of lines in partitions that have malformed ones; a line with both faults counts for each."""
+    found: dict[tuple[int, int], dict[str, int]] = {}
+    counts = staged.where(F.col(STATE) != IN_ORDER).groupBy(*PARTITION, STATE).count()
+    for row in counts.collect():
+        faults = found.setdefault((row.ano, row.semestre), {})
+        for name, states in (("Campos excedentes", (SURPLUS, BOTH)), ("Bytes inválidos", (INVALID, BOTH))):
+            if row[STATE] in states:
+                faults[name] = faults.get(name, 0) + row["count"]
+    return found

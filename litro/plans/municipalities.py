@@ -6,8 +6,7 @@ from pyspark.sql import SparkSession
 
 from litro.operators.municipalities import ambiguous_match_keys, flatten_municipalities
 from litro.operators.quality import validate_dimension
-from litro.plans.bronze_to_silver import stage
-from litro.session import scratch_folder
+from litro.session import scratch_folder, stage
 from litro.sources.layers import write_dimension
 from litro.sources.municipalities import read_municipalities
 

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litro.operators.profiling import partition_profile
+from litro.operators.profiling import counted_values, partition_profile, value_rows
 from litro.schemas import PARTITION
-from litro.sources.delimited import file_headers, header_shapes, scan_bronze
+from litro.session import stage, work_folder
+from litro.sources.delimited import file_headers, scan_bronze
 
 
 def profile_bronze(spark: SparkSession, bronze: str, glob: str = "*.csv") -> DataFrame:
-    """`partition_profile`, with columns and nulls limited to what each partition's files have."""
-    headers = file_headers(spark, bronze, glob)
-    profile = partition_profile(scan_bronze(spark, bronze, glob, header_shapes(headers)))
+    """`partition_profile`, with columns and nulls limited to what each partition's files have.
+
+    The raw text is read once, whatever the number of headers.
+    """
+    headers = stage(file_headers(spark, bronze, glob), work_folder(spark, "headers"))
+    profile = partition_profile(scan_bronze(spark, bronze, glob, headers))
     own = headers.groupBy(*PARTITION).agg(
         F.array_distinct(F.flatten(F.collect_set("colunas"))).alias("colunas")
     )
@@ -27,3 +31,8 @@ def profile_bronze(spark: SparkSession, bronze: str, glob: str = "*.csv") -> Dat
             }
         )
     )
+
+
+def bronze_values(spark: SparkSession, bronze: str, glob: str = "*.csv") -> DataFrame:
+    """Every value of the listed columns of the raw files, with its number of rows."""
+    return value_rows(counted_values(scan_bronze(spark, bronze, glob)))

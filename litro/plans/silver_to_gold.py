@@ -6,8 +6,7 @@ from pyspark.sql import SparkSession
 
 from litro.operators.monthly import monthly_prices_of_places
 from litro.operators.quality import validate_gold
-from litro.plans.bronze_to_silver import stage
-from litro.session import scratch_folder
+from litro.session import scratch_folder, stage
 from litro.sources.layers import publish_gold, read_dimension, read_gold, read_silver
 
 

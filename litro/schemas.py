@@ -122,6 +122,8 @@ GOLD_REQUIRED = tuple(f for f in GOLD.fieldNames() if f != "desvio_padrao")
 # --- End of fixed values ----------------------------------------------------------------------
 
 PARTITION = ("ano", "semestre")
+# What is wrong with a raw line, and a number that keeps such lines apart; null for lines in order.
+STATE, ROW = "_estado", "_linha"
 GOLD_KEYS = ("ano_mes", "codigo_ibge", "municipio", "uf", "regiao", "produto")
 GOLD_GRAIN = ("ano_mes", "codigo_ibge", "produto")
 

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "litro", cpus: int | None = None, **conf: str) -> SparkSession:
@@ -50,6 +50,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/litro/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def stage(df: DataFrame, target: str, *by: str) -> DataFrame:
+    """Writes `df` below the shared working folder and reads it back: all that reads it shares one
+    computation that outlives lost executors. by: columns whose values become folders."""
+    df.write.partitionBy(*by).parquet(target) if by else df.write.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
 @contextmanager
 def scratch_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
     """A work folder that is deleted at the end, whether the work succeeds or fails."""

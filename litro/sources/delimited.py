@@ -1,37 +1,46 @@
 """Bronze scan: `;`-delimited files whose headers differ from file to file.
 
-Spark's CSV source maps columns by position when many files are read at once, so files are first
-grouped by header line. Tasks read the header lines (a few KB a file); the driver receives one row
-per folder and distinct header, and plans one all-string read per header.
+Tasks read the header lines (a few KB a file) into a table; the driver receives one row per distinct
+header. One read of all files splits their lines into fields by position, the table says which header a
+line's file has, and expressions pick each column's field. So neither the number of files nor that of
+headers in a folder changes the plan, and what is wrong with a line is judged in the same read.
 """
 
 from __future__ import annotations
 
 import csv
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from litro.schemas import CRITICAL_HEADINGS, PARTITION, RAW_HEADINGS
+from litro.schemas import CRITICAL_HEADINGS, PARTITION, RAW_HEADINGS, ROW, STATE
+from litro.session import stage, work_folder
 from litro.sources.files import partition_metadata
 from litro.sources.remote import first_line
 
 DELIMITER = ";"
 QUOTE = '"'
+#: The reader's column for a line that does not have as many fields as it was told.
+LINE = "_line"
+#: What the reader makes of bytes that are not UTF-8.
+REPLACEMENT = "\ufffd"
+#: The start of a field, and the field as the reader takes it: a quote counts only at the start; what follows the
+#: closing one belongs to the field; without a closing one the field is the rest of the line.
+FIELD = f'({DELIMITER}|^)(?:{QUOTE}(?:[^{QUOTE}]++|{QUOTE}{QUOTE})*+{QUOTE}[^{DELIMITER}]*+|{QUOTE}[\\s\\S]*+|[^{DELIMITER}]++)?'
+
+SURPLUS, INVALID, BOTH = "campos excedentes", "bytes inválidos", "campos excedentes e bytes inválidos"
 
 
 @dataclass(frozen=True)
 class HeaderShape:
-    """The columns of one header and the folders (or single files) that have it."""
+    """The columns of one header."""
 
     columns: tuple[str, ...]
-    paths: tuple[str, ...]
 
     @property
     def missing(self) -> list[str]:
@@ -67,7 +76,7 @@ def read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def file_headers(
     spark: SparkSession, root: str, glob: str = "*.csv", keep: Column | None = None
 ) -> DataFrame:
-    """path, ano, semestre, colunas (header of the file), erro, pasta.
+    """path, arquivo (as `_metadata.file_path` spells it), ano, semestre, colunas (header of the file), erro, pasta.
 
     keep is a condition on ano and semestre: files of other partitions are not opened.
     """
@@ -75,7 +84,8 @@ def file_headers(
     if keep is not None:
         files = files.where(keep)
     return files.mapInPandas(
-        read_headers, "path string, ano int, semestre int, colunas array<string>, erro string"
+        read_headers,
+        "path string, arquivo string, ano int, semestre int, colunas array<string>, erro string",
     ).withColumn("pasta", F.regexp_replace("path", "/[^/]*$", ""))
 
 
@@ -97,79 +107,122 @@ def header_drift(headers: DataFrame) -> DataFrame:
 
 
 def header_shapes(headers: DataFrame) -> list[HeaderShape]:
-    """Groups files by header. A folder whose files agree is read as a folder."""
-    distinct = headers.select("pasta", "colunas", "erro").distinct().collect()
-    if unusable := sorted({f"{r.pasta}: {r.erro}" for r in distinct if r.erro}):
-        raise ValueError(f"Unusable headers: {unusable}")
-    headed = [(r.pasta, tuple(r.colunas)) for r in distinct]
-    times = Counter(folder for folder, _ in headed)
-    by_header = defaultdict(list)
-    for folder, columns in headed:
-        if times[folder] == 1:
-            by_header[columns].append(folder)
-    mixed = [folder for folder, n in times.items() if n > 1]
-    if mixed:
-        for row in headers.where(F.col("pasta").isin(mixed)).select("path", "colunas").collect():
-            by_header[tuple(row.colunas)].append(row.path)
-    return [HeaderShape(cols, tuple(sorted(paths))) for cols, paths in sorted(by_header.items())]
-
-
-def read_shape(
-    spark: SparkSession, root: str, shape: HeaderShape, glob: str = "*.csv", **options: str
+    """The distinct headers, in order of their columns: a row each on the driver, however many files have it."""
+    unusable = headers.where("erro IS NOT NULL").select("pasta", "erro").distinct()
+    if found := sorted(f"{r.pasta}: {r.erro}" for r in unusable.collect()):
+        raise ValueError(f"Unusable headers: {found}")
+    return sorted((HeaderShape(tuple(r.colunas)) for r in headers.select("colunas").distinct().collect()), key=lambda s: s.columns)
+
+
+def read_fields(
+    spark: SparkSession, root: str, width: int, glob: str = "*.csv", **options: str
 ) -> DataFrame:
-    """All files of one header, every column a string, plus ano and semestre from the path."""
-    if not shape.columns:
-        raise ValueError(f"Files without a header line: {shape.paths}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in shape.columns])
+    """All files by position: _0, _1, … of each line, its partition and its file; `_line` where the number of fields is not `width`.
+
+    Header lines are left out. `_line` is only computed where it is asked for.
+    """
+    kinds = [T.StructField(f"_{i}", T.StringType()) for i in range(width)]
+    schema = T.StructType([*kinds, T.StructField(LINE, T.StringType())])
     settings = {
         "header": "true",
         "sep": DELIMITER,
         "quote": QUOTE,
         "escape": QUOTE,
+        "columnNameOfCorruptRecord": LINE,
         "pathGlobFilter": glob,
         "basePath": root,
     } | options
-    return spark.read.schema(schema).options(**settings).csv(list(shape.paths))
+    return spark.read.schema(schema).options(**settings).csv(root)
 
 
-def malformed_rows(
-    spark: SparkSession, root: str, shapes: list[HeaderShape], glob: str = "*.csv"
-) -> DataFrame:
-    """(ano, semestre, campos_excedentes, bytes_invalidos): rows with more fields than their header,
-    and rows whose bytes are not UTF-8, both judged on the raw line. Partitions without any are left out.
+def field_count(line: Column) -> Column:
+    """Number of fields of a line, by the CSV reader's own rule for quotes."""
+    return F.length(F.regexp_replace(line, FIELD, "$1")) + 1
+
+
+def line_state(line: Column, size: Column, fields: Column) -> Column:
+    """What is wrong with a line of a file whose header has `size` columns, or null. fields: all of it, where `_line` is null.
+
+    Surplus fields count even if they are empty. A replacement character counts as bytes that are not UTF-8:
+    the reader turns such bytes into one, and a file that holds one already had them before.
     """
-    parts = []
-    for shape in shapes:
-        options = {"pathGlobFilter": glob, "basePath": root}
-        lines = spark.read.options(**options).text(list(shape.paths))
-        bare = F.regexp_replace(F.make_valid_utf8("value"), f'{QUOTE}[^{QUOTE}]*{QUOTE}', "")
-        fields = F.length(bare) - F.length(F.translate(bare, DELIMITER, "")) + 1
-        surplus = fields > len(shape.columns)
-        invalid = ~F.is_valid_utf8("value")
-        counted = [surplus.cast("long").alias("surplus"), invalid.cast("long").alias("invalid")]
-        parts.append(lines.select(*PARTITION, *counted).where("surplus + invalid > 0"))
-    whole = reduce(DataFrame.unionByName, parts)
-    return whole.groupBy(*PARTITION).agg(
-        F.sum("surplus").alias("campos_excedentes"), F.sum("invalid").alias("bytes_invalidos")
-    )
+    delimiters = F.length(line) - F.length(F.translate(line, DELIMITER, ""))
+    # The pattern is only tried on lines with too many delimiters. A null line has as many fields as were read, which is one too many.
+    surplus = line.isNull() | ((delimiters >= size) & (field_count(line) > size))
+    invalid = F.contains(F.coalesce(line, fields), F.lit(REPLACEMENT))
+    return F.when(surplus & invalid, BOTH).when(surplus, SURPLUS).when(invalid, INVALID)
 
 
 def scan_bronze(
     spark: SparkSession,
     root: str,
     glob: str = "*.csv",
-    shapes: list[HeaderShape] | None = None,
+    headers: DataFrame | None = None,
+    keep: Column | None = None,
+    with_state: bool = False,
     **options: str,
 ) -> DataFrame:
     """Union by name over all headers; a column a file lacks is null there.
 
+    headers is the table of `file_headers`, best staged: its size on disk then decides how it is joined. keep
+    is a condition on ano and semestre. with_state adds `_estado`, what is wrong with a line, and `_linha`, a
+    number that keeps such lines apart; both are null for lines in order.
     Quoted line breaks need `multiLine="true"`, which makes files unsplittable; off by default.
     """
-    if shapes is None:
-        shapes = header_shapes(file_headers(spark, root, glob))
+    if headers is None:
+        headers = stage(file_headers(spark, root, glob, keep), work_folder(spark, "headers"))
+    shapes = header_shapes(headers)
     if not shapes:
         raise FileNotFoundError(f"No files {glob} below {root}")
-    parts = [read_shape(spark, root, s, glob, **options) for s in shapes]
-    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    data = [c for c in whole.columns if c not in PARTITION]
-    return whole.select(*["`" + c.replace("`", "``") + "`" for c in data], *PARTITION)
+    if not all(s.columns for s in shapes):
+        folders = headers.where(F.size("colunas") == 0).select("pasta").distinct()
+        raise ValueError(f"Files without a header line: {sorted(r.pasta for r in folders.collect())}")
+    width = max(len(s.columns) for s in shapes) + 1
+    lines = read_fields(spark, root, width, glob, **options)
+    if keep is not None:
+        lines = lines.where(keep)
+    fields = [f"_{i}" for i in range(width)]
+    wanted = [*fields, LINE] if with_state else fields
+    partition = [F.col(c).cast("int").alias(c) for c in PARTITION]
+    if len(shapes) == 1:
+        lines = lines.select(*wanted, *partition, F.lit(0).alias("_shape"))
+    else:
+        known = F.array(*[F.array(*map(F.lit, s.columns)) for s in shapes])
+        number = (F.array_position(known, F.col("colunas")) - 1).cast("int")
+        lines = lines.select(*wanted, *partition, F.col("_metadata.file_path").alias("_file"))
+        lines = lines.join(headers.select(F.col("arquivo").alias("_file"), number.alias("_shape")), "_file", "left")
+        late = F.raise_error(F.concat(F.lit("No header was read of "), F.col("_file"))).cast("int")
+        lines = lines.withColumn("_shape", F.coalesce("_shape", late))
+
+    def by_shape(values: list[Column | None]) -> Column:
+        out = F.lit(None).cast("string")
+        for k, value in enumerate(values):
+            if value is not None:
+                out = F.when(F.col("_shape") == k, value).otherwise(out)
+        return out if len(values) > 1 else values[0]
+
+    def column(name: str) -> Column:
+        places = [s.columns.index(name) if name in s.columns else None for s in shapes]
+        if len(set(places)) == 1:
+            return F.col(f"_{places[0]}")
+        return by_shape([None if i is None else F.col(f"_{i}") for i in places])
+
+    names = list(dict.fromkeys(c for s in shapes for c in s.columns))
+    chosen = [column(c).alias(c) for c in names] + [F.col(c) for c in PARTITION]
+    if with_state:
+        size = by_shape([F.lit(len(s.columns)) for s in shapes]).cast("int")
+        state = line_state(F.col(LINE), size, F.concat_ws(DELIMITER, *fields))
+        lines = lines.withColumn(STATE, state)
+        chosen += [F.col(STATE), F.when(F.col(STATE).isNotNull(), F.monotonically_increasing_id()).alias(ROW)]
+    return lines.select(*chosen)
+
+
+def malformed_rows(scanned: DataFrame) -> DataFrame:
+    """(ano, semestre, campos_excedentes, bytes_invalidos) of a scan with state: rows with more fields than their
+    header, and rows whose bytes are not UTF-8. Partitions without any are left out."""
+    count = lambda *states: F.count_if(F.col(STATE).isin(*states))
+    return (
+        scanned.where(F.col(STATE).isNotNull())
+        .groupBy(*PARTITION)
+        .agg(count(SURPLUS, BOTH).alias("campos_excedentes"), count(INVALID, BOTH).alias("bytes_invalidos"))
+    )

@@ -16,11 +16,13 @@ from litro.sources.remote import exists
 
 
 def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """One row per file below `root`: path, size and the values of its `key=value` folders."""
+    """One row per file below `root`: path, arquivo (the path as `_metadata.file_path` spells it), size and the
+    values of its `key=value` folders."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .load(root)
+        .withColumn("arquivo", F.col("_metadata.file_path"))
         .drop("content", "modificationTime")
     )
 
@@ -31,12 +33,12 @@ def discover(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
 
 
 def partition_metadata(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """path, ano, semestre of every file; a path without those folders is an error."""
+    """path, arquivo, ano, semestre of every file; a path without those folders is an error."""
     files = list_files(spark, root, glob)
     missing = [c for c in PARTITION if c not in files.columns]
     if missing:
         raise ValueError(f"No partition folders {missing} below {root}")
-    return files.select("path", *[F.col(c).cast("int").alias(c) for c in PARTITION])
+    return files.select("path", "arquivo", *[F.col(c).cast("int").alias(c) for c in PARTITION])
 
 
 def partitions(spark: SparkSession, root: str, glob: str) -> DataFrame:

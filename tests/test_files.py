@@ -51,17 +51,34 @@ def test_headers_in_other_orders_are_aligned_by_name(spark, tmp_path):
     ]
 
 
-def test_a_folder_with_one_header_is_read_as_a_folder(spark, tmp_path):
+def scans(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan csv")
+
+
+def test_one_read_whatever_the_headers(spark, tmp_path):
+    """Folders of one header, of two, and of files in the same columns: headers reach the driver, paths don't."""
     for name in ("a.csv", "b.csv"):
         put(tmp_path, 2023, 1, "A;B\n1;2\n", name=name)
-    put(tmp_path, 2023, 2, "A\n1\n", name="c.csv")
-    put(tmp_path, 2023, 2, "B\n1\n", name="d.csv")
-    shapes = delimited.header_shapes(delimited.file_headers(spark, str(tmp_path)))
-    assert [(s.columns, [p.rsplit("/", 1)[-1] for p in s.paths]) for s in shapes] == [
-        (("A",), ["c.csv"]),
-        (("A", "B"), ["semestre=1"]),
-        (("B",), ["d.csv"]),
-    ]
+    put(tmp_path, 2023, 2, "A\n1\n", name="c d%20é.csv")
+    put(tmp_path, 2023, 2, "B;A\n1;\"2\n", name="d.csv")
+    put(tmp_path, 2023, 2, "B\n3\n", name="e.csv")
+    headers = delimited.file_headers(spark, str(tmp_path))
+    assert [s.columns for s in delimited.header_shapes(headers)] == [("A",), ("A", "B"), ("B",), ("B", "A")]
+    mixed = delimited.scan_bronze(spark, str(tmp_path), with_state=True)
+    assert scans(mixed) == 1
+    got = sorted((r.ano, r.semestre, r.A or "", r.B or "") for r in mixed.collect())
+    assert got == [(2023, 1, "1", "2"), (2023, 1, "1", "2"), (2023, 2, "", "3"), (2023, 2, "1", ""), (2023, 2, "2", "1")]
+    one = delimited.scan_bronze(spark, str(tmp_path), headers=headers.where("semestre = 1"), keep=F.col("semestre") == 1)
+    assert scans(one) == 1 and "Join" not in one._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in one.collect()] == [("1", "2", 2023, 1)] * 2
+
+
+def test_a_file_without_a_known_header_is_an_error(spark, tmp_path):
+    for name in ("a.csv", "b.csv", "c.csv"):
+        put(tmp_path, 2023, 1, f"{name[0]}\n1\n", name=name)
+    headers = delimited.file_headers(spark, str(tmp_path)).where("path NOT LIKE '%c.csv'")
+    with pytest.raises(Exception, match="No header was read of .*c.csv"):
+        delimited.scan_bronze(spark, str(tmp_path), headers=headers).collect()
 
 
 def test_quotes_blank_lines_and_identifiers(spark, tmp_path):
