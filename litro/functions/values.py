@@ -79,3 +79,21 @@ def half_away(x: Column, places: int) -> Column:
     """
     scale = float(10**places)
     return F.round(x * scale) / scale
+
+
+#: A mean of doubles is taken over decimals of this many places; of values below LARGEST_SUMMED, so many as
+#: 10**10 are added up without overflow.
+SUMMED_PLACES, LARGEST_SUMMED = 17, 1e11
+
+
+def exact_mean(x: Column) -> Column:
+    """Aggregate: the mean of doubles, the same however the rows are partitioned and ordered; null for no value.
+
+    Each value is rounded to SUMMED_PLACES decimal places, which moves it, and so the mean, by less than 10**-17;
+    decimals are then added exactly, and only the last division rounds. A value of LARGEST_SUMMED or more, or one
+    that is not finite, fails the job.
+    """
+    outside = F.raise_error(F.concat(F.lit("Not summable: "), x.cast("string"))).cast("double")
+    within = F.when(F.abs(x) < LARGEST_SUMMED, x).when(x.isNotNull(), outside)
+    total = F.sum(within.cast(f"decimal(28,{SUMMED_PLACES})"))
+    return total.cast("double") / F.nullif(F.count(x), F.lit(0).cast("bigint"))

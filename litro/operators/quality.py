@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,6 +135,26 @@ def gold_report(gold: DataFrame) -> DataFrame:
     return grain_report(gold).unionByName(report(gold, gold_rules()))
 
 
+def published_report(files: DataFrame) -> DataFrame:
+    """(ano, arquivo, linhas, check, violations): what is wrong with each published file.
+
+    files are Gold rows with `ano`, the value of their folder, and `arquivo`, the file they lie in. Checks are
+    those of `gold_rules`; `grain`, rows whose grain occurs more than once in any file; and `folder`, rows of
+    another year than their folder's.
+    """
+    rules = [*gold_rules(), Rule("folder", F.coalesce(F.year("ano_mes") != F.col("ano"), F.lit(True)))]
+    by = ["ano", "arquivo"]
+    counts = files.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("linhas"), *[F.count_if(r.violated).alias(r.check) for r in rules]
+    )
+    # A grain counts once a file before its files meet.
+    grains = files.groupBy(*GOLD_GRAIN, *by).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(*GOLD_GRAIN))
+    repeated = grains.withColumn("total", total).where("total > 1").groupBy(*by).agg(F.sum("n").alias("grain"))
+    whole = counts.join(repeated, by, "left").withColumn("grain", F.coalesce("grain", F.lit(0).cast("bigint")))
+    return whole.unpivot([*by, "linhas"], [r.check for r in rules] + ["grain"], "check", "violations")
+
+
 def dimension_report(dimension: DataFrame) -> DataFrame:
     """Emptiness, nulls and unique codes of the municipality dimension."""
     required = required_rules(DIMENSION.fieldNames())

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from litro.functions.values import half_away
+from litro.functions.values import exact_mean, half_away
 from litro.schemas import REGIONS
 
 # The compared products and the parity threshold.
@@ -35,7 +35,7 @@ def overview_by_product(gold: DataFrame) -> DataFrame:
         gold.groupBy("produto")
         .agg(
             F.count(F.lit(1)).alias("registros"),
-            half_away(F.avg("preco_medio"), 2).alias("preco_medio"),
+            half_away(exact_mean(F.col("preco_medio")), 2).alias("preco_medio"),
         )
         .orderBy("produto")
     )
@@ -101,7 +101,7 @@ def dispersion_by_region(gold: DataFrame) -> DataFrame:
         gold.where(F.col("desvio_padrao").isNotNull())
         .groupBy("regiao", "produto")
         .agg(
-            half_away(F.avg("desvio_padrao"), 3).alias("desvio_padrao_medio"),
+            half_away(exact_mean(F.col("desvio_padrao")), 3).alias("desvio_padrao_medio"),
             F.count("desvio_padrao").alias("total_municipios_mes"),
         )
         .orderBy("produto", F.desc_nulls_last("desvio_padrao_medio"), "regiao")

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litro.operators.cleaning import to_silver
@@ -30,6 +30,8 @@ logger = logging.getLogger(__name__)
 
 
 IN_ORDER = "em ordem"
+#: Staged rows lie in folders by the state of their line, then by partition.
+FOLDERS = (STATE, *PARTITION)
 
 
 def partition_filter(keys: Sequence[tuple[int, int]]):
@@ -85,12 +87,9 @@ def _publish_pending(
             found.setdefault("Colunas críticas ausentes", []).append(row.coluna)
     good = [k for k in keys if k not in problems]
     if good:
-        condition = partition_filter(good)
-        raw = scan_bronze(spark, bronze, glob, headers.where(condition), condition, with_state=True)
-        rows = to_silver(raw, strict=False).withColumn(STATE, F.coalesce(STATE, F.lit(IN_ORDER)))
-        require_contract(rows.drop(STATE, *PARTITION), SILVER, "Silver")
-        folders = (STATE, *PARTITION)
-        staged = stage(rows.hint("rebalance", *folders), f"{work}/silver", *folders)
+        rows = rows_to_stage(spark, bronze, glob, headers, partition_filter(good))
+        require_contract(rows.drop(*FOLDERS), SILVER, "Silver")
+        staged = stage(rows, f"{work}/silver", *FOLDERS)
         for key, found in malformed(staged).items():
             problems.setdefault(key, {}).update(found)
         sound = staged.where(F.col(STATE) == IN_ORDER)
@@ -109,6 +108,13 @@ def _publish_pending(
     return sorted(good)
 
 
+def rows_to_stage(spark: SparkSession, bronze: str, glob: str, headers: DataFrame, keep: Column) -> DataFrame:
+    """Silver rows of some partitions with the state of their lines, dealt out for the folders they are staged in."""
+    raw = scan_bronze(spark, bronze, glob, headers.where(keep), keep, with_state=True)
+    rows = to_silver(raw, strict=False).withColumn(STATE, F.coalesce(STATE, F.lit(IN_ORDER)))
+    return rows.hint("rebalance", *FOLDERS)
+
+
 def malformed(staged: DataFrame) -> dict[tuple[int, int], dict[str, int]]:
     """Numbers of lines in partitions that have malformed ones; a line with both faults counts for each."""
     found: dict[tuple[int, int], dict[str, int]] = {}

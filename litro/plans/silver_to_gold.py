@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from litro.operators.monthly import monthly_prices_of_places
-from litro.operators.quality import validate_gold
+from litro.operators.quality import published_report, validate_gold
 from litro.session import scratch_folder, stage
 from litro.sources.layers import publish_gold, read_dimension, read_gold, read_silver
 
@@ -28,3 +29,9 @@ def check_published_gold(spark: SparkSession, gold: str) -> int:
     rows = read_gold(spark, gold)
     validate_gold(rows)
     return rows.count()
+
+
+def report_published_gold(spark: SparkSession, gold: str) -> DataFrame:
+    """`published_report` of the files on disk."""
+    rows = read_gold(spark, gold, with_year=True)
+    return published_report(rows.withColumn("arquivo", F.col("_metadata.file_path")))

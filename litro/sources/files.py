@@ -7,6 +7,7 @@ parallel when it is large) and opens no file. Partition values come from the fol
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,3 +81,18 @@ def has_files(spark: SparkSession, root: str, glob: str) -> bool:
 def require_files(spark: SparkSession, root: str, glob: str, what: str) -> None:
     if not has_files(spark, root, glob):
         raise FileNotFoundError(f"{what} not found below {root}")
+
+
+def inputs_report(spark: SparkSession, inputs: dict[str, tuple[str, str]]) -> DataFrame:
+    """(camada, presente, particoes): for each named (folder, file pattern), whether it has files, and in how
+    many folders. A folder that does not exist has none."""
+
+    def one(name: str, root: str, glob: str) -> DataFrame:
+        if exists(spark, root):
+            folder = F.regexp_replace("arquivo", "/[^/]*$", "")
+            found = list_files(spark, root, glob).agg(F.count_distinct(folder).alias("particoes"))
+        else:
+            found = spark.range(1).select(F.lit(0).cast("bigint").alias("particoes"))
+        return found.select(F.lit(name).alias("camada"), (F.col("particoes") > 0).alias("presente"), "particoes")
+
+    return reduce(DataFrame.unionByName, [one(name, *where) for name, where in inputs.items()])

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import partial, wraps
@@ -19,7 +20,7 @@ from litro.operators.monthly import monthly_prices
 from litro.plans.bronze_to_silver import bronze_to_silver
 from litro.plans.municipalities import build_dimension
 from litro.plans.silver_to_gold import silver_to_gold
-from litro.schemas import PARTITION
+from litro.schemas import GOLD, PARTITION, RAW_HEADINGS
 from litro.session import work_folder
 from litro.sources.archives import land_archives
 from litro.sources.layers import publish_gold, publish_silver, write_partitioned
@@ -119,6 +120,51 @@ def zip_files(batches: Iterator[pd.DataFrame], target: str) -> Iterator[pd.DataF
         yield pd.DataFrame({"path": paths})
 
 
+def zip_of(members: dict[str, bytes]) -> bytes:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in members.items():
+            archive.writestr(name, content)
+    return packed.getvalue()
+
+
+def zip_cases(batches: Iterator[pd.DataFrame], target: str, late: bool) -> Iterator[pd.DataFrame]:
+    """An archive per file, in one of five states by its partition: no CSV, one, two, broken, one with another that comes late."""
+    for batch in batches:
+        paths = []
+        for path, content, ano, half in batch.itertuples(index=False):
+            case = (2 * ano + half) % 5
+            members = [{}, {"a.csv": content}, {"a.csv": content, "b.CSV": content}, {}, {"a.csv": content}][case]
+            packed = b"no archive, but long enough for one" if case == 3 else zip_of({"leia-me.txt": b"fonte"} | members)
+            if late and case != 4:
+                continue
+            store, inner = open_filesystem(f"{target}/ano={ano}/semestre={half}")
+            store.create_dir(inner, recursive=True)
+            name = path.rsplit("/", 1)[-1].removesuffix(".csv")
+            with store.open_output_stream(f"{inner}/{name}{'-tarde' if late else ''}.zip") as out:
+                out.write(packed)
+            paths.append(path)
+        yield pd.DataFrame({"path": paths}, dtype="object")
+
+
+@once
+def landing_runs(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """The manifests of two landings of archives in five states; the late ones arrive between them."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.csv")
+        .load(bronze(spark, sf_dir))
+        .select("path", "content", *PARTITION)
+    )
+    source, landing = f"{target}/zip", f"{target}/bronze"
+    for run in (1, 2):
+        cases = partial(zip_cases, target=qualified(spark, source), late=run == 2)
+        with one_row_batches(spark):
+            files.mapInPandas(cases, "path string").agg(F.count("path")).collect()
+        manifest = land_archives(spark, source, landing)
+        manifest.withColumn("rodada", F.lit(run)).write.mode("append").parquet(f"{target}/manifest")
+
+
 _manifests: dict[str, DataFrame] = {}
 
 
@@ -172,3 +218,41 @@ def gold(spark: SparkSession, sf_dir: str, target: str) -> None:
 def direct_gold(spark: SparkSession, sf_dir: str, target: str) -> None:
     """Gold published straight from the typed tables; the analytical queries read it."""
     publish_gold(monthly_prices(views.enriched(observed(spark, sf_dir))), target)
+
+
+@once
+def doubtful_gold(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """Published Gold with faults in it."""
+    gold = spark.read.schema(GOLD).parquet(direct_gold(spark, sf_dir))
+    publish_gold(views.doubtful(gold.select(GOLD.fieldNames())), target)
+
+
+@once
+def surplus_bronze(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """Raw files of whole headers, some of whose lines have more fields than that, written as text.
+
+    By quantity: 1, a field more; 2, an empty one more; 3, two delimiters inside quotes; 4, an unclosed quote
+    before a delimiter; 5, two quotes within fields around a delimiter, which don't protect it; 6, bytes that
+    are not UTF-8.
+    """
+    rows = views.observed_lines(observed(spark, sf_dir))
+    head = ";".join(RAW_HEADINGS)
+    by_partition = rows.groupBy(*PARTITION, "line_group").agg(F.collect_list("line").alias("lines"))
+    texts = by_partition.select(
+        *PARTITION, F.concat(F.lit(head + "\n").cast("binary"), F.unhex(F.array_join("lines", "0A")), F.lit("\n").cast("binary")).alias("content")
+    )
+    write = partial(write_texts, target=qualified(spark, target))
+    texts.mapInPandas(write, "path string").agg(F.count("path")).collect()
+
+
+def write_texts(batches: Iterator[pd.DataFrame], target: str) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        paths = []
+        for ano, half, content in batch.itertuples(index=False):
+            store, inner = open_filesystem(f"{target}/ano={ano}/semestre={half}")
+            store.create_dir(inner, recursive=True)
+            name = f"{inner}/{zlib.crc32(content):08x}-{len(content)}.csv"
+            with store.open_output_stream(name) as out:
+                out.write(content)
+            paths.append(name)
+        yield pd.DataFrame({"path": paths})

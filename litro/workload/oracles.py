@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from litro.schemas import PRODUCTS, RAW_HEADINGS, STATES, UNITS
+# Fixed values, spelled out here again so that a wrong list in the code they check is found.
+PRODUCTS = ["DIESEL", "DIESEL S10", "ETANOL", "GASOLINA", "GASOLINA ADITIVADA", "GNV"]
+UNITS = ["R$ / litro", "R$ / m³"]
+STATES = [
+    "AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO", "MA", "MG", "MS", "MT", "PA",
+    "PB", "PE", "PI", "PR", "RJ", "RN", "RO", "RR", "RS", "SC", "SE", "SP", "TO",
+]
+REGIONS = ["Centro-Oeste", "Nordeste", "Norte", "Sudeste", "Sul"]
+RAW_HEADINGS = [
+    "Regiao - Sigla", "Estado - Sigla", "Municipio", "Revenda", "CNPJ da Revenda", "Nome da Rua", "Numero Rua", "Complemento",
+    "Bairro", "Cep", "Produto", "Data da Coleta", "Valor de Venda", "Valor de Compra", "Unidade de Medida", "Bandeira",
+]
 
 OBS = """
 place AS (
@@ -118,10 +129,7 @@ def quoted(values) -> str:
 
 
 def matrix(value: str) -> str:
-    regions = {"Centro-Oeste", "Nordeste", "Norte", "Sudeste", "Sul"}
-    return ", ".join(
-        f"""max(CASE WHEN regiao = '{r}' THEN {value} END) AS "{r}" """ for r in sorted(regions)
-    )
+    return ", ".join(f"""max(CASE WHEN regiao = '{r}' THEN {value} END) AS "{r}" """ for r in REGIONS)
 
 
 def checks(source: str, rules: dict[str, str]) -> str:
@@ -434,6 +442,55 @@ ORACLES: dict[str, str] = {
           ano > 1996 AS tem_bandeira
         FROM size JOIN copy USING (ano, semestre) LEFT JOIN collision USING (ano, semestre)""",
     ),
+    "gold_published_report": with_(
+        f"""{DOUBTFUL}, filed AS (SELECT *, cast(year(ano_mes) AS int) AS ano,
+          count(*) OVER (PARTITION BY ano_mes, codigo_ibge, produto) AS same FROM doubtful)""",
+        " UNION ALL ".join(
+            f"SELECT ano, '{check}' AS \"check\", count(*) AS linhas, count(*) FILTER (WHERE {condition}) AS violations "
+            "FROM filed GROUP BY ano"
+            for check, condition in (GOLD_NULLS | METRICS_RULE | {"folder": "false", "grain": "same > 1"}).items()
+        ),
+    ),
+    "contract_report": with_(
+        GOLD,
+        """SELECT * FROM (
+          SELECT 1 AS ordem, 'uf' AS coluna, 'posição' AS problema, 'string' AS tipo_esperado, 'string' AS tipo_encontrado,
+            2 AS posicao_esperada, 11 AS posicao_encontrada, (SELECT count(uf) FROM obs) AS valores, NULL::bigint AS incompativeis, 'silver' AS camada
+          UNION ALL SELECT 2, 'cep', 'ausente', 'string', NULL, 6, NULL, NULL, NULL, 'silver'
+          UNION ALL SELECT 3, 'data_coleta', 'tipo', 'date', 'timestamp', 8, 6, (SELECT count(data_coleta) FROM obs), 0, 'silver'
+          UNION ALL SELECT 4, 'valor_venda', 'tipo', 'decimal(10,2)', 'string', 9, 7, (SELECT count(valor_venda) FROM obs),
+            (SELECT count(*) FROM obs WHERE l_quantity = 1), 'silver'
+          UNION ALL SELECT 5, 'extra', 'inesperada', NULL, 'int', NULL, 10, (SELECT count(*) FROM obs WHERE l_quantity = 2), NULL, 'silver'
+          UNION ALL SELECT 1, 'ano_mes', 'posição', 'date', 'date', 1, 11, (SELECT count(ano_mes) FROM gold), NULL, 'gold'
+          UNION ALL SELECT 2, 'preco_mediano', 'ausente', 'double', NULL, 8, NULL, NULL, NULL, 'gold'
+          UNION ALL SELECT 3, 'qtd_coletas', 'tipo', 'bigint', 'string', 12, 10, (SELECT count(qtd_coletas) FROM gold),
+            (SELECT count(*) FROM gold WHERE qtd_coletas = 1), 'gold')""",
+    ),
+    "bronze_values": with_(
+        RAW,
+        " UNION ALL ".join(
+            f"SELECT ano, semestre, '{heading}' AS coluna, {column} AS valor, count(*) AS n FROM raw GROUP BY ano, semestre, {column}"
+            for heading, column in {"Produto": "produto", "Unidade de Medida": "unidade_medida", "Data da Coleta": "data_coleta"}.items()
+        ),
+    ),
+    "malformed_rows": with_(
+        OBS,
+        "SELECT ano, semestre, count(*) FILTER (WHERE l_quantity IN (1, 2, 5)) AS campos_excedentes, "
+        "count(*) FILTER (WHERE l_quantity = 6) AS bytes_invalidos FROM obs WHERE l_quantity IN (1, 2, 5, 6) GROUP BY 1, 2",
+    ),
+    "landing_manifest": with_(
+        f"{OBS}, cases AS (SELECT ano, semestre, (2 * ano + semestre) % 5 AS kind FROM ({EACH_PARTITION}))",
+        """SELECT ano, semestre, 1 AS rodada, CASE kind WHEN 0 THEN 0 WHEN 2 THEN 2 WHEN 3 THEN 0 ELSE 1 END AS membros_csv,
+          kind IN (1, 4) AS landou FROM cases
+        UNION ALL SELECT ano, semestre, 2, CASE kind WHEN 2 THEN 2 WHEN 4 THEN 1 ELSE 0 END, kind = 4 FROM cases WHERE kind <> 1""",
+    ),
+    "missing_inputs": with_(
+        f"{OBS}, halves AS ({EACH_PARTITION})",
+        """SELECT 'bronze' AS camada, true AS presente, count(*) AS particoes FROM halves
+        UNION ALL SELECT 'silver', count(*) > 0, count(*) FROM halves WHERE semestre = 1
+        UNION ALL SELECT 'silver_csv', false, 0 UNION ALL SELECT 'gold', false, 0""",
+    ),
+    "q5_view_chain": with_(PARITY, f"SELECT regiao, {SHARE} FROM parity GROUP BY regiao"),
     "csv_scan": with_(RAW, SCANNED),
     "file_discovery": with_(
         OBS, "SELECT DISTINCT 'ano=' || ano || '/semestre=' || semestre AS pasta FROM obs"

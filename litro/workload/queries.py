@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from litro.functions import text, values
 from litro.functions.values import named
-from litro.operators import cleaning, monthly, municipalities, profiling, quality
-from litro.plans import analytics
-from litro.plans.profile import profile_bronze
+from litro.operators import cleaning, contract, monthly, municipalities, profiling, quality
+from litro.plans import analytics, profile
+from litro.plans.silver_to_gold import report_published_gold
 from litro.schemas import DIMENSION, GOLD, PARTITION, PRODUCTS, SILVER, STATES, UNITS
 from litro.sources import delimited, files, layers
 from litro.sources.municipalities import read_municipalities
@@ -342,20 +342,7 @@ def silver_quality_report(spark, sf_dir):
 
 
 def doubtful_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold stacked with its single-observation rows, whose metrics and code are spoilt."""
-    gold = published(spark, sf_dir)
-    single = gold.where("qtd_coletas = 1").withColumns(
-        {
-            "codigo_ibge": F.when(F.month("ano_mes") == 1, None).otherwise(F.col("codigo_ibge")),
-            "preco_minimo": F.when(F.month("ano_mes") == 2, F.col("preco_maximo") + 1).otherwise(
-                F.col("preco_minimo")
-            ),
-            "preco_medio": F.when(F.month("ano_mes") == 3, -F.col("preco_medio")).otherwise(
-                F.col("preco_medio")
-            ),
-        }
-    )
-    return gold.unionByName(single)
+    return views.doubtful(published(spark, sf_dir))
 
 
 @query
@@ -379,6 +366,29 @@ def gold_quality_report(spark, sf_dir):
     return quality.gold_report(doubtful_gold(spark, sf_dir))
 
 
+@query
+def gold_published_report(spark, sf_dir):
+    """The report on each published file, added up by year, as file names and numbers are the writer's own."""
+    found = report_published_gold(spark, folders.doubtful_gold(spark, sf_dir))
+    return found.groupBy("ano", "check").agg(
+        F.sum("linhas").alias("linhas"), F.sum("violations").alias("violations")
+    )
+
+
+@query
+def contract_report(spark, sf_dir):
+    """Silver and Gold with altered columns against their contracts."""
+    altered = {
+        "silver": (views.altered_silver(observed(spark, sf_dir)), SILVER),
+        "gold": (views.altered_gold(published(spark, sf_dir)), GOLD),
+    }
+    parts = [
+        contract.contract_report(frame, schema).withColumn("camada", F.lit(layer))
+        for layer, (frame, schema) in altered.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def dimension_quality_report(spark, sf_dir):
     """The dimension with a row per supplier: codes repeat, and some names are missing."""
@@ -417,12 +427,12 @@ def profile_null_counts(spark, sf_dir):
 
 @query
 def partition_profile(spark, sf_dir):
-    profile = profiling.partition_profile(views.raw(observed(spark, sf_dir)))
+    found = profiling.partition_profile(views.raw(observed(spark, sf_dir)))
 
     def joined(column: str):
         return F.array_join(column, "|", "(null)").alias(column)
 
-    return profile.select(
+    return found.select(
         *PARTITION,
         "total_linhas",
         "total_colunas",
@@ -443,8 +453,8 @@ def partition_profile(spark, sf_dir):
 @query
 def bronze_profile(spark, sf_dir):
     """The profile of the raw files, whose headers differ by year."""
-    profile = profile_bronze(spark, folders.bronze(spark, sf_dir))
-    return profile.select(
+    found = profile.profile_bronze(spark, folders.bronze(spark, sf_dir))
+    return found.select(
         *PARTITION,
         "total_linhas",
         "total_colunas",
@@ -459,9 +469,63 @@ def bronze_profile(spark, sf_dir):
     )
 
 
+@query
+def bronze_values(spark, sf_dir):
+    """Every product, unit and date of the raw files, with its rows."""
+    return profile.bronze_values(spark, folders.bronze(spark, sf_dir))
+
+
 # --- Files and whole jobs ---------------------------------------------------------------------
 
 
+@query
+def malformed_rows(spark, sf_dir):
+    scanned = delimited.scan_bronze(spark, folders.surplus_bronze(spark, sf_dir), with_state=True)
+    return delimited.malformed_rows(scanned)
+
+
+@query
+def landing_manifest(spark, sf_dir):
+    """What two landings said of archives without a CSV, with one, with two, broken, and late."""
+    runs = spark.read.parquet(f"{folders.landing_runs(spark, sf_dir)}/manifest")
+    landed = (F.col("erro").isNull() & F.col("destino").isNotNull() & (F.col("bytes") > 0)).alias("landou")
+    return runs.select(*PARTITION, "rodada", "membros_csv", landed).distinct()
+
+
+@query
+def missing_inputs(spark, sf_dir):
+    """The layers of a chain that has not come to its second semesters and has no Gold."""
+    gold = folders.first_halves(spark, sf_dir) + "-gold"
+    return files.inputs_report(
+        spark,
+        {
+            "bronze": (folders.bronze(spark, sf_dir), "*.csv"),
+            "silver": (folders.first_halves(spark, sf_dir), layers.PARQUET),
+            "silver_csv": (folders.first_halves(spark, sf_dir), "*.csv"),
+            "gold": (gold, layers.PARQUET),
+        },
+    )
+
+
+@query
+def q5_view_chain(spark, sf_dir):
+    """The parity by region in SQL: a view over the files, a query on it, its result as a view, a query on that."""
+    layers.register_gold_view(spark, folders.direct_gold(spark, sf_dir), "precos_mensais")
+    spark.sql(
+        """SELECT e.ano_mes, e.codigo_ibge, e.regiao, e.uf,
+          ROUND(e.preco_medio / g.preco_medio, 3) AS razao_etanol_gasolina
+        FROM precos_mensais AS e INNER JOIN precos_mensais AS g
+          ON e.ano_mes = g.ano_mes AND e.codigo_ibge = g.codigo_ibge
+        WHERE e.produto = 'ETANOL' AND g.produto = 'GASOLINA'"""
+    ).createOrReplaceTempView("q5_relacao_etanol_gasolina")
+    return spark.sql(
+        """SELECT regiao, COUNT(*) AS total, COUNT(*) FILTER (WHERE razao_etanol_gasolina < 0.70) AS abaixo_070,
+          ROUND(100.0D * COUNT(*) FILTER (WHERE razao_etanol_gasolina < 0.70) / COUNT(*), 2) AS percentual_abaixo_070
+        FROM q5_relacao_etanol_gasolina GROUP BY regiao ORDER BY percentual_abaixo_070 DESC"""
+    )
+
+
+
 @query
 def csv_scan(spark, sf_dir):
     return views.plain_names(delimited.scan_bronze(spark, folders.bronze(spark, sf_dir)))

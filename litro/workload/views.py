@@ -7,11 +7,11 @@ tables are always used, and rows are only added or altered, never left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from litro.functions.values import named
-from litro.schemas import GOLD_KEYS, PARTITION, RAW_HEADINGS, SILVER, SILVER_NAME_OF_HEADING
+from litro.schemas import GOLD, GOLD_KEYS, PARTITION, RAW_HEADINGS, SILVER, SILVER_NAME_OF_HEADING
 
 # Region -> (initials, official name, states of its lower and higher nation keys).
 REGION = {
@@ -209,3 +209,60 @@ def municipality_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("municipio_oficial").alias("nome"),
         middle.alias("regiao-imediata"),
     )
+
+
+#: Lines of a raw file of `surplus_bronze`.
+LINES_OF_A_FILE = 2_000
+
+
+def observed_lines(obs: DataFrame) -> DataFrame:
+    """(ano, semestre, line_group, line): a raw line of sixteen fields for each observation, as hexadecimal bytes,
+    some of them spoilt by quantity."""
+    text = [F.col("uf"), F.col("municipio"), F.col("revenda"), F.col("cnpj_revenda"), F.col("produto"), F.col("l_linenumber").cast("string")]
+    line = F.concat_ws(";", *text, *[F.lit(f"c{i}") for i in range(len(text), len(RAW_HEADINGS))])
+    quantity = F.col("l_quantity")
+    spoilt = (
+        F.when(quantity == 1, F.concat(line, F.lit(";x")))
+        .when(quantity == 2, F.concat(line, F.lit(";")))
+        .when(quantity == 3, F.concat(F.lit('"a;b;"'), line))
+        .when(quantity == 4, F.concat(line.substr(F.lit(1), F.length(line) - 3), F.lit('"c;15;16;17')))
+        .when(quantity == 5, F.concat(F.lit('a"b;c"'), line))
+        .otherwise(line)
+    )
+    encoded = F.hex(F.encode(spoilt, "UTF-8"))
+    encoded = F.when(quantity == 6, F.concat(F.lit("C378"), encoded)).otherwise(encoded)
+    group = F.pmod(F.xxhash64("cnpj_revenda", "cep", "data_coleta", "valor_venda"), F.lit(1 << 20))
+    files = F.ceil(F.count(F.lit(1)).over(Window.partitionBy(*PARTITION)) / LINES_OF_A_FILE)
+    return obs.select(*PARTITION, F.pmod(group, files).alias("line_group"), encoded.alias("line"))
+
+
+def doubtful(gold: DataFrame) -> DataFrame:
+    """Gold stacked with its single-observation rows, whose metrics and code are spoilt."""
+    single = gold.where("qtd_coletas = 1").withColumns(
+        {
+            "codigo_ibge": F.when(F.month("ano_mes") == 1, None).otherwise(F.col("codigo_ibge")),
+            "preco_minimo": F.when(F.month("ano_mes") == 2, F.col("preco_maximo") + 1).otherwise(
+                F.col("preco_minimo")
+            ),
+            "preco_medio": F.when(F.month("ano_mes") == 3, -F.col("preco_medio")).otherwise(
+                F.col("preco_medio")
+            ),
+        }
+    )
+    return gold.unionByName(single)
+
+
+def altered_silver(obs: DataFrame) -> DataFrame:
+    """Silver rows that break the contract: a column dropped, one added, two retyped, one moved."""
+    price = F.when(F.col("l_quantity") == 1, "x").otherwise(F.col("valor_venda").cast("string"))
+    names = [c for c in SILVER.fieldNames() if c not in ("cep", "uf")]
+    altered = obs.withColumns({"valor_venda": price, "data_coleta": F.col("data_coleta").cast("timestamp")})
+    extra = F.when(F.col("l_quantity") == 2, F.lit(1)).alias("extra")
+    return altered.select(*names, extra, "uf")
+
+
+def altered_gold(gold: DataFrame) -> DataFrame:
+    """Gold without the median, counts as text, and the first column last."""
+    names = [c for c in GOLD.fieldNames() if c not in ("preco_mediano", "ano_mes")]
+    counts = F.when(F.col("qtd_coletas") > 1, F.col("qtd_coletas").cast("string")).otherwise("uma")
+    return gold.withColumn("qtd_coletas", counts).select(*names, "ano_mes")

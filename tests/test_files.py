@@ -176,7 +176,7 @@ def test_archives_need_exactly_one_csv(spark, tmp_path):
         (2025, 1): (0, False, None),
     }
     # An upper-case extension lands as the one that the scan looks for.
-    assert sorted(p.name for p in bronze.rglob("*") if p.is_file()) == ["b.csv", "preços.csv"]
+    assert sorted(p.name for p in bronze.glob("ano=*/*/*")) == [".b.csv.crc", "b.csv", "preços.csv"][1:]
     again = land_archives(spark, str(source), str(bronze)).collect()
     assert {(r.ano, r.semestre) for r in again} == set(found) - {(2023, 1), (2024, 2)}
 
@@ -405,3 +405,46 @@ def test_unnamed_columns_and_empty_files(spark, tmp_path):
         bronze_to_silver(spark, str(tmp_path), str(tmp_path / "silver"))
     done = files.partitions(spark, str(tmp_path / "silver"), layers.PARQUET).collect()
     assert [(r.ano, r.semestre) for r in done] == [(2024, 1)]
+
+
+def test_two_shuffles_from_text_to_staged_silver(spark, tmp_path):
+    """One finds copies, one deals out the rows by partition; headers are joined without one."""
+    from litro.plans.bronze_to_silver import rows_to_stage
+    from litro.session import stage
+
+    put(tmp_path, 2024, 1, HEAD + "\n" + line() + "\n")
+    put(tmp_path, 2024, 2, HEAD.removesuffix(";Bandeira") + "\n" + line().removesuffix(";BRANCA") + "\n")
+    headers = stage(delimited.file_headers(spark, str(tmp_path)), work_folder(spark, "headers"))
+    rows = rows_to_stage(spark, str(tmp_path), "*.csv", headers, F.col("ano") == 2024)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    assert plan.count("+- Exchange") + plan.count("+- BroadcastExchange") == 3 and "BroadcastHashJoin" in plan
+    assert plan.count("REBALANCE") == 1
+
+
+def test_inputs_report(spark, tmp_path):
+    put(tmp_path, 2024, 1, "A\n")
+    put(tmp_path, 2024, 1, "A\n", name="b.csv")
+    put(tmp_path, 2024, 2, "A\n")
+    places = {"csv": (str(tmp_path), "*.csv"), "zip": (str(tmp_path), "*.zip"), "gold": (str(tmp_path / "none"), "*.parquet")}
+    got = {tuple(r) for r in files.inputs_report(spark, places).collect()}
+    assert got == {("csv", True, 2), ("zip", False, 0), ("gold", False, 0)}
+
+
+def test_profile_values_and_lists(spark, tmp_path):
+    from litro.operators import profiling
+    from litro.plans.profile import bronze_values
+
+    days = [f"{d:02d}/01/2024" for d in (3, 1, 2)]
+    rows = [line(day=d, product=p) for d in days for p in ("GNV", "ETANOL", "")] + [line(day="31/02/2024"), line(day=""), line(day="01/01/2024", product="GNV")]
+    put(tmp_path, 2024, 1, "\n".join([HEAD, *rows]) + "\n")
+    values = {(r.coluna, r.valor): r.n for r in bronze_values(spark, str(tmp_path)).collect()}
+    assert values["Produto", None] == 3 and values["Produto", "GNV"] == 4 and values["Data da Coleta", None] == 1
+    profile = profile_bronze(spark, str(tmp_path)).first()
+    assert profile.produtos == [None, "ETANOL", "GASOLINA", "GNV"]
+    assert (profile.data_minima, profile.data_maxima, profile.datas_ilegiveis) == (date(2024, 1, 1), date(2024, 1, 3), 1)
+    assert (profile.total_linhas, profile.duplicatas_exatas, profile.colisoes_chave_candidata) == (12, 1, 1)
+    assert profile.nulos == {"Produto": 3, "Data da Coleta": 1}
+    counted = profiling.counted_values(delimited.scan_bronze(spark, str(tmp_path)))
+    assert profiling.value_lists(counted, ["Produto"], most=2).first()["Produto"] == [None, "ETANOL"]
+    assert scans(counted) == 1

@@ -102,3 +102,24 @@ def test_native_fold_equals_the_definition_on_mixed_text(spark):
     pool = [c for c in map(chr, range(0x20, 0x3400)) if unicodedata.category(c) != "Cs"]
     texts = ["".join(draw.choices(pool, k=draw.randint(0, 40))) for _ in range(500)]
     assert column(spark, texts, text.fold_text) == [text.fold_plain(t) for t in texts]
+
+
+def test_exact_mean_does_not_depend_on_order(spark):
+    """Values whose double sum changes with their order; equal bits from any partitioning."""
+    from fractions import Fraction
+
+    draw = random.Random(2)
+    numbers = [draw.choice([0.1, 1e10 / 3, 1e-9 / 7, 5.675, -3.3333333333]) * draw.random() for _ in range(3000)]
+    frame = spark.createDataFrame([(v,) for v in [*numbers, None]], "v double")
+    means = set()
+    for parts in (1, 3, 7, 16):
+        shuffled = frame.repartition(parts).sortWithinPartitions(F.rand(parts))
+        means.add(shuffled.agg(values.exact_mean(F.col("v")).alias("m")).first().m)
+    true = sum(map(Fraction, numbers)) / len(numbers)
+    assert len(means) == 1 and abs(Fraction(means.pop()) - true) < Fraction(1, 10**6)
+    assert frame.where("v IS NULL").agg(values.exact_mean(F.col("v")).alias("m")).first().m is None
+    ties = spark.createDataFrame([(v,) for v in [5.12, 5.13, 5.13, 5.12] * 100], "v double")
+    assert ties.agg(values.exact_mean(F.col("v")).alias("m")).first().m == 5.125
+    for bad in (float("nan"), float("inf"), 1e12):
+        with pytest.raises(Exception, match="Not summable"):
+            spark.createDataFrame([(bad,)], "v double").agg(values.exact_mean(F.col("v"))).collect()

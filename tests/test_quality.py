@@ -170,3 +170,29 @@ def test_profile_counts_unreadable_dates(raw_frame, raw_row):
     row = profiling.partition_profile(df).first()
     assert (row.total_linhas, row.datas_ilegiveis) == (3, 2)
     assert row.data_minima == row.data_maxima == date(2024, 3, 7)
+
+
+def test_published_report_names_files(spark, tmp_path):
+    from litro.plans.silver_to_gold import report_published_gold
+
+    def row(month, code, price, product="GNV"):
+        return (month, code, "A", "RS", "Sul", product, price, price, price, price, None, 1)
+
+    def put(ano, rows):
+        spark.createDataFrame(rows, GOLD).coalesce(1).write.mode("append").parquet(f"{tmp_path}/ano={ano}")
+
+    put(2023, [row(date(2023, 1, 1), "1", 1.0), row(date(2023, 2, 1), None, 1.0), row(date(2023, 2, 1), None, 1.0)])
+    put(2023, [row(date(2023, 1, 1), "1", -1.0)])
+    put(2024, [row(date(2024, 1, 1), "1", 1.0), row(date(2023, 1, 1), "1", 2.0)])
+    found = report_published_gold(spark, str(tmp_path)).where("violations > 0").collect()
+    sizes = {(r.ano, r.linhas, r.check): r.violations for r in found}
+    assert sizes == {
+        (2023, 3, "required_codigo_ibge"): 2,
+        (2023, 3, "grain"): 3,
+        (2023, 1, "metrics"): 1,
+        (2023, 1, "grain"): 1,
+        (2024, 2, "grain"): 1,
+        (2024, 2, "folder"): 1,
+    }
+    assert len({r.arquivo for r in found}) == 3
+    assert report_published_gold(spark, str(tmp_path)).count() == 3 * 14
