@@ -55,45 +55,40 @@ def max_decimal_places(df: DataFrame, column: str) -> DataFrame:
 
 
 #: Measures of a profile's counted rows. The values listed are those of LISTED.
-ROWS, COPIES, BLANK, NULL, KEY, VALUE = "linhas", "copias", "vazias", "nulo", "chave", "valor"
+PATTERN, KEY, VALUE = "padrao", "chave", "valor"
 LISTED = ("Produto", "Unidade de Medida", "Data da Coleta")
 #: A value list in the profile itself holds so many of the first values; the counted rows have all.
 MOST_LISTED = 1000
 
 
 def counted_values(df: DataFrame) -> DataFrame:
-    """(medida, ano, semestre, coluna, valor, n): all that a profile needs to know, counted in long rows.
+    """(medida, ano, semestre, coluna, valor, n, copias): all that a profile needs to know, counted in long rows.
 
-    medida `valor`: rows by value of a listed column, null among them; `nulo`: rows that are null in a column;
-    `chave`: rows by complete candidate key; `linhas`, `vazias`: all rows and blank ones; `copias`: rows that
-    equal an earlier one.
+    medida `valor`: rows by value of a listed column, null among them; `chave`: rows by complete candidate key;
+    `padrao`: rows by which columns are null, a 1 or 0 for each. copias of them equal an earlier row.
 
     One scan: whole rows are counted first, with map-side combine, and what is left of them is counted
     by measure and value, so neither a frequent row nor a frequent value meets in one task.
     """
     columns = source_columns(df)
     distinct = df.groupBy(*[named(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    n, none = F.col("_n"), F.lit(None).cast("string")
 
-    def entry(measure: str, column: Column, value: Column, number: Column) -> Column:
-        return F.struct(F.lit(measure).alias("medida"), column.alias("coluna"), value.alias("valor"), number.alias("n"))
+    def entry(measure: str, column: str | None, value: Column) -> Column:
+        return F.struct(F.lit(measure).alias("medida"), F.lit(column).cast("string").alias("coluna"), value.alias("valor"))
 
     complete = reduce(lambda a, b: a & b, [named(c).isNotNull() for c in CANDIDATE_KEY])
     # Lengths tell keys apart whose parts would read alike when joined.
     key = F.concat_ws(":", *[F.length(named(c)) for c in CANDIDATE_KEY], *[named(c) for c in CANDIDATE_KEY])
-    entries = [
-        entry(ROWS, none, none, n),
-        entry(COPIES, none, none, n - 1),
-        entry(BLANK, none, none, F.when(all_null(columns), n).otherwise(0)),
-        entry(KEY, none, key, F.when(complete, n).otherwise(0)),
-        *[entry(VALUE, F.lit(c), named(c), n) for c in LISTED if c in columns],
-    ]
-    nulls = F.transform(
-        F.filter(F.array(*[F.when(named(c).isNull(), F.lit(c)) for c in columns]), lambda c: c.isNotNull()),
-        lambda c: entry(NULL, c, none, n),
+    pattern = F.concat(*[F.when(named(c).isNull(), "1").otherwise("0") for c in columns])
+    entries = F.array(
+        entry(PATTERN, None, pattern),
+        entry(KEY, None, F.when(complete, key)),
+        *[entry(VALUE, c, named(c)) for c in LISTED if c in columns],
+    )
+    long = distinct.select(*PARTITION, "_n", F.inline(entries)).where((F.col("medida") != KEY) | F.col("valor").isNotNull())
+    return long.groupBy("medida", *PARTITION, "coluna", "valor").agg(
+        F.sum("_n").alias("n"), F.sum(F.col("_n") - 1).alias("copias")
     )
-    long = distinct.select(*PARTITION, F.inline(F.concat(F.array(*entries), nulls))).where("n > 0")
-    return long.groupBy("medida", *PARTITION, "coluna", "valor").agg(F.sum("n").alias("n"))
 
 
 def value_rows(counted: DataFrame) -> DataFrame:
@@ -127,30 +122,38 @@ def partition_profile(df: DataFrame) -> DataFrame:
 
 
 def profile_of_counts(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
-    def total(measure: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("medida") == measure, F.col("n"))), F.lit(0))
-
-    dated = (F.col("medida") == VALUE) & (F.col("coluna") == "Data da Coleta")
-    day = F.when(dated, to_date(F.col("valor"), strict=False))
-    unreadable = dated & F.col("valor").isNotNull() & day.isNull()
-    # At most an entry a column; keys are as many as rows, so they are summed up before partitions meet.
-    nulls = F.map_from_entries(F.collect_list(F.when(F.col("medida") == NULL, F.struct("coluna", F.col("n").alias("nulos")))))
-    sizes = counted.groupBy(*PARTITION).agg(
-        total(ROWS).alias("total_linhas"),
+    patterns = counted.where(F.col("medida") == PATTERN)
+    blank = F.col("valor") == "1" * len(columns)
+    sizes = patterns.groupBy(*PARTITION).agg(
+        F.sum("n").alias("total_linhas"),
         F.lit(len(columns)).cast("bigint").alias("total_colunas"),
+        F.sum("copias").alias("duplicatas_exatas"),
+        F.sum(F.when(blank, F.col("n")).otherwise(0)).alias("linhas_vazias"),
+        F.array(*[F.lit(c) for c in columns]).alias("colunas"),
+        F.map_filter(
+            F.map_from_arrays(
+                F.array(*[F.lit(c) for c in columns]),
+                F.array(*[F.sum(F.when(F.substring("valor", i + 1, 1) == "1", F.col("n")).otherwise(0)) for i in range(len(columns))]),
+            ),
+            lambda _, n: n > 0,
+        ).alias("nulos"),
+    )
+    dates = value_rows(counted).where(F.col("coluna") == "Data da Coleta")
+    day = to_date(F.col("valor"), strict=False)
+    unreadable = F.col("valor").isNotNull() & day.isNull()
+    dates = dates.groupBy(*PARTITION).agg(
         F.min(day).alias("data_minima"),
         F.max(day).alias("data_maxima"),
-        F.coalesce(F.sum(F.when(unreadable, F.col("n"))), F.lit(0)).alias("datas_ilegiveis"),
-        F.count_if((F.col("medida") == KEY) & (F.col("n") > 1)).alias("colisoes_chave_candidata"),
-        total(COPIES).alias("duplicatas_exatas"),
-        total(BLANK).alias("linhas_vazias"),
-        nulls.alias("nulos"),
-        F.array(*[F.lit(c) for c in columns]).alias("colunas"),
+        F.sum(F.when(unreadable, F.col("n")).otherwise(0)).alias("datas_ilegiveis"),
     )
+    repeated = F.count_if(F.col("n") > 1).alias("colisoes_chave_candidata")
+    collisions = counted.where(F.col("medida") == KEY).groupBy(*PARTITION).agg(repeated)
     lists = value_lists(counted, ("Produto", "Unidade de Medida")).withColumnsRenamed(
         {"Produto": "produtos", "Unidade de Medida": "unidades_de_medida"}
     )
-    return sizes.join(lists, list(PARTITION), "left")
+    by = list(PARTITION)
+    whole = sizes.join(dates, by, "left").join(collisions, by, "left").join(lists, by, "left")
+    return whole.na.fill(0, ["datas_ilegiveis", "colisoes_chave_candidata"])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -108,10 +108,11 @@ def header_drift(headers: DataFrame) -> DataFrame:
 
 def header_shapes(headers: DataFrame) -> list[HeaderShape]:
     """The distinct headers, in order of their columns: a row each on the driver, however many files have it."""
-    unusable = headers.where("erro IS NOT NULL").select("pasta", "erro").distinct()
-    if found := sorted(f"{r.pasta}: {r.erro}" for r in unusable.collect()):
-        raise ValueError(f"Unusable headers: {found}")
-    return sorted((HeaderShape(tuple(r.colunas)) for r in headers.select("colunas").distinct().collect()), key=lambda s: s.columns)
+    problem = F.min(F.when(F.col("erro").isNotNull(), F.concat_ws(": ", "pasta", "erro"))).alias("problem")
+    found = headers.groupBy("colunas").agg(problem).collect()
+    if unusable := sorted(r.problem for r in found if r.problem):
+        raise ValueError(f"Unusable headers, among others: {unusable}")
+    return sorted((HeaderShape(tuple(r.colunas)) for r in found), key=lambda s: s.columns)
 
 
 def read_fields(
@@ -146,7 +147,7 @@ def line_state(line: Column, size: Column, fields: Column) -> Column:
     Surplus fields count even if they are empty. A replacement character counts as bytes that are not UTF-8:
     the reader turns such bytes into one, and a file that holds one already had them before.
     """
-    delimiters = F.length(line) - F.length(F.translate(line, DELIMITER, ""))
+    delimiters = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(DELIMITER), F.lit("")))
     # The pattern is only tried on lines with too many delimiters. A null line has as many fields as were read, which is one too many.
     surplus = line.isNull() | ((delimiters >= size) & (field_count(line) > size))
     invalid = F.contains(F.coalesce(line, fields), F.lit(REPLACEMENT))
@@ -191,30 +192,34 @@ def scan_bronze(
         number = (F.array_position(known, F.col("colunas")) - 1).cast("int")
         lines = lines.select(*wanted, *partition, F.col("_metadata.file_path").alias("_file"))
         lines = lines.join(headers.select(F.col("arquivo").alias("_file"), number.alias("_shape")), "_file", "left")
-        late = F.raise_error(F.concat(F.lit("No header was read of "), F.col("_file"))).cast("int")
-        lines = lines.withColumn("_shape", F.coalesce("_shape", late))
+        late = F.raise_error(F.concat(F.lit("No header was read of "), F.col("_file"))).cast("boolean")
+        lines = lines.where(F.col("_shape").isNotNull() | late)
 
     def by_shape(values: list[Column | None]) -> Column:
-        out = F.lit(None).cast("string")
-        for k, value in enumerate(values):
-            if value is not None:
-                out = F.when(F.col("_shape") == k, value).otherwise(out)
-        return out if len(values) > 1 else values[0]
+        """One of the values, the most frequent of them without a test."""
+        keys = [None if v is None else v._jc.toString() for v in values]
+        usual = max(set(keys), key=keys.count)
+        out = next(v for v, key in zip(values, keys, strict=True) if key == usual)
+        out = F.lit(None) if out is None else out
+        for key in sorted({k for k in keys if k != usual}, key=str):
+            shapes_of = [k for k, other in enumerate(keys) if other == key]
+            value = F.lit(None) if key is None else values[shapes_of[0]]
+            out = F.when(F.col("_shape").isin(shapes_of), value).otherwise(out)
+        return out
 
     def column(name: str) -> Column:
         places = [s.columns.index(name) if name in s.columns else None for s in shapes]
-        if len(set(places)) == 1:
-            return F.col(f"_{places[0]}")
         return by_shape([None if i is None else F.col(f"_{i}") for i in places])
 
     names = list(dict.fromkeys(c for s in shapes for c in s.columns))
     chosen = [column(c).alias(c) for c in names] + [F.col(c) for c in PARTITION]
     if with_state:
-        size = by_shape([F.lit(len(s.columns)) for s in shapes]).cast("int")
-        state = line_state(F.col(LINE), size, F.concat_ws(DELIMITER, *fields))
-        lines = lines.withColumn(STATE, state)
-        chosen += [F.col(STATE), F.when(F.col(STATE).isNotNull(), F.monotonically_increasing_id()).alias(ROW)]
-    return lines.select(*chosen)
+        size = by_shape([F.lit(len(s.columns)) for s in shapes])
+        chosen.append(line_state(F.col(LINE), size, F.concat_ws(DELIMITER, *fields)).alias(STATE))
+    scanned = lines.select(*chosen)
+    if with_state:
+        scanned = scanned.withColumn(ROW, F.when(F.col(STATE).isNotNull(), F.monotonically_increasing_id()))
+    return scanned
 
 
 def malformed_rows(scanned: DataFrame) -> DataFrame:
