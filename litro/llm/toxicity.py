@@ -4,10 +4,15 @@ A linear classifier over hashed words and word beginnings is fitted in numpy fro
 from texts whose label is not read. The risk is corrected by the class prior p: p times the loss of
 the confirmed as positives, plus the loss of the unlabelled as negatives less p times that of the
 confirmed as negatives, the latter two together never below zero (when they are, their gradient is turned).
+
+All texts that are not held out are counted and fitted on. Texts that show the same of the classifier's
+features are one row with a number, so the fit reads a table of patterns and not of texts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,17 +21,20 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litro.llm.common import table
+from litro.llm.common import cut, sized, table
 
 #: Words and their first letters, so many of them, are hashed to so many features.
 BEGINNINGS = (4, 5)
 FEATURES = 1 << 22
 #: What surrounds a word and is not part of it.
 MARKS = ".,;:!?\"'()[]{}*#$%&|<>-_"
-#: The fit reads so many confirmed and unlabelled texts at most, those of least id hash.
-MOST_POSITIVE, MOST_UNLABELLED = 2_000, 8_000
+#: Only features of so many confirmed texts or more are counted in the unlabelled ones.
+LEAST_CONFIRMED = 3
+#: So many patterns are fitted on the driver; of more each round adds up its sums in tasks.
+MOST_PATTERNS = 200_000
 #: Features that enter the classifier: by the prior, texts that have them are toxic with this probability
-#: at least, and their share among the confirmed is this many standard deviations above the unlabelled's.
+#: at least, and their share among the confirmed is this many standard deviations above the unlabelled's. The classifier
+#: has so many weights at most, of the features that deviate most.
 LEAST_POSTERIOR = 0.4
 LEAST_DEVIATION = 4.0
 MOST_FEATURES = 512
@@ -69,42 +77,119 @@ class Model:
         return sum(weights[f] for f in features(text) if f in weights) + self.bias
 
 
-def non_negative_pu(x: np.ndarray, positive: np.ndarray, prior: float, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic classifier; x: rows of 0 and 1, positive: which rows are confirmed."""
-    n_p, n_u = max(1, positive.sum()), max(1, (~positive).sum())
-    x = x.astype(np.float64)  # once, and not for each product
-    w, bias = np.zeros(x.shape[1]), float(np.log(prior / (1 - prior)))
-    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    for t in range(1, rounds + 1):
-        z = x @ w + bias
+@dataclass
+class Patterns:
+    """Rows of 0 and 1, sparse: feature[k] is shown by row[k]; n texts are such a row, confirmed or not."""
+
+    row: np.ndarray
+    feature: np.ndarray
+    positive: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, shown: list[list[int]], positive: list[bool], n: list[int]) -> Patterns:
+        sizes = [len(s) for s in shown]
+        flat = np.fromiter((f for s in shown for f in s), np.int64, sum(sizes))
+        return cls(np.repeat(np.arange(len(shown)), sizes), flat, np.array(positive, bool), np.array(n, float))
+
+    def sums(self, w: np.ndarray, bias: float) -> np.ndarray:
+        """Losses as negatives of the unlabelled and the confirmed, then three gradients by weight and bias: of
+        the confirmed as positives, of them as negatives, and of the unlabelled as negatives."""
+        z = np.bincount(self.row, w[self.feature], len(self.n)) + bias
         up, down = -1 / (1 + np.exp(np.clip(z, -30, 30))), 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        loss_down = np.logaddexp(0, z)
-        negative = loss_down[~positive].sum() / n_u - prior * loss_down[positive].sum() / n_p
-        g = np.where(positive, -prior * down / n_p, down / n_u)
-        if negative < 0:
-            g = -g
-        else:
-            g = g + np.where(positive, prior * up / n_p, 0)
-        step = np.r_[x.T @ g + 1e-4 * w, g.sum()]
+        loss = np.logaddexp(0, z) * self.n
+        out = [np.array([loss[~self.positive].sum(), loss[self.positive].sum()])]
+        for slope, rows in ((up, self.positive), (down, self.positive), (down, ~self.positive)):
+            g = slope * self.n * rows
+            out += [np.bincount(self.feature, g[self.row], len(w)), np.array([g.sum()])]
+        return np.concatenate(out)
+
+
+def minimise(sums: Callable[[np.ndarray, float], np.ndarray], size: int, n_p: float, n_u: float, prior: float, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic classifier of least non-negative risk; sums as Patterns gives them, over all rows."""
+    w, bias = np.zeros(size), float(np.log(prior / (1 - prior)))
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
+    for t in range(1, rounds + 1):
+        found = sums(w, bias)
+        up_p, down_p, down_u = found[2:].reshape(3, size + 1)
+        negative = found[0] / n_u - prior * found[1] / n_p
+        g = down_u / n_u - prior * down_p / n_p
+        g = -g if negative < 0 else g + prior * up_p / n_p
+        step = g + 1e-4 * np.r_[w, 0]
         m, v = 0.9 * m + 0.1 * step, 0.999 * v + 0.001 * step**2
         move = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
     return w, bias
 
 
-def _distinct(batches):
-    for batch in batches:
-        found = [features(t.as_py()) for t in batch["text"]]
-        yield pa.RecordBatch.from_arrays(
-            [batch["place"], batch["positive"], pa.array(found, pa.list_(pa.int64()))], ["place", "positive", "features"]
-        )
+def non_negative_pu(x: np.ndarray, positive: np.ndarray, prior: float, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """The same for rows of 0 and 1 in memory; positive: which rows are confirmed."""
+    rows = Patterns.of([np.flatnonzero(r).tolist() for r in x], positive.tolist(), [1] * len(x))
+    return minimise(rows.sums, x.shape[1], max(1, positive.sum()), max(1, (~positive).sum()), prior, rounds)
+
+
+def _counted(numbers: dict[int, int] | None):
+    """For mapInArrow: (feature, p, u), numbers of confirmed and of other texts of a task that show it; of all features or those numbered."""
+
+    def run(batches):
+        counts = {True: Counter(), False: Counter()}
+        for batch in batches:
+            for positive, text in zip(batch["positive"].to_pylist(), batch["text"], strict=True):
+                found = features(text.as_py())
+                counts[positive].update(found if numbers is None else [f for f in found if f in numbers])
+        keys = sorted(counts[True].keys() | counts[False].keys())
+        columns = [pa.array([counts[k][f] for f in keys], pa.int64()) for k in (True, False)]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *columns], ["feature", "p", "u"])
+
+    return run
+
+
+def _patterns(numbers: dict[int, int]):
+    """For mapInArrow: (positive, shown, n), the numbered features that n texts of a task show."""
+
+    def run(batches):
+        counts: Counter = Counter()
+
+        def flush():
+            keys = list(counts)
+            columns = [pa.array([k[0] for k in keys], pa.bool_()), pa.array([list(k[1]) for k in keys], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([counts[k] for k in keys], pa.int64())], ["positive", "shown", "n"])
+            counts.clear()
+
+        for batch in batches:
+            for positive, text in zip(batch["positive"].to_pylist(), batch["text"], strict=True):
+                counts[positive, tuple(sorted(numbers[f] for f in features(text.as_py()) if f in numbers))] += 1
+            if len(counts) > 1 << 16:
+                yield from flush()
+        yield from flush()
+
+    return run
+
+
+def _sums_in_tasks(patterns: DataFrame, size: int) -> Callable[[np.ndarray, float], np.ndarray]:
+    """Patterns.sums over a table, a job each time; the driver gets the sums by place."""
+
+    def sums(w: np.ndarray, bias: float) -> np.ndarray:
+        def run(batches):
+            total = np.zeros(2 + 3 * (size + 1))
+            for batch in batches:
+                total += Patterns.of(batch["shown"].to_pylist(), batch["positive"].to_pylist(), batch["n"].to_pylist()).sums(w, bias)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["at", "v"])
+
+        found = patterns.mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
+        out = np.zeros(2 + 3 * (size + 1))
+        for r in found:
+            out[r["at"]] = r.v
+        return out
+
+    return sums
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learns from rows of labels whose crc32 of the id as text, modulo 5, is not 0.
 
     The prior is the share of toxic among them. The unlabelled are texts of other ids that are not
-    held out, whatever their label. Without a confirmed text the model is the prior alone.
+    held out, whatever their label. All of them are read. Without a confirmed text the model is the prior alone.
     """
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     docs = docs.where("doc_id IS NOT NULL AND pmod(crc32(cast(doc_id AS string)), 5) <> 0")
@@ -113,38 +198,35 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     n, toxic = labels.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     prior = min(0.5, max(0.01, (toxic or 0) / max(1, n)))
     nothing = Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(prior / (1 - prior))))
-    ids = docs.select("doc_id").distinct().join(labels.where("toxic = 1"), "doc_id", "left")
-    ids = ids.select("doc_id", F.col("toxic").isNotNull().alias("positive"), F.xxhash64("doc_id").alias("draw"))
-    chosen = ids.where("positive").orderBy("draw", "doc_id").limit(MOST_POSITIVE).union(
-        ids.where("NOT positive").orderBy("draw", "doc_id").limit(MOST_UNLABELLED)
-    )
-    sample = docs.join(F.broadcast(chosen), "doc_id").select(F.monotonically_increasing_id().alias("place"), "positive", "text")
-    sample = sample.mapInArrow(_distinct, "place long, positive boolean, features array<long>").persist()
-    try:
-        counts = dict(sample.groupBy("positive").count().collect())
-        n_p, n_u = counts.get(True, 0), counts.get(False, 0)
-        if not n_p or not n_u:
-            return nothing
-        spread = sample.select("positive", F.explode("features").alias("feature")).groupBy("feature").agg(
-            F.sum(F.col("positive").cast("int")).alias("p"), F.sum((~F.col("positive")).cast("int")).alias("u")
-        )
-        both = (F.col("p") + F.col("u")) / (n_p + n_u)
-        deviation = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
-        posterior = prior * (F.col("p") / n_p) / ((F.col("u") + 1) / n_u)
-        best = spread.where("p >= 3").where(posterior >= LEAST_POSTERIOR).select("feature", deviation.alias("z"))
-        best = best.where(F.col("z") > LEAST_DEVIATION)
-        best = np.sort([r.feature for r in best.orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).collect()]).astype(np.int64)
-        if not len(best):
-            return nothing
-        kept = F.array_intersect("features", F.lit(best.tolist()))
-        rows = sample.select("positive", kept.alias("features")).collect()
-    finally:
-        sample.unpersist()
-    x = np.zeros((len(rows), len(best)), np.float32)
-    for k, r in enumerate(rows):
-        x[k, np.searchsorted(best, r.features)] = 1
-    w, bias = non_negative_pu(x, np.array([r.positive for r in rows]), prior)
-    return Model(best, w, bias)
+    confirmed = labels.where("toxic = 1").select("doc_id", F.lit(True).alias("positive"))
+    texts = docs.join(sized(confirmed), "doc_id", "left").select("text", F.coalesce("positive", F.lit(False)).alias("positive"))
+    counts = dict(texts.groupBy("positive").count().collect())
+    n_p, n_u = counts.get(True, 0), counts.get(False, 0)
+    if not n_p or not n_u:
+        return nothing
+    # First the confirmed texts alone, then in all others only what enough of these show.
+    counted = "feature long, p long, u long"
+    shown = docs.join(sized(confirmed), "doc_id").select("text", "positive").mapInArrow(_counted(None), counted)
+    shown = shown.groupBy("feature").agg(F.sum("p").alias("p")).where(F.col("p") >= LEAST_CONFIRMED)
+    likely = {r.feature: r.p for r in shown.collect()}  # FEATURES numbers at most
+    spread = texts.mapInArrow(_counted(likely), counted).groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    both = (F.col("p") + F.col("u")) / (n_p + n_u)
+    deviation = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
+    posterior = prior * (F.col("p") / n_p) / ((F.col("u") + 1) / n_u)
+    best = spread.where(posterior >= LEAST_POSTERIOR).select("feature", deviation.alias("z"))
+    best = best.where(F.col("z") > LEAST_DEVIATION)
+    best = np.sort([r.feature for r in best.orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).collect()]).astype(np.int64)
+    if not len(best):
+        return nothing
+    numbers = {f: k for k, f in enumerate(best.tolist())}
+    patterns = texts.mapInArrow(_patterns(numbers), "positive boolean, shown array<int>, n long")
+    patterns = cut(patterns.groupBy("positive", "shown").agg(F.sum("n").alias("n")))
+    if patterns.count() <= MOST_PATTERNS:
+        rows = sorted((r.positive, r.shown, r.n) for r in patterns.collect())
+        sums = Patterns.of([r[1] for r in rows], [r[0] for r in rows], [r[2] for r in rows]).sums
+    else:
+        sums = _sums_in_tasks(patterns, len(best))
+    return Model(best, *minimise(sums, len(best), n_p, n_u, prior))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

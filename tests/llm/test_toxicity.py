@@ -48,3 +48,44 @@ def test_unlabelled_positives_are_not_learnt_as_negatives():
     positive = marked & (r.random(4000) < 0.3)
     w, bias = toxicity.non_negative_pu(x, positive, 0.2)
     assert w[0] + bias > 0.5 and bias + max(0, w[1]) < 0
+
+
+def test_sums_in_tasks_are_those_of_the_driver(spark, monkeypatch):
+    """The same weights whether patterns are added up on the driver or in tasks; every text counts once."""
+    rows, labels = corpus(300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "ROUNDS", 5)
+    monkeypatch.setattr(toxicity.minimise, "__defaults__", (5,))
+    here = toxicity.fit(docs, marks)
+    monkeypatch.setattr(toxicity, "MOST_PATTERNS", 0)
+    there = toxicity.fit(docs, marks)
+    assert len(here.weights) and np.allclose(here.weights, there.weights, atol=1e-12) and abs(here.bias - there.bias) < 1e-12
+
+
+def test_sums_of_patterns_are_those_of_rows():
+    r = np.random.default_rng(3)
+    x = (r.random((200, 4)) < 0.3).astype(np.float64)
+    positive = r.random(200) < 0.2
+    w, bias = r.standard_normal(4), -0.3
+    each = toxicity.Patterns.of([np.flatnonzero(v).tolist() for v in x], positive.tolist(), [1] * 200).sums(w, bias)
+    counts = {}
+    for v, p in zip(x, positive):
+        key = bool(p), tuple(np.flatnonzero(v).tolist())
+        counts[key] = counts.get(key, 0) + 1
+    grouped = toxicity.Patterns.of([list(k[1]) for k in counts], [k[0] for k in counts], list(counts.values())).sums(w, bias)
+    z = x @ w + bias
+    down = 1 / (1 + np.exp(-z))
+    assert np.allclose(each, grouped)
+    assert np.isclose(each[0], np.logaddexp(0, z)[~positive].sum())
+    assert np.allclose(each[2 + 10 :], [*(x[~positive].T @ down[~positive]), down[~positive].sum()])
+
+
+def test_words_of_few_texts_among_many_are_learnt(spark):
+    """More unlabelled texts than any sample would hold; toxic words in a few of them."""
+    clean = [(i, f"plain text number{i % 50} here", "") for i in range(12_000)]
+    bad = [(100_000 + i, f"plain vileword text{i % 7}", "") for i in range(60)]
+    docs = spark.createDataFrame(clean + bad, "doc_id long, text string, score string").repartition(6)
+    marks = spark.createDataFrame([(i, int(i >= 100_000)) for i, _, _ in clean[:300] + bad[:30]], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.classify(docs, marks).collect()}
+    assert all(got[i] == 1 for i, _, _ in bad) and not any(got[i] for i, _, _ in clean)
