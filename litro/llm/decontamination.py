@@ -36,6 +36,18 @@ def _seeds(h: str) -> Column:
     return F.concat(*[under(number, mask) for number, mask in enumerate(MASKS)])
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A number for id and text together, so that rows that share one of them are told apart; null is a value like any other."""
+    return F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"].cast("string"), F.lit("")))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that overlap no item; each is judged by its own text, whatever its id."""
+    found = overlaps(docs, benchmark).select("row_key").distinct()
+    marked = docs.withColumn("_row_key", row_key(docs))
+    return marked.join(found, marked["_row_key"] == found["row_key"], "left_anti").drop("_row_key")
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(row_key, item_id, at, length): runs of a document's words, from `at`, that overlap an item; row_key is of id and text."""
     docs = id_and_text(docs)

@@ -42,3 +42,13 @@ def test_near_copies_without_id_take_no_clean_document_along(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted((r.doc_id or 0, r.text) for r in pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect())
     assert got == [(0, "no id"), (5, x), (7, y), (9, "of its own")]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark, tmp_path):
+    item = " ".join(f"bench{k}" for k in range(20))
+    rows = [(1, item), (1, "clean one"), (None, item), (2, "clean two"), (None, "clean none"), (None, None), (3, None)]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.drop_benchmark(spark, docs, str(tmp_path))
+    assert got.columns == list(pipeline.COLUMNS)
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == [(0, ""), (0, "clean none"), (1, "clean one"), (2, "clean two"), (3, "")]
