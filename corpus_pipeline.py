@@ -29,9 +29,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
-    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that overlap no benchmark item. Each row is judged by its own text: rows that share an id, or have none, too."""
+    return decontamination.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
