@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litro.llm.common import LAST_ID, cut, id_and_text, table
+from litro.llm.common import LAST_ID, cut, id_and_text, sized, table
 from litro.llm.graph import components
 
 SHINGLE = 3
@@ -24,6 +24,8 @@ PERCENT = 85
 VALUES, ROWS = 8, 2
 #: A group of candidates is confirmed in blocks of so many shingles and documents at most.
 BLOCK_SHINGLES, BLOCK_DOCS = 1 << 20, 4096
+#: Members of candidate groups that may be sent to every executor: 50 MB or less.
+MOST_SENT = 400_000
 
 _RANDOM = np.random.default_rng(20240501).integers(0, 1 << 63, (2, 2 * VALUES * ROWS), dtype=np.int64).view(np.uint64)
 _TIMES, _PLUS = _RANDOM[0] | np.uint64(1), _RANDOM[1]
@@ -170,10 +172,11 @@ def decisions(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -
     shares = members.groupBy("group").agg(
         F.ceil(F.greatest(F.sum("n_shingles") / BLOCK_SHINGLES, F.count("*") / BLOCK_DOCS)).cast("long").alias("blocks")
     )
-    members = members.join(shares, "group").select("vertex", "doc_id", "text_key", "group", "blocks")
+    members = cut(members.join(shares, "group").select("vertex", "doc_id", "text_key", "group", "blocks"))
     texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text_key", "text")
+    # Few members are sent to the texts; texts are shuffled where there are many.
     # One text of each set: repeated rows, and equal texts without doc_id, count once.
-    full = texts.join(members, ["doc_id", "text_key"]).groupBy("vertex", "group", "blocks").agg(F.any_value("text").alias("text"))
+    full = texts.join(sized(members, MOST_SENT), ["doc_id", "text_key"]).groupBy("vertex", "group", "blocks").agg(F.any_value("text").alias("text"))
     full = full.withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks")))
     full = full.select("vertex", "group", "block", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     full = full.select("vertex", "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "text")
