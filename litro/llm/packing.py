@@ -100,10 +100,19 @@ def best_fit(docs: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROU
     source never conflicts; a missing doc_id stays null. Equal lengths go by doc_id, part and
     words. Repeated rows are placed each, in different bins. An empty table gives no rows.
     """
+    return pack_measured(measured(docs, cluster), capacity, group_pieces)
+
+
+def measured(docs: DataFrame, cluster: str | None = None, *more: str) -> DataFrame:
+    """(doc_id, source, n, exact, cluster): number and hash of a text's words; what packing needs of it, and other named columns."""
     named = (docs[cluster] if cluster else F.lit(None)).cast("long").alias("cluster")
-    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["source"].cast("string").alias("source"), named)
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["source"].cast("string").alias("source"), named, *more)
     tokens = words(F.coalesce("text", F.lit("")))
-    docs = docs.select("doc_id", "source", F.size(tokens).cast("long").alias("n"), F.xxhash64(F.lower(F.array_join(tokens, " "))).alias("exact"), "cluster")
+    return docs.select("doc_id", "source", F.size(tokens).cast("long").alias("n"), F.xxhash64(F.lower(F.array_join(tokens, " "))).alias("exact"), "cluster", *more)
+
+
+def pack_measured(docs: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
+    """`best_fit` of what `measured` gives; no text is shuffled."""
     docs = docs.withColumn("cluster", F.coalesce("cluster", "exact"))
     last = F.greatest(F.lit(0), F.ceil(F.col("n") / capacity) - 1)
     pieces = docs.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("part"))
@@ -127,17 +136,19 @@ def assemble(docs: DataFrame, placed: DataFrame) -> DataFrame:
 
 
 def with_clusters(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, source, cluster): cluster is the component of near copies, five words and a similarity of 0.8 or more.
+    """`measured` rows of docs, whose cluster is the component of near copies, five words and a similarity of 0.8 or more.
 
     Texts are compared in lower case, so that exact copies regardless of case stay one cluster. It is
-    null where a component has no doc_id.
+    null where a component has no doc_id. Words are counted and hashed before clusters are joined.
     """
-    docs = minhash_dedup.with_text_key(docs.select("doc_id", "text", "source", F.lower(docs["text"].cast("string")).alias("lower")), "lower")
-    found = minhash_dedup.decisions(docs.select("doc_id", F.col("lower").alias("text")), PERCENT, SHINGLE)
+    lower = F.lower(docs["text"].cast("string"))
+    keyed = minhash_dedup.with_text_key(docs.select("doc_id", "text", "source", lower.alias("lower")), "lower")
+    rows = measured(keyed, None, "text_key").drop("cluster")
+    found = minhash_dedup.decisions(docs.select("doc_id", lower.alias("text")), PERCENT, SHINGLE)
     found = found.where("component_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), F.col("component_id").alias("cluster")).distinct()
-    both = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
-    return both.select("doc_id", "text", "source", "cluster")
+    both = rows.join(found, rows["doc_id"].eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
+    return both.select("doc_id", "source", "n", "exact", "cluster")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit(with_clusters(table(spark, sf_dir, "documents")), cluster="cluster")
+    return pack_measured(with_clusters(table(spark, sf_dir, "documents")))

@@ -74,6 +74,13 @@ def test_near_copies_share_no_bin(spark):
     near = [*base[:30], "other", *base[31:]]
     rows = [(1, " ".join(base), "a"), (2, " ".join(near), "b"), (3, " ".join(f"z{k}" for k in range(60)), "c"), (None, " ".join([*base, "more"]), "d"), (4, "\u00c9 x", "e"), (5, "\u00e9 x", "f")]
     docs = packing.with_clusters(make(spark, rows))
+    assert "text" not in docs.columns
     assert sorted((r.source, r.cluster) for r in docs.collect()) == [("a", 1), ("b", 1), ("c", 3), ("d", 1), ("e", 4), ("f", 4)]
-    bins = {p.source: p.bin_id for p in packing.best_fit(docs, 1000, cluster="cluster").collect()}
+    bins = {p.source: p.bin_id for p in packing.pack_measured(docs, 1000).collect()}
     assert len({bins["a"], bins["b"], bins["d"]}) == 3 and bins["e"] != bins["f"]
+
+
+def test_a_given_cluster_column(spark):
+    docs = make(spark, [(1, "a b", "s"), (2, "c d", "t"), (3, "e f", "u")]).selectExpr("*", "CASE WHEN doc_id < 3 THEN 7 END AS mine")
+    bins = {p.doc_id: p.bin_id for p in packing.best_fit(docs, 10, cluster="mine").collect()}
+    assert bins[1] != bins[2] and bins[3] in (bins[1], bins[2])
