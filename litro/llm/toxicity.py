@@ -11,8 +11,9 @@ features are one row with a number, so the fit reads a table of patterns and not
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,27 +42,73 @@ MOST_FEATURES = 512
 ROUNDS = 200
 
 
-class _Features(dict):
-    """The features of the words met so far."""
+#: Words whose features a task remembers, and distinct words of texts that are looked up at once.
+REMEMBERED, AT_ONCE = 1 << 19, 1 << 18
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 1 << 19:
-            self.clear()
+
+def _number(part: str) -> int:
+    return xxhash.xxh3_64_intdigest(part.encode()) % FEATURES
+
+
+class _Words(dict):
+    """Numbers of the words met so far; flat has the features of each, -1 where there are fewer."""
+
+    def __init__(self):
+        super().__init__()
+        self.flat = array("q")
+
+    def __missing__(self, word: str) -> int:
         bare = word.strip(MARKS)
-        parts = [f"0{bare}"] + [f"{n}{bare[:n]}" for n in BEGINNINGS if len(bare) >= n] if bare else []
-        value = self[word] = tuple(xxhash.xxh3_64_intdigest(p.encode()) % FEATURES for p in parts)
-        return value
+        self.flat.append(_number(f"0{bare}") if bare else -1)
+        for n in BEGINNINGS:
+            self.flat.append(_number(f"{n}{bare[:n]}") if len(bare) >= n else -1)
+        at = self[word] = len(self)
+        return at
 
+    def table(self) -> np.ndarray:
+        return np.array(self.flat, np.int64).reshape(-1, 1 + len(BEGINNINGS))
 
-_FEATURES = _Features()
+    def clear(self) -> None:
+        super().clear()
+        self.flat = array("q")
 
 
-def features(text: str | None) -> list[int]:
-    """The distinct features of a whole text."""
-    found: set[int] = set()
-    for word in set((text or "").lower().split()):
-        found.update(_FEATURES[word])
-    return sorted(found)
+_WORDS = _Words()
+
+
+def shown(texts: Iterable[str | None], chosen: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each run of texts: their number, and (text, feature) pairs, distinct and sorted, texts counted from 0.
+
+    Each text is read whole. chosen: which of all features count, by number.
+    """
+    sizes: list[int] = []
+    words: list[int] = []
+
+    def run() -> tuple[int, np.ndarray, np.ndarray]:
+        found = _WORDS.table()[np.array(words, np.int64)]
+        text = np.repeat(np.arange(len(sizes)), sizes)[:, None] * FEATURES
+        wanted = found >= 0 if chosen is None else (found >= 0) & chosen[found]
+        pairs = np.sort((text + found)[wanted])
+        pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+        return len(sizes), pairs // FEATURES, pairs % FEATURES
+
+    for text in texts:
+        distinct = set((text or "").lower().split())
+        words.extend(map(_WORDS.__getitem__, distinct))
+        sizes.append(len(distinct))
+        if len(words) >= AT_ONCE:
+            yield run()
+            sizes, words = [], []
+            if len(_WORDS) > REMEMBERED:
+                _WORDS.clear()
+    if sizes:
+        yield run()
+
+
+def _flags(numbers: Iterable[int]) -> np.ndarray:
+    flags = np.zeros(FEATURES, bool)
+    flags[list(numbers)] = True
+    return flags
 
 
 @dataclass
@@ -70,11 +117,10 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def table(self) -> dict[int, float]:
-        return dict(zip(self.features.tolist(), self.weights.tolist(), strict=True))
-
-    def margin(self, text: str | None, weights: dict[int, float]) -> float:
-        return sum(weights[f] for f in features(text) if f in weights) + self.bias
+    def margins(self, texts: Iterable[str | None]) -> np.ndarray:
+        flags = _flags(self.features)
+        parts = [np.bincount(text, self.weights[np.searchsorted(self.features, f)], n) for n, text, f in shown(texts, flags)]
+        return np.concatenate([np.zeros(0), *parts]) + self.bias
 
 
 @dataclass
@@ -128,27 +174,29 @@ def non_negative_pu(x: np.ndarray, positive: np.ndarray, prior: float, rounds: i
     return minimise(rows.sums, x.shape[1], max(1, positive.sum()), max(1, (~positive).sum()), prior, rounds)
 
 
-def _counted(numbers: dict[int, int] | None):
+def _counted(numbers: list[int] | None):
     """For mapInArrow: (feature, p, u), numbers of confirmed and of other texts of a task that show it; of all features or those numbered."""
 
     def run(batches):
-        counts = {True: Counter(), False: Counter()}
+        counts = np.zeros((2, FEATURES), np.int64)
+        chosen = None if numbers is None else _flags(numbers)
         for batch in batches:
-            for positive, text in zip(batch["positive"].to_pylist(), batch["text"], strict=True):
-                found = features(text.as_py())
-                counts[positive].update(found if numbers is None else [f for f in found if f in numbers])
-        keys = sorted(counts[True].keys() | counts[False].keys())
-        columns = [pa.array([counts[k][f] for f in keys], pa.int64()) for k in (True, False)]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *columns], ["feature", "p", "u"])
+            positive, at = batch["positive"].to_numpy(zero_copy_only=False).astype(np.int64), 0
+            for n, text, feature in shown((t.as_py() for t in batch["text"]), chosen):
+                np.add.at(counts, (positive[at + text], feature), 1)
+                at += n
+        keys = np.flatnonzero(counts.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts[1, keys]), pa.array(counts[0, keys])], ["feature", "p", "u"])
 
     return run
 
 
-def _patterns(numbers: dict[int, int]):
-    """For mapInArrow: (positive, shown, n), the numbered features that n texts of a task show."""
+def _patterns(best: np.ndarray):
+    """For mapInArrow: (positive, shown, n), the places of the best features that n texts of a task show."""
 
     def run(batches):
         counts: Counter = Counter()
+        chosen = _flags(best)
 
         def flush():
             keys = list(counts)
@@ -157,8 +205,12 @@ def _patterns(numbers: dict[int, int]):
             counts.clear()
 
         for batch in batches:
-            for positive, text in zip(batch["positive"].to_pylist(), batch["text"], strict=True):
-                counts[positive, tuple(sorted(numbers[f] for f in features(text.as_py()) if f in numbers))] += 1
+            positive = iter(batch["positive"].to_pylist())
+            for n, text, feature in shown((t.as_py() for t in batch["text"]), chosen):
+                ends = np.searchsorted(text, np.arange(n + 1))
+                places = np.searchsorted(best, feature).tolist()
+                for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                    counts[next(positive), tuple(places[a:b])] += 1
             if len(counts) > 1 << 16:
                 yield from flush()
         yield from flush()
@@ -206,9 +258,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return nothing
     # First the confirmed texts alone, then in all others only what enough of these show.
     counted = "feature long, p long, u long"
-    shown = docs.join(sized(confirmed), "doc_id").select("text", "positive").mapInArrow(_counted(None), counted)
-    shown = shown.groupBy("feature").agg(F.sum("p").alias("p")).where(F.col("p") >= LEAST_CONFIRMED)
-    likely = {r.feature: r.p for r in shown.collect()}  # FEATURES numbers at most
+    own = docs.join(sized(confirmed), "doc_id").select("text", "positive").mapInArrow(_counted(None), counted)
+    own = own.groupBy("feature").agg(F.sum("p").alias("p")).where(F.col("p") >= LEAST_CONFIRMED)
+    likely = [r.feature for r in own.collect()]  # FEATURES numbers at most
     spread = texts.mapInArrow(_counted(likely), counted).groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     both = (F.col("p") + F.col("u")) / (n_p + n_u)
     deviation = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u) + 1e-12)
@@ -218,8 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     best = np.sort([r.feature for r in best.orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).collect()]).astype(np.int64)
     if not len(best):
         return nothing
-    numbers = {f: k for k, f in enumerate(best.tolist())}
-    patterns = texts.mapInArrow(_patterns(numbers), "positive boolean, shown array<int>, n long")
+    patterns = texts.mapInArrow(_patterns(best), "positive boolean, shown array<int>, n long")
     patterns = cut(patterns.groupBy("positive", "shown").agg(F.sum("n").alias("n")))
     if patterns.count() <= MOST_PATTERNS:
         rows = sorted((r.positive, r.shown, r.n) for r in patterns.collect())
@@ -231,13 +282,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs with `score`, 0 to 1, higher where the text is likelier toxic; each text is read whole. A missing text is empty."""
-    weights = model.table()
     blank = F.coalesce(docs["text"].cast("string"), F.lit(""))
 
     @F.pandas_udf("double")
     def probability(texts):
-        value = np.array([model.margin(t, weights) for t in texts])
-        return texts.__class__(1 / (1 + np.exp(-np.clip(value, -500, 500))), dtype="float64")
+        return texts.__class__(1 / (1 + np.exp(-np.clip(model.margins(texts), -500, 500))), dtype="float64")
 
     return docs.withColumn("score", probability(blank))
 
