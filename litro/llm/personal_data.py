@@ -36,6 +36,8 @@ LABELERS = ("shape", "gazetteer", "context")
 #: Code points before a candidate that the gazetteer and the context labeler read.
 BEFORE = 32
 ROUNDS = 50
+#: Entries of an array, or code points of a text, that are handled at once.
+BLOCK = 256
 
 
 def _luhn(digits: Column) -> Column:
@@ -56,22 +58,51 @@ def _valid(kind: str, match: Column) -> Column:
     return F.length(digits).between(8, 15)
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, add) -> Column:
+    """Running totals of an array of longs under `add`. Arrays grow within blocks only, so that no long array is copied for each entry."""
+
+    def within(block: Column) -> Column:
+        grown = lambda done, x: F.concat(done, F.array(F.coalesce(add(F.try_element_at(done, F.lit(-1)), x), x)))
+        return F.aggregate(block, F.array().cast("array<bigint>"), grown)
+
+    def of_blocks(blocks: Column) -> Column:
+        ends = within(F.transform(blocks, lambda b: F.element_at(b, -1)))
+        return _let(ends, lambda e: F.flatten(F.transform(blocks, lambda b, k: F.when(k == 0, b).otherwise(F.transform(b, lambda x: add(F.get(e, k - 1), x))))))
+
+    def of_values(v: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(v), F.lit(BLOCK))
+        several = _let(F.transform(starts, lambda s: within(F.slice(v, s, BLOCK))), of_blocks)
+        return F.when(F.size(v) <= BLOCK, within(v)).otherwise(several)
+
+    return _let(values, of_values)
+
+
 def _located(text: str, pattern: str) -> Column:
-    """array of (start, end, match) in code points of the pattern's matches, and what stands before each."""
+    """array of (start, end, match, before) of the pattern's matches, in code points; before is what stands before a match,
+    back to the match before the last at most."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    kind = "struct<start:bigint,end:bigint,match:string,before:string>"
-    none = F.array().cast(f"array<{kind}>")
-    first = F.struct(F.lit(0).cast("long").alias("at"), none.alias("found"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint,match:string,before:string>>")
+
+    def found(pairs: Column) -> Column:
+        ends = _running(F.transform(pairs, lambda p: (F.length(p["piece"]) + F.length(p["match"])).cast("long")), lambda a, b: a + b)
 
-    def add(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["piece"])
-        end = start + F.length(pair["match"])
-        found = F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), pair["match"].alias("match"), F.right(pair["piece"], F.lit(BEFORE)).alias("before"))
-        return F.struct(end.cast("long").alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
+        def one(end: Column, k: Column) -> Column:
+            pair, last = F.get(pairs, k), F.coalesce(F.get(pairs, k - 1)["match"], F.lit(""))
+            before = F.right(F.concat(last, pair["piece"]), F.lit(BEFORE))
+            return F.struct((end - F.length(pair["match"])).alias("start"), end.alias("end"), pair["match"].alias("match"), before.alias("before"))
 
-    pieces = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
-    pairs = F.zip_with(pieces, matches, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    return F.when(F.size(matches) == 0, none).otherwise(F.aggregate(pairs, first, add, lambda s: s["found"]))
+        return F.transform(ends, one)
+
+    def paired(m: Column) -> Column:
+        pieces = F.slice(F.split(text, pattern, -1), 1, F.size(m))
+        return F.zip_with(pieces, m, lambda p, x: F.struct(p.alias("piece"), x.alias("match")))
+
+    return _let(matches, lambda m: F.when(F.size(m) == 0, none).otherwise(_let(paired(m), found)))
 
 
 def _votes(candidate: Column) -> dict[str, Column]:
@@ -179,22 +210,42 @@ def find(docs: DataFrame) -> DataFrame:
     return base.select("doc_id", "text", F.concat("base", secret).alias("spans"))
 
 
+def _between(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points [start, end) of a text that is given in blocks of BLOCK code points."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+    block = lambda k: F.coalesce(F.get(blocks, k), F.lit(""))
+    inside = lambda place: (place % BLOCK).cast("int")
+    one = F.substring(block(first), inside(start) + 1, (end - start).cast("int"))
+    several = F.concat(F.substring(block(first), inside(start) + 1, F.lit(BLOCK)), F.array_join(F.slice(blocks, first + 2, last - first - 1), ""), F.substring(block(last), F.lit(1), inside(end)))
+    return F.when(start >= end, "").when(first == last, one).otherwise(several)
+
+
 def redact(docs: DataFrame) -> DataFrame:
-    """(doc_id, text): each span replaced by its kind in angle brackets; overlapping spans as one, by the kind of the first, the longer one."""
+    """(doc_id, text, spans, redacted): each span replaced by its kind in angle brackets; overlapping spans as one, by the
+    kind of the first, the longer one. Nulls, repeated rows and empty tables as in `find`; a missing text becomes an empty one."""
     found = find(docs)
     order = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("done"))
-
-    def add(state: Column, s: Column) -> Column:
-        plain = F.col("text").substr((state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        done = F.concat(state["done"], plain, F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        end = -s["back"]
-        joined = F.struct(F.greatest(state["at"], end).alias("at"), state["done"].alias("done"))
-        return F.when(s["start"] < state["at"], joined).otherwise(F.struct(end.alias("at"), done.alias("done")))
-
-    end = lambda s: F.concat(s["done"], F.col("text").substr((s["at"] + 1).cast("int"), F.length("text")))
-    clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate(order, first, add, end))
-    return found.select("doc_id", "text", "spans", clean.alias("redacted"))
+
+    def joined(spans: Column, reach: Column) -> Column:
+        """Spans that no earlier one reaches, each with the end of the union it opens and that of the one before."""
+        opens = F.filter(F.transform(spans, lambda s, k: F.when((k == 0) | (s["start"] >= F.get(reach, k - 1)), k)), lambda k: k.isNotNull())
+
+        def union(o: Column) -> Column:
+            end = lambda j: F.coalesce(F.get(reach, F.get(o, j + 1) - 1), F.element_at(reach, -1))
+            at = lambda k, j: F.struct(F.get(spans, k)["start"].alias("start"), F.get(spans, k)["kind"].alias("kind"), end(j).alias("end"), F.when(j == 0, F.lit(0).cast("long")).otherwise(end(j - 1)).alias("last"))
+            return F.transform(o, at)
+
+        return _let(opens, union)
+
+    def replaced(spans: Column, blocks: Column) -> Column:
+        unions = _let(_running(F.transform(spans, lambda s: -s["back"]), F.greatest), lambda reach: joined(spans, reach))
+        piece = lambda u: F.concat(_between(blocks, u["last"], u["start"]), F.lit("<"), F.upper(u["kind"]), F.lit(">"))
+        rest = lambda u: _between(blocks, F.element_at(u, -1)["end"], F.length("text").cast("long"))
+        return _let(unions, lambda u: F.concat(F.array_join(F.transform(u, piece), ""), rest(u)))
+
+    cut_up = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    clean = _let(order, lambda spans: _let(cut_up, lambda blocks: replaced(spans, blocks)))
+    return found.select("doc_id", "text", "spans", F.when(F.size("spans") == 0, F.col("text")).otherwise(clean).alias("redacted"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,6 +69,26 @@ def test_overlapping_spans(spark):
     assert got[3].redacted == "<IP> and <CARD> here" and [s.kind for s in got[3].spans] == ["ip", "card"]
 
 
+def test_very_many_matches_in_one_text(spark):
+    """Places and redaction of 60,000 matches in a text, beyond every block."""
+    unit = "\U0001f600 a.b@c.de 1.2.3.4 \u00e9\n"
+    docs = spark.createDataFrame([(1, unit * 30_000), (2, "z" * 700 + "7.7.7.7" + "y" * 600)], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: r for r in personal_data.redact(docs).collect()}
+    assert time.monotonic() - began < 60
+    assert got[1].redacted == "\U0001f600 <EMAIL> <IP> \u00e9\n" * 30_000
+    assert [tuple(s) for s in got[1].spans[:2]] == [("email", 2, 10), ("email", 23, 31)] and len(got[1].spans) == 60_000
+    assert got[2].redacted == "z" * 700 + "<IP>" + "y" * 600
+
+
+def test_names_of_many_characters_announce_a_secret(spark):
+    text = 'aws_secret_access_key = "abcdefghijklmnopqr"'
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = docs.select(F.explode(personal_data._located("text", personal_data.CANDIDATE)).alias("c"))
+    last = found.select("c.match", *[v.alias(k) for k, v in personal_data._votes(F.col("c")).items()]).collect()[-1]
+    assert last.match == "abcdefghijklmnopqr" and last.gazetteer == 1 and last.context == 1
+
+
 def test_reliabilities_tell_good_labelers():
     share, rates, post = personal_data.reliabilities({(1, 1, 1): 90, (1, 1, 0): 10, (0, 0, 0): 800, (0, 0, 1): 100})
     assert 0.05 < share < 0.2 and post[1, 1, 1] > 0.99 and post[0, 0, 1] < 0.01
