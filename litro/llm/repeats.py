@@ -8,6 +8,9 @@ Two shuffles of small rows find them without moving every window:
 2. Shards send only the stretches of windows around such grams to the buckets, equal stretches of a
    shard once, with the least document id. A bucket finds the least id of every window and answers.
 
+Hashes only propose: which stretches of a shard are equal is decided by their units, and which
+windows of two shards are, by what the caller's `meet` compares.
+
 A gram in a third of all documents reaches its bucket once from each shard, so no bucket holds a
 group that grows with the number of its copies. Texts are shuffled once; both later passes of a
 shard read the same exchange again.
@@ -30,6 +33,8 @@ from litro.llm.common import LAST_ID, id_and_text, total_bytes
 SHARD_BYTES = 8 << 20
 #: Units hashed at once; a text of any length is read in such pieces.
 CHUNK = 1 << 20
+#: Pairs of stretches compared at once.
+PAIRS = 1 << 15
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
 
@@ -74,7 +79,7 @@ def leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Stretches:
-    """Runs of windows that pick the same gram: first and last window start, gram hash, fingerprint of all units."""
+    """Runs of windows that pick the same gram: first and last window start, gram start, gram hash, fingerprint of all units."""
 
     def __init__(self, units: np.ndarray, bounds: np.ndarray, length: int, gram: int):
         valid = np.ones(len(units), bool)
@@ -94,9 +99,15 @@ class Stretches:
             low, high = s[first], s[np.r_[first[1:] - 1, len(s) - 1]]
             # Least hashes are small numbers: mixed again, they spread evenly over the buckets.
             key = mix(grams[p[first]] + np.uint64(1))
-            found.append((low + c, high + c, key, fingerprints(sums, low, high + length)))
-        none = (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
-        self.low, self.high, self.key, self.print = (np.concatenate(x) for x in zip(*(found or [none]), strict=True))
+            found.append((low + c, high + c, p[first] + c, key, fingerprints(sums, low, high + length)))
+        none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        self.low, self.high, self.gram, self.key, self.print = (np.concatenate(x) for x in zip(*(found or [none]), strict=True))
+
+
+def spread(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """start, start + 1, … of each run of `size` places, and where each run begins in it."""
+    first = np.cumsum(size) - size
+    return np.arange(size.sum()) - np.repeat(first, size) + np.repeat(start, size), first
 
 
 def by_value(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,9 +166,56 @@ class Shard:
         self.data, self.offsets = flat_bytes(self.docs["text"])
         self.ids = self.docs["doc_id"].fill_null(LAST_ID).to_numpy()
         self.units, self.bounds = to_units(self.data, self.offsets)
-        self.runs = Stretches(self.units, self.bounds, length, gram)
+        self.length, self.runs = length, Stretches(self.units, self.bounds, length, gram)
         self.owner = self.ids[np.searchsorted(self.bounds, self.runs.low, "right") - 1]
 
+    def same(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Whether stretches `one` and `other`, pair by pair, have the same units and their gram in the same place."""
+        runs = self.runs
+        same = (runs.high[one] - runs.low[one] == runs.high[other] - runs.low[other]) & (runs.gram[one] - runs.low[one] == runs.gram[other] - runs.low[other])
+        for a in range(0, len(one), PAIRS):
+            part = slice(a, a + PAIRS)
+            here = np.flatnonzero(same[part] & (one[part] != other[part])) + a
+            if not len(here):
+                continue
+            places, first = spread(runs.low[one[here]], runs.high[one[here]] - runs.low[one[here]] + self.length)
+            shift = np.repeat(runs.low[other[here]] - runs.low[one[here]], np.diff(np.r_[first, len(places)]))
+            same[here] = np.logical_and.reduceat(self.units[places] == self.units[places + shift], first)
+        return same
+
+    def answered(self, known: np.ndarray) -> np.ndarray:
+        """For each stretch its place in `known`, a list of stretches that differ from each other; -1 if it is not there.
+
+        Those of equal fingerprint are compared unit by unit, with one after another where several share it.
+        """
+        runs = self.runs
+        by = np.argsort(runs.print[known], kind="stable")
+        prints = runs.print[known][by]
+        found = np.full(len(runs.low), -1, np.int64)
+        open_, at = np.arange(len(found)), np.searchsorted(prints, runs.print)
+        while len(open_):
+            here = at < len(prints)
+            here[here] = prints[at[here]] == runs.print[open_[here]]
+            open_, at = open_[here], at[here]
+            same = self.same(open_, known[by[at]])
+            found[open_[same]] = by[at[same]]
+            open_, at = open_[~same], at[~same] + 1
+        return found
+
+    def distinct(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One of each sort of equal stretches among the chosen, and the least document id of the sort."""
+        picked, least = [], []
+        while len(chosen):
+            order, first = by_value(self.runs.print[chosen])
+            ordered = chosen[order]
+            one = np.repeat(ordered[first], np.diff(np.r_[first, len(ordered)]))
+            same = self.same(ordered, one)
+            picked.append(ordered[first])
+            least.append(np.minimum.reduceat(np.where(same, self.owner[ordered], LAST_ID), first))
+            chosen = ordered[~same]
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *picked]), np.concatenate([none, *least])
+
 
 def repeated(
     docs: DataFrame,
@@ -165,15 +223,16 @@ def repeated(
     gram: int,
     to_units: Callable,
     to_payload: Callable,
-    to_windows: Callable,
+    meet: Callable,
     finish: Callable,
     schema: str,
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """finish(shard, cover) for each shard, cover telling the units to remove.
 
-    to_units(data, offsets): units and bounds. to_payload(shard, low, high): what describes the
-    windows of these stretches. to_windows(payload, sizes): their fingerprints, in order.
+    to_units(data, offsets): units and bounds. to_payload(shard, stretches): what describes them.
+    meet([(payload, windows of each stretch, least id of each stretch) of each shard]): the least id
+    that any shard has for each window, in order, for each shard.
     """
     docs = id_and_text(docs)
     shards = max(1, -(-total_bytes(docs) // shard_bytes))
@@ -214,11 +273,9 @@ def repeated(
         hits = sorted(zip(right["bucket"].to_pylist(), right["n"].to_pylist(), right["hit"].to_pylist(), strict=True))
         hit = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for _, n, x in hits]) > 0
         chosen = np.flatnonzero(hit[np.searchsorted(np.unique(runs.key), runs.key)])
-        order, first = by_value(runs.print[chosen])
-        if not len(first):
+        one, least = shard.distinct(chosen)
+        if not len(one):
             return _table([], SENT)
-        least = np.minimum.reduceat(shard.owner[chosen][order], first)
-        one = chosen[order[first]]
         bucket = bucket_of(runs.key[one], buckets)
         by = np.argsort(bucket, kind="stable")
         one, least, bucket = one[by], least[by], bucket[by]
@@ -226,36 +283,27 @@ def repeated(
         for b, i, j in _cuts(bucket):
             low, high = runs.low[one[i:j]], runs.high[one[i:j]]
             sizes = (high - low + 1).astype(np.uint8)
-            rows.append((b, key[0].as_py(), pack(runs.print[one[i:j]]), squeeze(sizes), squeeze(least[i:j]), to_payload(shard, low, high)))
+            rows.append((b, key[0].as_py(), pack(low), squeeze(sizes), squeeze(least[i:j]), to_payload(shard, one[i:j])))
         return _table(rows, SENT)
 
     def answer(key, group):
         got = group.to_pylist()
         sizes = [expand(r["sizes"], np.uint8).astype(np.int64) for r in got]
-        windows = [to_windows(r["payload"], n) for r, n in zip(got, sizes, strict=True)]
-        # Shards meet here: each one's windows are looked up in the sorted windows of all by binary search.
-        every = np.unique(np.concatenate(windows))
-        least = np.full(len(every), LAST_ID, np.int64)
-        places = [np.searchsorted(every, w) for w in windows]
-        for r, n, at in zip(got, sizes, places, strict=True):
-            np.minimum.at(least, at, np.repeat(expand(r["least"], np.int64), n))
-        rows = [
-            (r["shard"], r["prints"], r["sizes"], pack(least[at])) for r, at in zip(got, places, strict=True)
-        ]
+        found = meet([(r["payload"], n, expand(r["least"], np.int64)) for r, n in zip(got, sizes, strict=True)])
+        rows = [(r["shard"], r["lows"], r["sizes"], pack(least)) for r, least in zip(got, found, strict=True)]
         return _table(rows, ANSWERS)
 
     def remove(key, left, right):
         shard = Shard(left, to_units, length, gram)
         starts = np.zeros(len(shard.units) + 1, np.int32)
         if right.num_rows:
-            prints = np.concatenate([unpack(x) for x in right["prints"].to_pylist()])
+            lows = np.concatenate([unpack(x) for x in right["lows"].to_pylist()]).view(np.int64)
             sizes = np.concatenate([expand(x, np.uint8) for x in right["sizes"].to_pylist()]).astype(np.int64)
             least = np.concatenate([unpack(x) for x in right["least"].to_pylist()]).view(np.int64)
-            begin, order = np.cumsum(sizes) - sizes, np.argsort(prints)
-            prints = prints[order]
-            at = np.minimum(np.searchsorted(prints, shard.runs.print), len(prints) - 1)
-            run = np.flatnonzero(prints[at] == shard.runs.print)
-            which, n = order[at[run]], (shard.runs.high - shard.runs.low + 1)[run]
+            begin = np.cumsum(sizes) - sizes
+            at = shard.answered(np.searchsorted(shard.runs.low, lows))
+            run = np.flatnonzero(at >= 0)
+            which, n = at[run], (shard.runs.high - shard.runs.low + 1)[run]
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             smaller = least[np.repeat(begin[which], n) + step] < np.repeat(shard.owner[run], n)
             starts[(np.repeat(shard.runs.low[run], n) + step)[smaller]] = 1
@@ -277,8 +325,8 @@ def repeated(
 
 GRAMS_DDL = "bucket long, shard long, grams binary, several binary"
 HITS_DDL = "shard long, bucket long, n long, hit binary"
-SENT_DDL = "bucket long, shard long, prints binary, sizes binary, least binary, payload binary"
-ANSWERS_DDL = "shard long, prints binary, sizes binary, least binary"
+SENT_DDL = "bucket long, shard long, lows binary, sizes binary, least binary, payload binary"
+ANSWERS_DDL = "shard long, lows binary, sizes binary, least binary"
 
 
 def _schema(ddl: str) -> pa.Schema:

@@ -1,9 +1,10 @@
 """Removal of word sequences that an earlier document already has, by seed and extend.
 
 Seeds are winnowed anchors: of every 50 words the 12-word gram with the least hash. Documents meet
-where they share an anchor. From it each match is extended by every number of words to the left, and
-what then lacks of 50 words to the right; an extension counts where an earlier document has the same
-words. Neighbouring matches join to maximal repeats, which are at least 50 words long.
+where they share an anchor. There each match is extended word by word to the left and to the right:
+stretches with the same words up to a distance stay in one class, of which the least document id
+counts, so that no pair of stretches is formed. A match that reaches 50 words with those of an
+earlier document is kept; neighbouring ones join to maximal repeats.
 See `repeats` for how anchors and extensions are dealt.
 """
 
@@ -12,11 +13,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litro.llm import repeats
-from litro.llm.common import table
+from litro.llm.common import LAST_ID, table
 
 LENGTH = 50
 #: Words of an anchor.
@@ -45,16 +47,75 @@ def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array(bounds)
 
 
-def _extensions(shard: repeats.Shard, low: np.ndarray, high: np.ndarray) -> bytes:
-    """Fingerprints of the 50 words of each extension of these anchors."""
-    n = high - low + 1
-    start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-    out, piece = np.zeros(len(start), np.uint64), start // repeats.CHUNK
-    for c in np.unique(piece):
-        here, begin = piece == c, int(c) * repeats.CHUNK
-        sums = repeats.prefix_sums(shard.units[begin : begin + repeats.CHUNK + LENGTH])
-        out[here] = repeats.fingerprints(sums, start[here] - begin, start[here] - begin + LENGTH)
-    return out.tobytes()
+def _payload(shard: repeats.Shard, stretches: np.ndarray) -> bytes:
+    """The distinct words of the stretches; which of them stand in each, and where its anchor is."""
+    if not hasattr(shard, "words"):
+        shard.words = [w for a, b in zip(shard.offsets[:-1].tolist(), shard.offsets[1:].tolist(), strict=True) for w in shard.data[a:b].tobytes().split()]
+    runs = shard.runs
+    place, _ = repeats.spread(runs.low[stretches], runs.high[stretches] - runs.low[stretches] + LENGTH)
+    numbers: dict[bytes, int] = {}
+    used = [numbers.setdefault(shard.words[i], len(numbers)) for i in place.tolist()]
+    vocabulary = b" ".join(numbers)
+    head = np.array([len(vocabulary), len(stretches)], np.int64).tobytes()
+    anchors = (runs.gram[stretches] - runs.low[stretches]).astype(np.uint8).tobytes()
+    return zstandard.compress(head + vocabulary + anchors + np.array(used, np.uint32).tobytes(), 1)
+
+
+def _classes(*values: np.ndarray) -> np.ndarray:
+    """A number for each distinct row of values below 2**31."""
+    both = values[0]
+    for v in values[1:]:
+        both = (both << 32) | v
+    return np.unique(both, return_inverse=True)[1]
+
+
+def meet(sent: list[tuple[bytes, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """The least document id of each window over all shards.
+
+    A stretch offers `left` words before its anchor and `right` words after it. Step d to one side
+    parts each class by the word at that distance. What agrees in l words to the left and in
+    50 - 12 - l to the right is one repeat of 50 words.
+    """
+    numbers: dict[bytes, int] = {}
+    texts, anchors = [], []
+    for payload, sizes, _ in sent:
+        raw = zstandard.decompress(payload)
+        n, stretches = np.frombuffer(raw, np.int64, 2).tolist()
+        known = np.array([numbers.setdefault(w, len(numbers)) for w in raw[16 : 16 + n].split()], np.int64)
+        anchors.append(np.frombuffer(raw, np.uint8, stretches, 16 + n).astype(np.int64))
+        texts.append(known[np.frombuffer(raw[16 + n + stretches :], np.uint32)])
+    text, left = np.concatenate(texts), np.concatenate(anchors)
+    sizes, owner = (np.concatenate([x[k] for x in sent]) for k in (1, 2))
+    begin = np.cumsum(sizes + LENGTH - 1) - (sizes + LENGTH - 1)
+    anchor, rest = begin + left, LENGTH - ANCHOR
+    right = sizes + LENGTH - 1 - left - ANCHOR
+    seed = np.zeros(len(sizes), np.int64)
+    for k in range(ANCHOR):
+        seed = _classes(seed, text[anchor + k])
+
+    def extended(offered: np.ndarray, place) -> list[np.ndarray]:
+        """Classes after 0, 1, … words to one side; what offers fewer words keeps its last class, which nobody asks for."""
+        steps = [seed]
+        for d in range(1, rest + 1):
+            here = np.flatnonzero(offered >= d)
+            now = steps[-1].copy()
+            now[here] = _classes(now[here], text[place(here, d)])
+            steps.append(now)
+        return steps
+
+    lefts = extended(left, lambda here, d: anchor[here] - d)
+    rights = extended(right, lambda here, d: anchor[here] + ANCHOR + d - 1)
+    first = np.cumsum(sizes) - sizes
+    least = np.zeros(sizes.sum(), np.int64)
+    for l in range(rest + 1):  # noqa: E741
+        here = np.flatnonzero((left >= l) & (right >= rest - l))
+        if not len(here):
+            continue
+        repeat = _classes(lefts[l][here], rights[rest - l][here])
+        best = np.full(int(repeat.max()) + 1, LAST_ID, np.int64)
+        np.minimum.at(best, repeat, owner[here])
+        least[first[here] + left[here] - l] = best[repeat]
+    return np.split(least, np.cumsum([x[1].sum() for x in sent])[:-1])
 
 
 def _finish(shard: repeats.Shard, cover: np.ndarray) -> pa.Table:
@@ -95,8 +156,8 @@ def substring_dedup(docs: DataFrame, shard_bytes: int = repeats.SHARD_BYTES) ->
         LENGTH,
         ANCHOR,
         _units,
-        _extensions,
-        lambda payload, sizes: np.frombuffer(payload, np.uint64),
+        _payload,
+        meet,
         _finish,
         "doc_id long, n_words long, n_removed long, removed array<struct<start: bigint, end: bigint>>, kept string",
         shard_bytes,

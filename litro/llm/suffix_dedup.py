@@ -1,12 +1,15 @@
 """Removal of byte strings that an earlier document already has, by suffix arrays.
 
 Each shard's stretches of text that may repeat get a suffix array (Larsson-Sadakane refinement) and
-common prefixes (Kasai's rule); suffixes with 50 bytes in common are one string. The strings of all
-shards are then merged by binary search. See `repeats` for how stretches are found and dealt.
+common prefixes (Kasai's rule); suffixes with 50 bytes in common are one string. The sorted strings of
+all shards are then merged by binary search, which compares the strings themselves. See `repeats` for
+how stretches are found and dealt.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -14,11 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litro.llm import repeats
-from litro.llm.common import table
+from litro.llm.common import LAST_ID, table
 
 LENGTH = 50
 #: Bytes of the gram that a window is found by.
 GRAM = 20
+#: Strings of a shard that are merged with those of other shards at once.
+STRINGS = 1 << 16
 
 
 def _eight(text: np.ndarray) -> np.ndarray:
@@ -98,39 +103,74 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.where(follows, shared[source] - (np.arange(n) - source), shared)
 
 
-def _payload(shard: repeats.Shard, low: np.ndarray, high: np.ndarray) -> bytes:
-    n = high - low + LENGTH
-    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+def _payload(shard: repeats.Shard, stretches: np.ndarray) -> bytes:
+    low, high = shard.runs.low[stretches], shard.runs.high[stretches]
+    place, _ = repeats.spread(low, high - low + LENGTH)
     return zstandard.compress(shard.units[place].tobytes(), 1)
 
 
-def strings(payload: bytes, sizes: np.ndarray) -> np.ndarray:
-    """A fingerprint for each window of the stretches, taken once for each class of equal suffixes."""
-    text = repeats.expand(payload, np.uint8)
-    n = sizes + LENGTH - 1
-    start = np.repeat(np.cumsum(n) - n - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-    room = np.repeat(np.cumsum(n), n) - np.arange(len(text))
-    order = suffix_array(text, LENGTH, room)
-    wanted = np.zeros(len(text), bool)
-    wanted[start] = True
-    kept = order[wanted[order]]
-    new = common_prefixes(text, kept)[kept] < LENGTH
-    new[:1] = True
-    first = kept[new]
-    value = np.zeros(len(text), np.uint64)
-    value[kept] = _fingerprints(text, first)[np.cumsum(new) - 1]
-    return value[start]
-
-
-def _fingerprints(text: np.ndarray, start: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(start), np.uint64)
-    piece = start // repeats.CHUNK
-    for c in np.unique(piece):
-        here = piece == c
-        begin = int(c) * repeats.CHUNK
-        sums = repeats.prefix_sums(text[begin : begin + repeats.CHUNK + LENGTH])
-        out[here] = repeats.fingerprints(sums, start[here] - begin, start[here] - begin + LENGTH)
-    return out
+class Strings:
+    """The distinct strings of a shard's stretches in sorted order, each with its least document id, and the string of each window."""
+
+    def __init__(self, payload: bytes, sizes: np.ndarray, least: np.ndarray):
+        self.text = text = repeats.expand(payload, np.uint8)
+        n = sizes + LENGTH - 1
+        start, _ = repeats.spread(np.cumsum(n) - n, sizes)
+        room = np.repeat(np.cumsum(n), n) - np.arange(len(text))
+        order = suffix_array(text, LENGTH, room)
+        wanted, owner = np.zeros(len(text), bool), np.zeros(len(text), np.int64)
+        wanted[start], owner[start] = True, np.repeat(least, sizes)
+        kept = order[wanted[order]]
+        new = common_prefixes(text, kept)[kept] < LENGTH
+        new[:1] = True
+        self.first = kept[new]
+        self.least = np.minimum.reduceat(owner[kept], np.flatnonzero(new))
+        number = np.zeros(len(text), np.int64)
+        number[kept] = np.cumsum(new) - 1
+        self.of_window = number[start]
+
+    def cut(self, string: bytes) -> int:
+        """How many strings are smaller."""
+        return bisect_left(range(len(self.first)), string, key=lambda k: self.text[self.first[k] : self.first[k] + LENGTH].tobytes())
+
+    def between(self, low: int, high: int) -> np.ndarray:
+        bytes_ = self.text[self.first[low:high, None] + np.arange(LENGTH)]
+        return bytes_.view(f"S{LENGTH}").ravel()
+
+
+def merged(lists: list[np.ndarray]) -> np.ndarray:
+    """The distinct strings of sorted lists, sorted: of two lists, the strings of one are looked up in the other by binary search."""
+    while len(lists) > 1:
+        pairs = [sorted(lists[k : k + 2], key=len) for k in range(0, len(lists), 2)]
+        lists = []
+        for few, *many in pairs:
+            if many:
+                at = np.searchsorted(many[0], few)
+                new = np.ones(len(few), bool)
+                inside = at < len(many[0])
+                new[inside] = many[0][at[inside]] != few[inside]
+                few = np.insert(many[0], at[new], few[new])
+            lists.append(few)
+    return lists[0]
+
+
+def meet(sent: list[tuple[bytes, np.ndarray, np.ndarray]], at_once: int = STRINGS) -> list[np.ndarray]:
+    """The least document id of each window over all shards. Strings are merged range by range, about `at_once` of a shard in each."""
+    shards = [Strings(*x) for x in sent]
+    longest = max(shards, key=lambda s: len(s.first))
+    pivots = [longest.text[p : p + LENGTH].tobytes() for p in longest.first[at_once::at_once].tolist()]
+    cuts = [[0, *(s.cut(p) for p in pivots), len(s.first)] for s in shards]
+    least = [np.zeros(len(s.first), np.int64) for s in shards]
+    for r in range(len(pivots) + 1):
+        lists = [s.between(c[r], c[r + 1]) for s, c in zip(shards, cuts, strict=True)]
+        every = merged(lists)
+        best = np.full(len(every), LAST_ID, np.int64)
+        places = [np.searchsorted(every, strings) for strings in lists]
+        for s, c, at in zip(shards, cuts, places, strict=True):
+            best[at] = np.minimum(best[at], s.least[c[r] : c[r + 1]])
+        for mine, c, at in zip(least, cuts, places, strict=True):
+            mine[c[r] : c[r + 1]] = best[at]
+    return [mine[s.of_window] for s, mine in zip(shards, least, strict=True)]
 
 
 def _finish(shard: repeats.Shard, cover: np.ndarray) -> pa.Table:
@@ -174,7 +214,7 @@ def suffix_dedup(docs: DataFrame, shard_bytes: int = repeats.SHARD_BYTES) -> Dat
         GRAM,
         lambda data, offsets: (data, offsets),
         _payload,
-        strings,
+        meet,
         _finish,
         "doc_id long, n_bytes long, removed array<struct<start: bigint, end: bigint>>, kept binary",
         shard_bytes,

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from litro.llm import substring_dedup, suffix_dedup
@@ -99,3 +100,84 @@ def test_long_text_crosses_chunks(spark, monkeypatch):
     units = np.frombuffer(long.encode(), np.uint8)
     runs = repeats.Stretches(units, np.array([0, len(units)]), 50, 20)
     assert (runs.high - runs.low + 1).sum() == len(units) - 49
+
+
+def shards_of(module, units, gram):
+    """Two shards of the texts, and all stretches of each as they are sent."""
+    from litro.llm import repeats
+
+    rows = [(i, (t or "").encode()) for i, t in some_texts() if i is not None]
+    shards, sent = [], []
+    for part in (rows[::2], rows[1::2]):
+        docs = pa.table({"doc_id": [i for i, _ in part], "text": pa.array([t for _, t in part], pa.binary())})
+        shard = repeats.Shard(docs, units, 50, gram)
+        one, least = shard.distinct(np.arange(len(shard.runs.low)))
+        sizes = shard.runs.high[one] - shard.runs.low[one] + 1
+        shards.append((shard, one, least))
+        sent.append((module._payload(shard, one), sizes, least))
+    return shards, sent
+
+
+def least_by_table(shards):
+    """The least id of each window by a plain table of windows."""
+    least = {}
+    windows = []
+    for shard, one, ids in shards:
+        mine = [
+            (tuple(shard.units[s : s + 50].tolist()), int(i))
+            for low, high, i in zip(shard.runs.low[one].tolist(), shard.runs.high[one].tolist(), ids.tolist(), strict=True)
+            for s in range(low, high + 1)
+        ]
+        windows.append([w for w, _ in mine])
+        for w, i in mine:
+            least[w] = min(i, least.get(w, i))
+    return [[least[w] for w in mine] for mine in windows]
+
+
+BYTES = (suffix_dedup, lambda data, offsets: (data, offsets), suffix_dedup.GRAM)
+WORDS = (substring_dedup, substring_dedup._units, substring_dedup.ANCHOR)
+
+
+@pytest.mark.parametrize("kind", [BYTES, WORDS])
+def test_shards_meet(kind):
+    shards, sent = shards_of(*kind)
+    assert [x.tolist() for x in kind[0].meet(sent)] == least_by_table(shards)
+
+
+def test_ranges_of_strings_do_not_matter():
+    shards, sent = shards_of(*BYTES)
+    assert [x.tolist() for x in suffix_dedup.meet(sent, at_once=7)] == least_by_table(shards)
+
+
+def test_result_hangs_on_the_suffix_order(monkeypatch):
+    shards, sent = shards_of(*BYTES)
+    sound = suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda *a: sound(*a)[::-1].copy())
+    with pytest.raises((IndexError, AssertionError)):
+        assert [x.tolist() for x in suffix_dedup.meet(sent)] == least_by_table(shards)
+
+
+def test_result_hangs_on_the_extension(monkeypatch):
+    shards, sent = shards_of(*WORDS)
+    monkeypatch.setattr(substring_dedup, "_classes", lambda *values: np.unique(values[0], return_inverse=True)[1])
+    assert [x.tolist() for x in substring_dedup.meet(sent)] != least_by_table(shards)
+
+
+@pytest.mark.parametrize("kind", [BYTES, WORDS])
+def test_equal_fingerprints_of_different_stretches(kind):
+    """With fingerprints of two bits only, stretches are told apart by their units."""
+    (shard, _, _), _ = shards_of(*kind)[0]
+    runs = shard.runs
+
+    def content(k):
+        return tuple(shard.units[runs.low[k] : runs.high[k] + 50].tolist()), int(runs.gram[k] - runs.low[k])
+
+    runs.print &= np.uint64(3)
+    one, least = shard.distinct(np.arange(len(runs.low)))
+    want = {}
+    for k in range(len(runs.low)):
+        want[content(k)] = min(int(shard.owner[k]), want.get(content(k), 1 << 62))
+    assert len(one) == len(want) and {content(k): i for k, i in zip(one.tolist(), least.tolist(), strict=True)} == want
+    at = shard.answered(one[::-1])
+    assert all(content(one[::-1][j]) == content(k) for k, j in enumerate(at.tolist()))
+    assert (shard.answered(one[:1]) >= 0).sum() == sum(content(k) == content(one[0]) for k in range(len(runs.low)))
