@@ -3,13 +3,14 @@
 A page becomes its sequence of leaf blocks. Each is read as a vector of its tag path (tags, class and
 id words, hashed to fixed signs), a histogram of its hashed words, its length and its share of link
 text. The network is fitted on a bounded sample of pages, whose blocks are labelled by what their
-tags and class words say.
+tags and class words say, or, where these name no main text, by where the most text lies.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
 
@@ -34,90 +35,195 @@ CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "t
 MAIN = frozenset("article main articlebody content post entry story".split())
 ASIDE = frozenset("head title nav header footer aside form button menu sidebar notice notices banner cookie consent ad ads advert advertisement sponsored promo comment comments reply breadcrumb breadcrumbs share social related widget newsletter subscribe login search copyright popup modal".split())
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>|<(?P<raw>{HIDDEN_TEXT})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
-_NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_START = re.compile(r"<(?:(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)|(?P<other>[!?/]))")
+#: From a tag's name to its end. A quote counts only where a value begins, as in HTML; nothing is read twice.
+_END = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+>")
+_NAMES = re.compile(r"(?:class|id|role|itemprop)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in HIDDEN_TEXT.split("|")}
+
+
+class Place:
+    """An open element as the path to it: what hangs on the whole path is added up as it grows, so that no block repeats its path."""
+
+    __slots__ = ("tag", "parts", "up", "main", "aside", "linked", "below", "_sum")
+
+    def __init__(self, parts: tuple[str, ...], up: Place | None):
+        words = {p.lstrip(".") for p in parts}
+        self.tag, self.parts, self.up = parts[0] if parts else "", parts, up
+        self.main = bool(words & MAIN) or (up is not None and up.main)
+        self.aside = bool(words & ASIDE) or (up is not None and up.aside)
+        self.linked = self.tag == "a" or (up is not None and up.linked)
+        self.below: dict[tuple[str, ...], Place] = {}
+        self._sum: np.ndarray | None = None if up else np.zeros(PATH)
+
+    def child(self, parts: tuple[str, ...]) -> Place:
+        found = self.below.get(parts)
+        if found is None:
+            found = self.below[parts] = Place(parts, self)
+        return found
+
+    def sum(self) -> np.ndarray:
+        """The sum of the path's vectors."""
+        chain, at = [], self
+        while at._sum is None:
+            chain.append(at)
+            at = at.up
+        for node in reversed(chain):
+            node._sum = sum((_PATHS[p] for p in node.parts), node.up._sum)
+        return self._sum
 
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    place: Place
     text: str
     links: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        steps, at = [], self.place
+        while at is not None:
+            steps.append(at.parts)
+            at = at.up
+        return tuple(p for parts in reversed(steps) for p in parts)
+
 
 def _parts(tag: str, rest: str) -> tuple[str, ...]:
     names = [w for m in _NAMES.finditer(rest) for w in re.split(r"[^a-z0-9]+", "".join(x or "" for x in m.groups()).lower()) if w] if "=" in rest else []
     return (tag, *("." + w for w in names))
 
 
-def blocks(page: str | None) -> list[Block]:
-    """The leaf blocks of a page in order; markup that is not closed is closed where the next block or the page ends."""
-    page = page or ""
+def tokens(page: str):
+    """(text, tag, closes, rest) in order: text with no tag, or a tag with no text. Linear in the page.
+
+    Comments, declarations and the content of HIDDEN_TEXT are left out. A tag ends as HTML says; from
+    the first one on that never does, tags end at the next `>`. A tag cut off by the page's end is left out.
+    """
+    at = look = 0
+    quoted, data_end = True, page.rfind("]]>")
+    while m := _START.search(page, look):
+        start, look = m.start(), m.end()
+        if start > at:
+            yield page[at:start], "", False, ""
+        if m["other"]:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 2)
+                at = len(page) if end < 0 else end + 3
+            elif page[start : start + 9].upper() == "<![CDATA[" and start + 9 <= data_end:
+                end = page.find("]]>", start + 9)
+                yield page[start + 9 : end], "", False, ""
+                at = end + 3
+            else:
+                end = page.find(">", look)
+                at = len(page) if end < 0 else end + 1
+        else:
+            done = _END.match(page, look) if quoted else None
+            quoted = done is not None
+            end = done.end() - 1 if done else page.find(">", look)
+            if end < 0:
+                return
+            at = end + 1
+            tag, closes, rest = m["tag"].lower(), bool(m["close"]), page[look:end]
+            if tag not in _CLOSING:
+                yield "", tag, closes, rest
+            elif not closes and not (tag == "svg" and rest.endswith("/")):
+                hidden = _CLOSING[tag].search(page, at)
+                end = page.find(">", hidden.end()) if hidden else -1
+                at = len(page) if end < 0 else end + 1
+        look = at
+    if at < len(page):
+        yield page[at:], "", False, ""
+
+
+def _decoded(text: str) -> str:
+    """Character references as characters; numbers too long for an int are beyond every character."""
+    if "&#" in text:
+        text = re.sub(r"&#[0-9]{1000,}+;?", "\ufffd", re.sub(r"&#0{8,}+", "&#0", text))
+    return html.unescape(text)
+
+
+def blocks(page: str | None, root: Place | None = None) -> list[Block]:
+    """The leaf blocks of a page in order; markup that is not closed is closed where the next block or the page ends.
+    Elements of equal paths share a place, also those of other pages, where a root is given; else each has its own."""
     found: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    at = root or Place((), None)
+    stack: list[Place] = [at]
+    opened: Counter[str] = Counter()
     pieces: list[str] = []
-    path: tuple[str, ...] = ()
-    links = at = 0
+    links = 0
 
     def end() -> None:
         nonlocal links
-        text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
+        text = " ".join(_decoded("".join(pieces)).split()) if pieces else ""
         if text:
-            found.append(Block(path, text, links))
+            found.append(Block(at, text, links))
         pieces.clear()
         links = 0
 
-    def add(text: str) -> None:
-        nonlocal path, links
-        if not pieces:
-            if text.isspace():
-                return
-            path = tuple(p for _, parts in stack for p in parts)
-        pieces.append(text)
-        if any(tag == "a" for tag, _ in stack):
-            links += len(text)
-
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        if m["data"]:
-            add(m["data"])
-        if not m["tag"]:
+    def drop(k: int) -> None:
+        opened.subtract(x.tag for x in stack[k:])
+        del stack[k:]
+
+    for text, tag, closes, rest in tokens(page or ""):
+        if not tag:
+            if pieces or not text.isspace():
+                if not pieces:
+                    at = stack[-1]
+                pieces.append(text)
+                if stack[-1].linked:
+                    links += len(text)
             continue
-        tag = m["tag"].lower()
         if tag == "br" and pieces:
             pieces.append(" ")
         if tag not in INLINE:
             end()
-        if m["close"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-        elif tag not in VOID and not m["rest"].endswith("/"):
+        if closes:
+            if opened[tag] > 0:
+                drop(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
+        elif tag not in VOID and not rest.endswith("/"):
             if tag in CLOSES:
-                for k in range(len(stack) - 1, max(-1, len(stack) - 6), -1):
-                    if stack[k][0] in CLOSES[tag]:
-                        del stack[k:]
+                for k in range(len(stack) - 1, max(0, len(stack) - 6), -1):
+                    if stack[k].tag in CLOSES[tag]:
+                        drop(k)
                         break
-                    if stack[k][0] not in INLINE:
+                    if stack[k].tag not in INLINE:
                         break
-            stack.append((tag, _parts(tag, m["rest"])))
-    if at < len(page):
-        add(page[at:])
+            parts = _parts(tag, rest)
+            stack.append(stack[-1].child(parts) if root else Place(parts, stack[-1]))
+            opened[tag] += 1
     end()
     return found
 
 
 def weak_label(block: Block) -> int:
     """1 within an article or what is named like one, and not within what is named as something beside it."""
-    words = {p.lstrip(".") for p in block.path}
-    return int(bool(words & MAIN) and not words & ASIDE)
+    return int(block.place.main and not block.place.aside)
+
+
+def weak_labels(page: list[Block]) -> np.ndarray:
+    """Labels of a page's blocks by names; where these name no main text, 1 for what lies in the element whose
+    own blocks hold the most text that is neither beside the point nor linked (of equal ones the first).
+    Elements of equal paths must not share a place here."""
+    named = np.array([weak_label(b) for b in page], int)
+    free = [b for b in page if not b.place.aside]
+    if named.any() or not free:
+        return named
+    held: dict[Place, int] = {}
+    for b in free:
+        home = b.place.up or b.place
+        held[home] = held.get(home, 0) + max(0, len(b.text) - b.links)
+    within = {max(held, key=held.__getitem__): True}
+
+    def inside(place: Place) -> bool:
+        chain = []
+        while place is not None and place not in within:
+            chain.append(place)
+            place = place.up
+        value = place is not None and within[place]
+        within.update(dict.fromkeys(chain, value))
+        return value
+
+    return np.array([int(not b.place.aside and inside(b.place)) for b in page], int)
 
 
 class _Vectors(dict):
@@ -138,19 +244,6 @@ class _Vectors(dict):
 _PATHS, _WORDS = _Vectors(PATH), _Vectors(WORDS)
 
 
-class _Sums(dict):
-    """The sum of a path's vectors, for the paths met so far."""
-
-    def __missing__(self, path: tuple[str, ...]) -> np.ndarray:
-        if len(self) > 1 << 14:
-            self.clear()
-        value = self[path] = sum((_PATHS[p] for p in path), np.zeros(PATH)).astype(np.float32)
-        return value
-
-
-_SUMS = _Sums()
-
-
 def vectors(page: list[Block]) -> np.ndarray:
     x = np.zeros((len(page), PATH + WORDS + 2), np.float32)
     words = [b.text.split() for b in page]
@@ -159,7 +252,7 @@ def vectors(page: list[Block]) -> np.ndarray:
     counts = np.bincount(np.repeat(np.arange(len(page)), n) * WORDS + bucket, minlength=len(page) * WORDS)
     x[:, PATH : PATH + WORDS] = counts.reshape(-1, WORDS) / n[:, None]
     for k, b in enumerate(page):
-        x[k, :PATH] = _SUMS[b.path]
+        x[k, :PATH] = b.place.sum()
         x[k, -2:] = np.log1p(len(b.text)) / 8, min(1.0, b.links / len(b.text))
     return x
 
@@ -295,7 +388,7 @@ def fit(pages: DataFrame, most: int = SAMPLE_PAGES) -> Network | None:
     """From all blocks of at most `most` pages. None if no block of them is labelled as main text."""
     sample = pages.select("url", "html").where("html IS NOT NULL").orderBy(F.xxhash64("url", "html"), "url").limit(most).collect()
     parsed = [p for p in (blocks(r.html) for r in sample) if p]
-    labels = [np.array([weak_label(b) for b in p]) for p in parsed]
+    labels = [weak_labels(p) for p in parsed]
     if not any(v.any() for v in labels):
         return None
     return train([w for p in parsed for w in _windows(vectors(p))], [w for v in labels for w in _windows(v)])
@@ -306,7 +399,7 @@ def main_text(pages: DataFrame, net: Network | None = None) -> DataFrame:
 
     Nulls: a missing html is empty, its text empty; a missing url or page_id stays null. Without a
     network, and where the sample shows none to learn from, blocks go by what their tags say; pages
-    without markup are one block. Repeated rows get equal texts. An empty table gives no rows.
+    without markup are one block, which is then main text. Repeated rows get equal texts. An empty table gives no rows.
     Other columns are ignored. Characters are decoded, white space in a block is one space.
     """
     pages = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
@@ -324,7 +417,7 @@ def main_text(pages: DataFrame, net: Network | None = None) -> DataFrame:
             for i in range(0, len(order), 64):
                 some = order[i : i + 64]
                 if net is None:
-                    scores = [np.array([weak_label(b) for b in batch[k]]) for k in some]
+                    scores = [weak_labels(batch[k]) for k in some]
                 else:
                     scores = probabilities(net, [vectors(batch[k]) for k in some])
                 for k, p in zip(some, scores, strict=True):
@@ -332,13 +425,13 @@ def main_text(pages: DataFrame, net: Network | None = None) -> DataFrame:
             out.extend("\n\n".join(x) for x in kept)
             batch.clear()
 
-        size = 0
+        size, root = 0, net and Place((), None)
         for page in column:
-            batch.append(blocks(page))
+            batch.append(blocks(page, root))
             size += len(batch[-1])
             if size > BATCH_BLOCKS:
                 label()
-                size = 0
+                size, root = 0, net and Place((), None)
         label()
         return column.__class__(out, dtype=object)
 

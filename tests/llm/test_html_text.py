@@ -1,7 +1,9 @@
 import random
 import re
+import time
 
 import numpy as np
+import pytest
 
 from litro.llm import html_text
 
@@ -18,6 +20,53 @@ def test_blocks_of_broken_markup():
     assert ".post" in post.path and html_text.weak_label(post) == 1
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<p title="5" pipe">hello</p>', ["hello"]),
+        ('<p a=b"c>x</p><a href=/x?a="b>y</a>', ["x", "y"]),
+        ('<p t="a>b">in</p><p t=\'a>"b\' u = "c>">on</p>', ["in", "on"]),
+        ('<p t="open>z</p><p class="q">y</p', ["y"]),
+        ("<p t='open>z</p><p>y</p>", ["z", "y"]),
+        ("a < b <3 c <p>d", ["a < b <3 c", "d"]),
+        ("a <!--> b <!---> c <!-- <p> --> d <!DOCTYPE x> e <?php f ?> g", ["a b c d e g"]),
+        ("a <svg/>b<svg><p>q</svg x> c <script-x>d</script-x>", ["a b c", "d"]),
+        ("<p>x <![CDATA[1 < 2]]> y", ["x 1 < 2 y"]),
+        ("<p>cut <a href='x", ["cut"]),
+        ("<p>&#" + "9" * 6000 + "; &#" + "0" * 6000 + "65;</p>", ["\ufffd A"]),
+    ],
+)
+def test_tags_as_html_reads_them(page, want):
+    assert [b.text for b in html_text.blocks(page)] == want
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a '", '<a ="', "<div>x", '<p =">"', "<div></x>", "<![CDATA[", "<!--", "<script", "</script ", "<b>", "<p a='>", "&#1"])
+def test_long_pages_of_broken_markup(unit):
+    """A megabyte of it; twice the length may not take four times as long."""
+    began = time.monotonic()
+    found = html_text.blocks(unit * (1_000_000 // len(unit)))
+    html_text.weak_labels(found)
+    if found:
+        html_text.vectors(found)
+    assert time.monotonic() - began < 20
+
+
+def test_pages_that_share_places_read_the_same():
+    r, root = random.Random(4), html_text.Place((), None)
+    for _, page, _ in mixed_pages(40, 4):
+        cut = page[: r.randrange(len(page))]
+        alone, shared = html_text.blocks(cut), html_text.blocks(cut, root)
+        assert [(b.path, b.text, b.links) for b in alone] == [(b.path, b.text, b.links) for b in shared]
+        assert not alone or (html_text.vectors(alone) == html_text.vectors(shared)).all()
+
+
+def test_labels_without_names():
+    page = html_text.blocks("<nav><p>much much more text than any other</p></nav><div><p>one two</p><ul><li>three</ul><p>four five</div><div><p>six</div>")
+    assert html_text.weak_labels(page).tolist() == [0, 1, 1, 1, 0]
+    assert html_text.weak_labels(html_text.blocks("<header>x</header>")).tolist() == [0]
+    assert html_text.weak_labels([]).tolist() == [] and html_text.weak_labels(html_text.blocks("plain")).tolist() == [1]
+
+
 def test_gradients_agree_with_differences():
     r = np.random.default_rng(0)
     d = html_text.PATH + html_text.WORDS + 2
@@ -135,8 +184,8 @@ def accuracy_by_layout(spark):
 
 
 def test_held_out_mixed_layouts(spark):
-    """Layouts whose tags or class words name the main text, the rare ones and the long ones too."""
+    """All layouts, the rare ones, the long ones and those that no tag or class word names too."""
     seen = accuracy_by_layout(spark)
     print(seen)
-    for layout in ("article", "post", "main", "table", "long"):
+    for layout in ("article", "post", "main", "table", "unnamed", "long"):
         assert seen[layout][0] and seen[layout][2] >= 0.95
