@@ -384,9 +384,28 @@ def _windows(values: np.ndarray) -> list[np.ndarray]:
     return np.array_split(values, -(-len(values) // SAMPLE_BLOCKS))
 
 
+def _firsts(batches):
+    """Of the rows of each hash in a partition the first."""
+    seen: set[int] = set()
+    for batch in batches:
+        new = [k for k, h in enumerate(batch["hash"].to_pylist()) if not (h in seen or seen.add(h))]
+        if new:
+            yield batch.take(new)
+
+
+def _sample(pages: DataFrame, most: int) -> list:
+    """The `most` different pages of least hash. Only hashes are sorted; then those pages are fetched, copies once."""
+    hashed = pages.select(F.xxhash64("url", "html").alias("hash"), "html").where("html IS NOT NULL")
+    least = [r.hash for r in hashed.select("hash").distinct().orderBy("hash").limit(most).collect()]
+    if not least:
+        return []
+    found = hashed.where(F.col("hash") <= least[-1]).mapInArrow(_firsts, hashed.schema)
+    return sorted(found.dropDuplicates(["hash"]).collect(), key=lambda r: r.hash)
+
+
 def fit(pages: DataFrame, most: int = SAMPLE_PAGES) -> Network | None:
-    """From all blocks of at most `most` pages. None if no block of them is labelled as main text."""
-    sample = pages.select("url", "html").where("html IS NOT NULL").orderBy(F.xxhash64("url", "html"), "url").limit(most).collect()
+    """From all blocks of at most `most` different pages. None if no block of them is labelled as main text."""
+    sample = _sample(pages.select("url", "html"), most)
     parsed = [p for p in (blocks(r.html) for r in sample) if p]
     labels = [weak_labels(p) for p in parsed]
     if not any(v.any() for v in labels):

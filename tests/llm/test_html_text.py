@@ -158,6 +158,17 @@ def test_pages_longer_than_a_window_are_learnt(spark):
         assert [b.text for b, v in zip(found, p, strict=True) if v >= 0.5] == main
 
 
+def test_sample_of_different_pages(spark):
+    """Copies of one page, however many, take one place of the sample; it is the same in any order of rows."""
+    rows = [("same", "<p>copy</p>")] * 5000 + [(f"u{k}", f"<p>{k}</p>") for k in range(300)] + [(None, "<p>no url</p>"), ("none", None)]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    every = html_text._sample(pages, 1000)
+    assert sorted(r.html for r in every) == sorted({h for _, h in rows if h is not None})
+    some = html_text._sample(pages.repartition(7).orderBy(html_text.F.rand(3)), 50)
+    assert [r.html for r in some] == [r.html for r in every[:50]]
+    assert html_text._sample(pages.where("html IS NULL"), 5) == []
+
+
 def test_windows_hold_every_block_once():
     for n in (1, 199, 200, 201, 1000, 1003):
         parts = html_text._windows(np.arange(n))
