@@ -53,10 +53,27 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 def stage(df: DataFrame, target: str, *by: str) -> DataFrame:
     """Writes `df` below the shared working folder and reads it back: all that reads it shares one
     computation that outlives lost executors. by: columns whose values become folders."""
-    df.write.partitionBy(*by).parquet(target) if by else df.write.parquet(target)
+    with open_folders(df.sparkSession):
+        df.write.partitionBy(*by).parquet(target) if by else df.write.parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
+#: Folders a task writes to at a time, at most, before it sorts what is left by folder.
+OPEN_FOLDERS = 64
+
+
+@contextmanager
+def open_folders(spark: SparkSession) -> Iterator[None]:
+    """Writes into `key=value` folders without a sort by folder: a task keeps a file open in each."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(OPEN_FOLDERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @contextmanager
 def scratch_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
     """A work folder that is deleted at the end, whether the work succeeds or fails."""

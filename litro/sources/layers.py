@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from litro.schemas import DIMENSION, GOLD, GOLD_GRAIN, PARTITION, SILVER
+from litro.session import open_folders
 from litro.sources.files import require_files
 
 PARQUET = "*.parquet"
@@ -44,16 +45,14 @@ def write_partitioned(
     """Overwrites exactly the partitions present in `df`; others on disk stay.
 
     REBALANCE lets adaptive execution merge small partitions and split large ones by size, so
-    neither many tiny files nor one task for a whole year or semester result.
+    neither many tiny files nor one task for a whole year or semester result. Rows are only sorted where
+    files are to have an order.
     """
-    (
-        df.hint("rebalance", *by)
-        .sortWithinPartitions(*by, *order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(root)
-    )
+    dealt = df.hint("rebalance", *by)
+    dealt = dealt.sortWithinPartitions(*by, *order) if order else dealt
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    with open_folders(df.sparkSession):
+        writer.parquet(root)
 
 
 def publish_silver(df: DataFrame, root: str) -> None:

@@ -21,9 +21,9 @@ from litro.plans.bronze_to_silver import bronze_to_silver
 from litro.plans.municipalities import build_dimension
 from litro.plans.silver_to_gold import silver_to_gold
 from litro.schemas import GOLD, PARTITION, RAW_HEADINGS
-from litro.session import work_folder
+from litro.session import open_folders, stage, work_folder
 from litro.sources.archives import land_archives
-from litro.sources.layers import publish_gold, publish_silver, write_partitioned
+from litro.sources.layers import publish_gold, publish_silver
 from litro.sources.remote import open_filesystem, qualified
 from litro.workload import views
 
@@ -49,8 +49,9 @@ def once(build: Callable[[SparkSession, str, str], None]) -> Callable[[SparkSess
 
 @once
 def observations(spark: SparkSession, sf_dir: str, target: str) -> None:
-    """The joined tables, stored by partition: every other layer is cut from them."""
-    write_partitioned(views.observations(spark, sf_dir), target, PARTITION)
+    """The joined tables, stored by partition: every other layer is cut from them. Rows stay in the task that
+    joined them, so they are not shuffled again for their folders."""
+    stage(views.observations(spark, sf_dir), target, *PARTITION)
 
 
 def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +61,8 @@ def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @once
 def bronze(spark: SparkSession, sf_dir: str, target: str) -> None:
     """CSV files whose headers drift: complete in most years; without the brand up to 1996;
-    with a new column, in another order, from 2000 on."""
+    with a new column, in another order, from 2000 on. Observations lie by partition already, so their text is
+    written by the tasks that read them."""
     raw = views.raw(observed(spark, sf_dir))
     data = [c for c in raw.columns if c not in PARTITION]
     year = F.col("ano")
@@ -71,10 +73,9 @@ def bronze(spark: SparkSession, sf_dir: str, target: str) -> None:
         .withColumn("Origem", F.when(F.col("Produto").isNotNull(), F.lit("coleta")))
         .select("Origem", *["`" + c + "`" for c in reversed(data)], *PARTITION),
     ]
-    for version in versions:
-        version.hint("rebalance", *PARTITION).write.mode("append").options(**CSV).partitionBy(
-            *PARTITION
-        ).csv(target)
+    with open_folders(spark):
+        for version in versions:
+            version.write.mode("append").options(**CSV).partitionBy(*PARTITION).csv(target)
 
 
 @contextmanager

@@ -7,7 +7,7 @@ tables are always used, and rows are only added or altered, never left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litro.functions.values import named
@@ -56,53 +56,63 @@ def region_field(i: int) -> Column:
     return lookup(F.col("r_name"), {name: fields[i] for name, fields in REGION.items()})
 
 
-def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+def place() -> list[Column]:
+    """Columns of a municipality, from `nations` and `regions`."""
+    state = F.when(F.col("n_nationkey") < 13, F.col("lower_uf")).otherwise(F.col("higher_uf"))
+    names = ("codigo_ibge", "municipio", "municipio_oficial", "regiao", "regiao_oficial")
+    return [*[F.col(name) for name in names], state.alias("uf")]
+
+
+def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as municipalities; the official spelling only matches after folding."""
+    return table(spark, sf_dir, "nation").select(
+        "n_nationkey",
+        "n_regionkey",
+        F.col("n_name").alias("municipio"),
+        F.replace("n_name", F.lit("NATION_"), F.lit("Natióñ-")).alias("municipio_oficial"),
+        F.col("n_nationkey").cast("string").alias("codigo_ibge"),
+    )
+
+
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("regiao", "regiao_oficial", "lower_uf", "higher_uf")
+    fields = [region_field(i).alias(name) for i, name in enumerate(names)]
+    return table(spark, sf_dir, "region").select("r_regionkey", *fields)
+
+
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "nation")
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            "n_nationkey",
-            F.col("n_name").alias("municipio"),
-            F.replace("n_name", F.lit("NATION_"), F.lit("Natióñ-")).alias("municipio_oficial"),
-            F.col("n_nationkey").cast("string").alias("codigo_ibge"),
-            region_field(0).alias("regiao"),
-            region_field(1).alias("regiao_oficial"),
-            F.when(F.col("n_nationkey") < 13, region_field(2))
-            .otherwise(region_field(3))
-            .alias("uf"),
-        )
+        nations(spark, sf_dir)
+        .join(regions(spark, sf_dir), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("n_nationkey", *place())
     )
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed, clean and matched: everything the layers are cut from. Joins carry no hints; the
-    tables' sizes decide between broadcast and shuffle."""
-    retailers = table(spark, sf_dir, "supplier").join(
-        places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    tables' sizes decide between broadcast and shuffle. The largest table is joined first, while rows are
+    narrow, and each table on its own, as the size of a join of tables is not known beforehand. Values are
+    spelt in the small tables, not once a line item."""
     day = F.col("l_shipdate").cast("date")
+    parts = table(spark, sf_dir, "part").select("p_partkey", lookup(F.col("p_type"), PRODUCT).alias("produto"), "p_brand")
     return (
         table(spark, sf_dir, "lineitem")
-        .join(retailers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nations(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(regions(spark, sf_dir), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
-            "regiao",
-            "uf",
-            "municipio",
+            *place(),
             F.col("s_name").alias("revenda"),
             F.lpad(F.col("l_suppkey").cast("string"), 14, "0").alias("cnpj_revenda"),
             F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("cep"),
-            lookup(F.col("p_type"), PRODUCT).alias("produto"),
+            "produto",
             day.alias("data_coleta"),
             F.col("l_extendedprice").cast("decimal(10,2)").alias("valor_venda"),
-            F.when(F.col("p_type") == "SMALL", "R$ / m³").otherwise("R$ / litro").alias(
+            F.when(F.col("produto") == PRODUCT["SMALL"], "R$ / m³").otherwise("R$ / litro").alias(
                 "unidade_medida"
             ),
             F.col("p_brand").alias("bandeira"),
-            "codigo_ibge",
-            "municipio_oficial",
-            "regiao_oficial",
             F.year(day).alias("ano"),
             F.when(F.month(day) <= 6, 1).otherwise(2).alias("semestre"),
             *HELPERS,
@@ -156,7 +166,7 @@ def faulty(obs: DataFrame) -> DataFrame:
 
 
 def raw(obs: DataFrame) -> DataFrame:
-    """Bronze text under the source's headings, with exact copies and blank rows added."""
+    """Bronze text under the source's headings, with exact copies and blank rows added, all in one scan."""
     cnpj, cep = F.col("cnpj_revenda"), F.col("cep")
     old_unit = (F.col("unidade_medida") == "R$ / m³") & (F.col("l_linenumber") > 3)
     text = {
@@ -182,16 +192,10 @@ def raw(obs: DataFrame) -> DataFrame:
         "Unidade de Medida": F.when(old_unit, "R$ / m3").otherwise(F.col("unidade_medida")),
         "Bandeira": F.col("bandeira"),
     }
-    blank = {heading: F.lit(None).cast("string") for heading in RAW_HEADINGS}
-
-    def rows(values: dict[str, Column], source: DataFrame) -> DataFrame:
-        return source.select(*[values[h].alias(h) for h in RAW_HEADINGS], *PARTITION)
-
-    return (
-        rows(text, obs)
-        .unionAll(rows(text, obs.where("l_quantity = 50")))
-        .unionAll(rows(blank, obs.where("l_discount = 0 AND l_tax = 0")))
-    )
+    copy = F.when(F.col("l_quantity") == 50, F.lit(False))
+    blank = F.when((F.col("l_discount") == 0) & (F.col("l_tax") == 0), F.lit(True))
+    rows = obs.withColumn("blank", F.explode(F.array(F.lit(False), copy, blank))).where("blank IS NOT NULL")
+    return rows.select(*[F.when(~F.col("blank"), text[h]).alias(h) for h in RAW_HEADINGS], *PARTITION)
 
 
 def plain_names(df: DataFrame) -> DataFrame:
@@ -232,8 +236,13 @@ def observed_lines(obs: DataFrame) -> DataFrame:
     encoded = F.hex(F.encode(spoilt, "UTF-8"))
     encoded = F.when(quantity == 6, F.concat(F.lit("C378"), encoded)).otherwise(encoded)
     group = F.pmod(F.xxhash64("cnpj_revenda", "cep", "data_coleta", "valor_venda"), F.lit(1 << 20))
-    files = F.ceil(F.count(F.lit(1)).over(Window.partitionBy(*PARTITION)) / LINES_OF_A_FILE)
-    return obs.select(*PARTITION, F.pmod(group, files).alias("line_group"), encoded.alias("line"))
+    # A row per semester: no semester is sorted in one task to learn its size.
+    files = F.ceil(F.count(F.lit(1)) / LINES_OF_A_FILE).alias("files")
+    sizes = obs.groupBy(*[F.col(c).alias(f"of_{c}") for c in PARTITION]).agg(files)
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in PARTITION]
+    return obs.join(F.broadcast(sizes), same).select(
+        *PARTITION, F.pmod(group, F.col("files")).alias("line_group"), encoded.alias("line")
+    )
 
 
 def doubtful(gold: DataFrame) -> DataFrame:
