@@ -16,6 +16,7 @@ from litro.functions.values import (
     to_price,
     unit_spelling,
 )
+from litro.operators.copies import by_copies
 from litro.schemas import (
     CRITICAL_HEADINGS,
     OPTIONAL_HEADINGS,
@@ -58,10 +59,12 @@ def drop_blank_rows(df: DataFrame) -> DataFrame:
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     """One of each fully identical source row per partition; null equals null.
 
-    Runs before the projection, so rows that differ only in a dropped column stay apart. Copies
-    are combined on the map side, so a row repeated very often costs one row per task to shuffle.
+    Runs before the projection, so rows that differ only in a dropped column stay apart. Only rows that may
+    have a copy are shuffled, and copies are combined on the map side, so a row repeated very often costs one
+    row per task to shuffle.
     """
-    return df.dropDuplicates()
+    alone, others = by_copies(df)
+    return alone.unionAll(others.dropDuplicates())
 
 
 def add_optional_columns(df: DataFrame) -> DataFrame:

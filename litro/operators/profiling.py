@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from litro.functions.values import all_null, decimal_places, named, to_date
 from litro.operators.cleaning import source_columns
+from litro.operators.copies import by_copies
 from litro.operators.quality import duplicate_keys
 from litro.schemas import PARTITION
 from litro.session import stage, work_folder
@@ -29,9 +30,16 @@ def blank_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def counted_rows(df: DataFrame, count: str) -> DataFrame:
+    """Every distinct row and how often it comes; only rows that may have a copy are shuffled."""
+    alone, others = by_copies(df)
+    met = others.groupBy(*[named(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(count))
+    return alone.withColumn(count, F.lit(1).cast("bigint")).unionAll(met)
+
+
 def exact_duplicates(df: DataFrame) -> DataFrame:
     """Rows minus distinct rows, per partition; repeated blank rows count."""
-    distinct = df.groupBy(*[named(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("n"))
+    distinct = counted_rows(df, "n")
     return distinct.groupBy(*PARTITION).agg(F.sum(F.col("n") - 1).alias("duplicatas_exatas"))
 
 
@@ -67,11 +75,11 @@ def counted_values(df: DataFrame) -> DataFrame:
     medida `valor`: rows by value of a listed column, null among them; `chave`: rows by complete candidate key;
     `padrao`: rows by which columns are null, a 1 or 0 for each. copias of them equal an earlier row.
 
-    One scan: whole rows are counted first, with map-side combine, and what is left of them is counted
-    by measure and value, so neither a frequent row nor a frequent value meets in one task.
+    Whole rows are counted first, with map-side combine, and what is left of them is counted by measure and
+    value, so neither a frequent row nor a frequent value meets in one task.
     """
     columns = source_columns(df)
-    distinct = df.groupBy(*[named(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    distinct = counted_rows(df, "_n")
 
     def entry(measure: str, column: str | None, value: Column) -> Column:
         return F.struct(F.lit(measure).alias("medida"), F.lit(column).cast("string").alias("coluna"), value.alias("valor"))

@@ -111,8 +111,7 @@ def _publish_pending(
 def rows_to_stage(spark: SparkSession, bronze: str, glob: str, headers: DataFrame, keep: Column) -> DataFrame:
     """Silver rows of some partitions with the state of their lines, dealt out for the folders they are staged in."""
     raw = scan_bronze(spark, bronze, glob, headers.where(keep), keep, with_state=True)
-    rows = to_silver(raw, strict=False).withColumn(STATE, F.coalesce(STATE, F.lit(IN_ORDER)))
-    return rows.hint("rebalance", *FOLDERS)
+    return to_silver(raw, strict=False).withColumn(STATE, F.coalesce(STATE, F.lit(IN_ORDER)))
 
 
 def malformed(staged: DataFrame) -> dict[tuple[int, int], dict[str, int]]:
