@@ -91,7 +91,7 @@ def normalize_values(df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def to_silver(df: DataFrame, strict: bool = True) -> DataFrame:
-    """The whole cleaning chain, one lazy plan with one shuffle (the de-duplication).
+    """The whole cleaning chain, one lazy plan; only the de-duplication shuffles.
 
     `strict=False` turns unreadable dates and prices into nulls, for callers that report them
     through the quality rules instead of losing the whole job to one bad row. Lines with a state are

@@ -56,8 +56,8 @@ def bronze_to_silver(
     that are not UTF-8, a violated rule or no row left is not published and, once the others are,
     reported in one error. Partitions that already have Silver files are skipped.
 
-    The raw text is read once, and shuffled twice: to find copies, and by partition as it is staged. Clean
-    partitions are then published as they were staged, by renames.
+    Of the text only rows that may have a copy are shuffled; the others are staged by the task that read them.
+    Clean partitions are then published as they were staged, by renames.
     """
     with scratch_folder(spark, "bronze-to-silver") as work:
         return _publish_pending(spark, bronze, silver, list(rules or silver_rules()), glob, work)
@@ -109,7 +109,7 @@ def _publish_pending(
 
 
 def rows_to_stage(spark: SparkSession, bronze: str, glob: str, headers: DataFrame, keep: Column) -> DataFrame:
-    """Silver rows of some partitions with the state of their lines, dealt out for the folders they are staged in."""
+    """Silver rows of some partitions with the state of their lines."""
     raw = scan_bronze(spark, bronze, glob, headers.where(keep), keep, with_state=True)
     return to_silver(raw, strict=False).withColumn(STATE, F.coalesce(STATE, F.lit(IN_ORDER)))
 

@@ -14,7 +14,7 @@ from litro.sources.delimited import file_headers, scan_bronze
 def profile_bronze(spark: SparkSession, bronze: str, glob: str = "*.csv") -> DataFrame:
     """`partition_profile`, with columns and nulls limited to what each partition's files have.
 
-    The raw text is read once, whatever the number of headers.
+    The number of headers does not change the number of scans.
     """
     headers = stage(file_headers(spark, bronze, glob), work_folder(spark, "headers"))
     profile = partition_profile(scan_bronze(spark, bronze, glob, headers))
