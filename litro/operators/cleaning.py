@@ -56,13 +56,15 @@ def drop_blank_rows(df: DataFrame) -> DataFrame:
     return df.where(~all_null(source_columns(df)))
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
+def drop_exact_duplicates(df: DataFrame, reread: bool = False) -> DataFrame:
     """One of each fully identical source row per partition; null equals null.
 
-    Runs before the projection, so rows that differ only in a dropped column stay apart. Only rows that may
-    have a copy are shuffled, and copies are combined on the map side, so a row repeated very often costs one
-    row per task to shuffle.
+    Runs before the projection, so rows that differ only in a dropped column stay apart. Copies
+    are combined on the map side, so a row repeated very often costs one row per task to shuffle. reread: for
+    a source that is cheap to read three times; only rows that may have a copy are then shuffled.
     """
+    if not reread:
+        return df.dropDuplicates()
     alone, others = by_copies(df)
     return alone.unionAll(others.dropDuplicates())
 
@@ -90,8 +92,8 @@ def normalize_values(df: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def to_silver(df: DataFrame, strict: bool = True) -> DataFrame:
-    """The whole cleaning chain, one lazy plan; only the de-duplication shuffles.
+def to_silver(df: DataFrame, strict: bool = True, reread: bool = False) -> DataFrame:
+    """The whole cleaning chain, one lazy plan with one shuffle (the de-duplication, which see for `reread`).
 
     `strict=False` turns unreadable dates and prices into nulls, for callers that report them
     through the quality rules instead of losing the whole job to one bad row. Lines with a state are
@@ -101,7 +103,7 @@ def to_silver(df: DataFrame, strict: bool = True) -> DataFrame:
     warn_unknown_headings(df)
     return (
         df.transform(drop_blank_rows)
-        .transform(drop_exact_duplicates)
+        .transform(drop_exact_duplicates, reread=reread)
         .transform(add_optional_columns)
         .transform(select_silver_names)
         .transform(normalize_values, strict=strict)

@@ -30,16 +30,17 @@ def blank_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def counted_rows(df: DataFrame, count: str) -> DataFrame:
-    """Every distinct row and how often it comes; only rows that may have a copy are shuffled."""
-    alone, others = by_copies(df)
+def counted_rows(df: DataFrame, count: str, reread: bool = False) -> DataFrame:
+    """Every distinct row and how often it comes. reread: for a source that is cheap to read three times; only
+    rows that may have a copy are then shuffled."""
+    alone, others = by_copies(df) if reread else (None, df)
     met = others.groupBy(*[named(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(count))
-    return alone.withColumn(count, F.lit(1).cast("bigint")).unionAll(met)
+    return met if alone is None else alone.withColumn(count, F.lit(1).cast("bigint")).unionAll(met)
 
 
-def exact_duplicates(df: DataFrame) -> DataFrame:
+def exact_duplicates(df: DataFrame, reread: bool = False) -> DataFrame:
     """Rows minus distinct rows, per partition; repeated blank rows count."""
-    distinct = counted_rows(df, "n")
+    distinct = counted_rows(df, "n", reread)
     return distinct.groupBy(*PARTITION).agg(F.sum(F.col("n") - 1).alias("duplicatas_exatas"))
 
 
@@ -69,17 +70,18 @@ LISTED = ("Produto", "Unidade de Medida", "Data da Coleta")
 MOST_LISTED = 1000
 
 
-def counted_values(df: DataFrame) -> DataFrame:
+def counted_values(df: DataFrame, reread: bool = False) -> DataFrame:
     """(medida, ano, semestre, coluna, valor, n, copias): all that a profile needs to know, counted in long rows.
 
     medida `valor`: rows by value of a listed column, null among them; `chave`: rows by complete candidate key;
     `padrao`: rows by which columns are null, a 1 or 0 for each. copias of them equal an earlier row.
 
-    Whole rows are counted first, with map-side combine, and what is left of them is counted by measure and
-    value, so neither a frequent row nor a frequent value meets in one task.
+    One scan (three with `reread`, see counted_rows): whole rows are counted first, with map-side combine, and
+    what is left of them is counted by measure and value, so neither a frequent row nor a frequent value meets
+    in one task.
     """
     columns = source_columns(df)
-    distinct = counted_rows(df, "_n")
+    distinct = counted_rows(df, "_n", reread)
 
     def entry(measure: str, column: str | None, value: Column) -> Column:
         return F.struct(F.lit(measure).alias("medida"), F.lit(column).cast("string").alias("coluna"), value.alias("valor"))
@@ -118,14 +120,14 @@ def value_lists(counted: DataFrame, columns: Sequence[str], most: int = MOST_LIS
     return first.groupBy(*PARTITION).agg(*listed)
 
 
-def partition_profile(df: DataFrame) -> DataFrame:
+def partition_profile(df: DataFrame, reread: bool = False) -> DataFrame:
     """One row per partition: sizes, dates, products, units, collisions, duplicates, blanks, nulls.
 
     Unreadable dates are counted and left out of the earliest and latest. Lists of products and units hold
     their first values, at most MOST_LISTED; `value_rows` has all of them. The counted rows are staged in
     the shared working folder, one folder a measure, and every metric reads them there.
     """
-    counted = stage(counted_values(df), work_folder(df.sparkSession, "profile"), "medida")
+    counted = stage(counted_values(df, reread), work_folder(df.sparkSession, "profile"), "medida")
     return profile_of_counts(counted, source_columns(df))
 
 

@@ -236,12 +236,12 @@ def drop_blank_rows(spark, sf_dir):
 
 @query
 def exact_dedup(spark, sf_dir):
-    return views.plain_names(cleaning.drop_exact_duplicates(views.raw(observed(spark, sf_dir))))
+    return views.plain_names(cleaning.drop_exact_duplicates(views.raw(observed(spark, sf_dir)), reread=True))
 
 
 @query
 def silver_transform(spark, sf_dir):
-    return comparable(cleaning.to_silver(views.raw(observed(spark, sf_dir))))
+    return comparable(cleaning.to_silver(views.raw(observed(spark, sf_dir)), reread=True))
 
 
 @query
@@ -412,7 +412,7 @@ def key_collisions(spark, sf_dir):
 
 @query
 def profile_exact_duplicates(spark, sf_dir):
-    return profiling.exact_duplicates(views.raw(observed(spark, sf_dir)))
+    return profiling.exact_duplicates(views.raw(observed(spark, sf_dir)), reread=True)
 
 
 @query
@@ -427,7 +427,7 @@ def profile_null_counts(spark, sf_dir):
 
 @query
 def partition_profile(spark, sf_dir):
-    found = profiling.partition_profile(views.raw(observed(spark, sf_dir)))
+    found = profiling.partition_profile(views.raw(observed(spark, sf_dir)), reread=True)
 
     def joined(column: str):
         return F.array_join(column, "|", "(null)").alias(column)

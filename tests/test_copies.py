@@ -25,7 +25,7 @@ def test_every_distinct_row_stays_once(spark, monkeypatch, bits):
     monkeypatch.setattr(copies, "MAP_BITS", bits)
     rows = rows_with_copies()
     df = spark.createDataFrame(rows, COLUMNS).repartition(5)
-    assert Counter(map(tuple, drop_exact_duplicates(df).collect())) == Counter(set(rows))
+    assert Counter(map(tuple, drop_exact_duplicates(df, reread=True).collect())) == Counter(set(rows))
     alone, others = (Counter(map(tuple, part.collect())) for part in copies.by_copies(df))
     assert alone + others == Counter(rows)
     assert all(n == 1 for n in alone.values()) and not set(alone) & set(others)
@@ -36,7 +36,7 @@ def test_copies_are_counted_by_partition(spark):
     expected = Counter()
     for row, n in Counter(rows_with_copies()).items():
         expected[row[2:]] += n - 1
-    assert {(r.ano, r.semestre): r.duplicatas_exatas for r in exact_duplicates(df).collect()} == dict(expected)
+    assert {(r.ano, r.semestre): r.duplicatas_exatas for r in exact_duplicates(df, reread=True).collect()} == dict(expected)
 
 
 def test_rows_without_a_copy_are_not_shuffled(spark, tmp_path):
