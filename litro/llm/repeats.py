@@ -67,15 +67,17 @@ def fingerprints(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nd
 
 
 def leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
-    """For each window of `width` values, where its least value is (the leftmost of equal ones)."""
-    least, at, span = values, np.arange(len(values), dtype=np.int32), 1
+    """For each window of `width` values, where its least value is, by all bits but the last 21 (the leftmost of equal ones).
+
+    Place and value are one number, so that a step is one minimum. Up to 2**21 values.
+    """
+    places = np.uint64((1 << 21) - 1)
+    least, span = (values & ~places) | np.arange(len(values), dtype=np.uint64), 1
     while span < width:
         d = min(span, width - span)
-        right = least[d:] < least[:-d]
-        at = np.where(right, at[d:], at[:-d])
-        least = np.where(right, least[d:], least[:-d])
+        least = np.minimum(least[d:], least[:-d])
         span += d
-    return at
+    return (least & places).astype(np.int64)
 
 
 class Stretches:
@@ -277,7 +279,7 @@ def repeated(
         if not len(one):
             return _table([], SENT)
         bucket = bucket_of(runs.key[one], buckets)
-        by = np.argsort(bucket, kind="stable")
+        by = np.lexsort((runs.key[one].astype(np.uint8), bucket))
         one, least, bucket = one[by], least[by], bucket[by]
         rows = []
         for b, i, j in _cuts(bucket):

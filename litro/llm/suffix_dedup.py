@@ -1,9 +1,9 @@
 """Removal of byte strings that an earlier document already has, by suffix arrays.
 
-Each shard's stretches of text that may repeat get a suffix array (Larsson-Sadakane refinement) and
-common prefixes (Kasai's rule); suffixes with 50 bytes in common are one string. The sorted strings of
-all shards are then merged by binary search, which compares the strings themselves. See `repeats` for
-how stretches are found and dealt.
+Stretches of text that may repeat get a suffix array (Larsson-Sadakane refinement) and common prefixes
+(Kasai's rule), equal stretches of several shards once; suffixes with 50 bytes in common are one string.
+Where the stretches around a gram fill several arrays, their sorted strings are merged by binary search,
+which compares the strings themselves. See `repeats` for how stretches are found and dealt.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from litro.llm.common import LAST_ID, table
 LENGTH = 50
 #: Bytes of the gram that a window is found by.
 GRAM = 20
-#: Strings of a shard that are merged with those of other shards at once.
+#: Windows that are sorted at once; sorted strings of a part that are merged with those of others at once.
 STRINGS = 1 << 16
 
 
@@ -104,16 +104,17 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def _payload(shard: repeats.Shard, stretches: np.ndarray) -> bytes:
+    """The bytes of the stretches, and eight bits of each one's gram."""
     low, high = shard.runs.low[stretches], shard.runs.high[stretches]
     place, _ = repeats.spread(low, high - low + LENGTH)
-    return zstandard.compress(shard.units[place].tobytes(), 1)
+    return zstandard.compress(shard.runs.key[stretches].astype(np.uint8).tobytes() + shard.units[place].tobytes(), 1)
 
 
 class Strings:
-    """The distinct strings of a shard's stretches in sorted order, each with its least document id, and the string of each window."""
+    """The distinct strings of some stretches in sorted order, each with its least document id, and the string of each window."""
 
-    def __init__(self, payload: bytes, sizes: np.ndarray, least: np.ndarray):
-        self.text = text = repeats.expand(payload, np.uint8)
+    def __init__(self, text: np.ndarray, sizes: np.ndarray, least: np.ndarray):
+        self.text = text
         n = sizes + LENGTH - 1
         start, _ = repeats.spread(np.cumsum(n) - n, sizes)
         room = np.repeat(np.cumsum(n), n) - np.arange(len(text))
@@ -124,6 +125,9 @@ class Strings:
         new = common_prefixes(text, kept)[kept] < LENGTH
         new[:1] = True
         self.first = kept[new]
+        ahead = self.text[self.first[:, None] + np.arange(8)].view(">u8").ravel()
+        if (ahead[1:] < ahead[:-1]).any():  # strings are merged by binary search
+            raise AssertionError("strings do not ascend")
         self.least = np.minimum.reduceat(owner[kept], np.flatnonzero(new))
         number = np.zeros(len(text), np.int64)
         number[kept] = np.cumsum(new) - 1
@@ -154,23 +158,74 @@ def merged(lists: list[np.ndarray]) -> np.ndarray:
     return lists[0]
 
 
-def meet(sent: list[tuple[bytes, np.ndarray, np.ndarray]], at_once: int = STRINGS) -> list[np.ndarray]:
-    """The least document id of each window over all shards. Strings are merged range by range, about `at_once` of a shard in each."""
-    shards = [Strings(*x) for x in sent]
-    longest = max(shards, key=lambda s: len(s.first))
+class Pool:
+    """The different stretches that shards sent, each once: bytes, number of windows, least document id, and bits of the gram."""
+
+    def __init__(self, sent: list[tuple[bytes, np.ndarray, np.ndarray]]):
+        sizes = np.concatenate([n for _, n, _ in sent])
+        raw = [repeats.expand(payload, np.uint8) for payload, _, _ in sent]
+        grams = np.concatenate([x[: len(n)] for x, (_, n, _) in zip(raw, sent, strict=True)])
+        data = np.concatenate([x[len(n) :] for x, (_, n, _) in zip(raw, sent, strict=True)])
+        bounds = np.r_[0, np.cumsum(sizes + LENGTH - 1)]
+        every = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        self.of_sent = every.indices.to_numpy().astype(np.int64)
+        self.text, self.bounds = repeats.flat_bytes(pa.chunked_array([every.dictionary]))
+        self.sizes = np.diff(self.bounds) - LENGTH + 1
+        self.least = np.full(len(self.sizes), LAST_ID, np.int64)
+        np.minimum.at(self.least, self.of_sent, np.concatenate([x for _, _, x in sent]))
+        self.gram = np.zeros(len(self.sizes), np.int64)
+        self.gram[self.of_sent] = grams
+
+    def strings(self, some: np.ndarray) -> Strings:
+        place, _ = repeats.spread(self.bounds[some], self.sizes[some] + LENGTH - 1)
+        return Strings(self.text[place], self.sizes[some], self.least[some])
+
+
+def _joined(parts: list[Strings], at_once: int) -> list[np.ndarray]:
+    """The least document id of each string over all parts. Strings are merged range by range, about `at_once` of a part in each."""
+    if len(parts) == 1:
+        return [parts[0].least]
+    longest = max(parts, key=lambda s: len(s.first))
     pivots = [longest.text[p : p + LENGTH].tobytes() for p in longest.first[at_once::at_once].tolist()]
-    cuts = [[0, *(s.cut(p) for p in pivots), len(s.first)] for s in shards]
-    least = [np.zeros(len(s.first), np.int64) for s in shards]
+    cuts = [[0, *(s.cut(p) for p in pivots), len(s.first)] for s in parts]
+    least = [np.zeros(len(s.first), np.int64) for s in parts]
     for r in range(len(pivots) + 1):
-        lists = [s.between(c[r], c[r + 1]) for s, c in zip(shards, cuts, strict=True)]
+        lists = [s.between(c[r], c[r + 1]) for s, c in zip(parts, cuts, strict=True)]
         every = merged(lists)
         best = np.full(len(every), LAST_ID, np.int64)
         places = [np.searchsorted(every, strings) for strings in lists]
-        for s, c, at in zip(shards, cuts, places, strict=True):
+        for s, c, at in zip(parts, cuts, places, strict=True):
             best[at] = np.minimum(best[at], s.least[c[r] : c[r + 1]])
         for mine, c, at in zip(least, cuts, places, strict=True):
             mine[c[r] : c[r + 1]] = best[at]
-    return [mine[s.of_window] for s, mine in zip(shards, least, strict=True)]
+    return least
+
+
+def meet(sent: list[tuple[bytes, np.ndarray, np.ndarray]], at_once: int = STRINGS) -> list[np.ndarray]:
+    """The least document id of each window over all shards.
+
+    Equal stretches of several shards are sorted once. Equal windows have equal grams, so that stretches
+    are sorted gram by gram, those of about `at_once` windows together; where more have the same bits of a
+    gram, the parts of them are merged.
+    """
+    pool = Pool(sent)
+    first = np.cumsum(pool.sizes) - pool.sizes
+    least = np.zeros(int(pool.sizes.sum()), np.int64)
+    groups = min(256, -(-2 * len(least) // at_once))
+    group = pool.gram * groups >> 8
+    order = np.argsort(group, kind="stable")
+    for some in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+        part = (np.cumsum(pool.sizes[some]) - 1) // at_once
+        parts = np.split(some, np.flatnonzero(np.diff(part)) + 1)
+        strings = [pool.strings(x) for x in parts]
+        for x, s, best in zip(parts, strings, _joined(strings, at_once), strict=True):
+            place, _ = repeats.spread(first[x], pool.sizes[x])
+            least[place] = best[s.of_window]
+    found = []
+    for k in np.split(pool.of_sent, np.cumsum([len(n) for _, n, _ in sent])[:-1]):
+        place, _ = repeats.spread(first[k], pool.sizes[k])
+        found.append(least[place])
+    return found
 
 
 def _finish(shard: repeats.Shard, cover: np.ndarray) -> pa.Table:

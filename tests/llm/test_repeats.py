@@ -149,6 +149,19 @@ def test_ranges_of_strings_do_not_matter():
     assert [x.tolist() for x in suffix_dedup.meet(sent, at_once=7)] == least_by_table(shards)
 
 
+def test_equal_stretches_of_shards_are_sorted_once(monkeypatch):
+    shards, sent = shards_of(*BYTES)
+    sizes, sound = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text, *a: (sizes.append(len(text)), sound(text, *a))[1])
+    suffix_dedup.meet(sent[:1])
+    once = sum(sizes)
+    sizes.clear()
+    many = [(payload, n, least + k) for k, (payload, n, least) in enumerate(sent[:1] * 5)]
+    found = [x.tolist() for x in suffix_dedup.meet(many[::-1])]
+    assert sum(sizes) == once
+    assert found == least_by_table(shards[:1]) * 5
+
+
 def test_result_hangs_on_the_suffix_order(monkeypatch):
     shards, sent = shards_of(*BYTES)
     sound = suffix_dedup.suffix_array
