@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ PERCENT = 85
 VALUES, ROWS = 8, 2
 #: A group of candidates is confirmed in blocks of so many shingles and documents at most.
 BLOCK_SHINGLES, BLOCK_DOCS = 1 << 20, 4096
+#: Texts whose words are hashed together, and their bytes; a longer text is hashed alone.
+BATCH, BATCH_BYTES = 1024, 8 << 20
 #: Members of candidate groups that may be sent to every executor: 50 MB or less.
 MOST_SENT = 400_000
 
@@ -47,56 +50,118 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]]
+
+
+def _rolled(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of each n neighbours."""
+    value = np.full(len(h) - n + 1, n, np.uint64)
+    for k in range(n):
+        value = _mix(value + h[k : len(h) - n + 1 + k])
+    return value
+
+
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles; all words as one where there are fewer."""
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    n = min(size, len(h))
-    value = np.full(len(h) - n + 1, n, np.uint64)
-    for k in range(n):
-        value = _mix(value + h[k : len(h) - n + 1 + k])
-    return np.unique(value)
+    return _distinct(_rolled(h, min(size, len(h))))
+
+
+def word_lists(texts: pa.Array) -> pa.Array:
+    """The words of each text, lower-cased in A-Z; one empty word where there are none."""
+    return pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
+
+
+def shingle_sets(lists: pa.Array, size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """`shingles` of each list of `word_lists`, and its number of words. Each different word is hashed once."""
+    flat = lists.flatten()
+    coded = flat.dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    known = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    h = known[coded.indices.to_numpy()]
+    n = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    begin = np.cumsum(n) - n
+    empty = n == 1
+    empty[empty] = pc.binary_length(flat).to_numpy()[begin[empty]] == 0
+    rolled = _rolled(h, size) if len(h) >= size else None
+    sets = []
+    for a, k, none in zip(begin.tolist(), n.tolist(), empty.tolist(), strict=True):
+        if none:
+            sets.append(np.zeros(0, np.uint64))
+        else:
+            sets.append(_distinct(rolled[a : a + k - size + 1] if k >= size else _rolled(h[a : a + k], k)))
+    return sets, np.where(empty, 0, n)
 
 
 def minhashes(values: np.ndarray) -> np.ndarray:
     least = np.full(len(_TIMES), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(values), 1 << 14):
-        np.minimum(least, (values[i : i + (1 << 14), None] * _TIMES + _PLUS).min(0), out=least)
+    for i in range(0, len(values), 1 << 12):
+        np.minimum(least, (_TIMES[:, None] * values[i : i + (1 << 12)] + _PLUS[:, None]).min(1), out=least)
     return least
 
 
-def _bands(least: np.ndarray) -> tuple[list[int], list[int]]:
-    rows = least.reshape(2, VALUES, ROWS)
-    value = rows[:, :, 0]
+def _bands(least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The band values of both collections for each row of minhashes."""
+    rows = least.reshape(-1, 2, VALUES, ROWS)
+    value = rows[..., 0]
     for k in range(1, ROWS):
-        value = _mix(value) + rows[:, :, k]
+        value = _mix(value) + rows[..., k]
     value = _mix(value).view(np.int64)
-    return value[0].tolist(), value[1].tolist()
+    return value[:, 0].ravel(), value[:, 1].ravel()
 
 
 SIGNED = "doc_id long, text_key string, n_shingles long, set_a long, set_b long, left array<long>, right array<long>"
+#: What `measured` adds to it.
+MEASURED = "source string, n long, exact long"
+
+
+def _signatures(size: int, measured: bool = False):
+    """Columns of SIGNED; measured: those of MEASURED too, exact being Spark's xxhash64 of the words joined by one space."""
+
+    def signed(batch):
+        lists = word_lists(batch["text"])
+        sets, n = shingle_sets(lists, size)
+        left, right = _bands(np.stack([minhashes(values) for values in sets]))
+        sizes, once = np.array([len(values) for values in sets]), _mix(np.concatenate(sets))
+        places = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * VALUES)
+        columns = {
+            "doc_id": batch["doc_id"],
+            "text_key": batch["text_key"],
+            "n_shingles": pa.array(sizes),
+            "set_a": pa.array(_sums(once, sizes)),
+            "set_b": pa.array(_sums(_mix(once), sizes)),
+            "left": pa.ListArray.from_arrays(places, pa.array(left)),
+            "right": pa.ListArray.from_arrays(places, pa.array(right)),
+        }
+        if measured:
+            joined = pc.binary_join(lists, " ").cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+            exact = np.array([xxhash.xxh64_intdigest(x, seed=42) for x in joined], np.uint64)
+            columns |= {"source": batch["source"], "n": pa.array(n), "exact": pa.array(exact.view(np.int64))}
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-
-def _signatures(size: int):
     def run(batches):
         for batch in batches:
-            rows = {k.split()[0]: [] for k in SIGNED.split(", ")}
-            for doc, text_key, text in zip(batch["doc_id"].to_pylist(), batch["text_key"].to_pylist(), batch["text"], strict=True):
-                values = shingles(text.as_py(), size)
-                left, right = _bands(minhashes(values))
-                row = (doc, text_key, len(values), _sum(values), _sum(_mix(values)), left, right)
-                for column, value in zip(rows.values(), row, strict=True):
-                    column.append(value)
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], list(rows))
+            size_of = np.cumsum(pc.binary_length(batch["text"]).to_numpy().astype(np.int64))
+            k = 0
+            while k < batch.num_rows:
+                full = int(np.searchsorted(size_of, (size_of[k - 1] if k else 0) + BATCH_BYTES, "right"))
+                stop = max(k + 1, min(k + BATCH, full))
+                yield signed(batch.slice(k, stop - k))
+                k = stop
 
     return run
 
 
-def _sum(values: np.ndarray) -> int:
-    return int(_mix(values).sum(dtype=np.uint64).astype(np.int64)) if len(values) else 0
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum of each run of values, modulo 2**64."""
+    sums = np.r_[np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)]
+    end = np.cumsum(sizes)
+    return (sums[end] - sums[end - sizes]).view(np.int64)
 
 
 def _sets(size: int):
@@ -149,10 +214,17 @@ def with_text_key(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("text_key", F.md5(F.coalesce(docs[text].cast("string"), F.lit(""))))
 
 
-def decisions(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """near_duplicates with text_key: rows of one doc_id and text_key have one decision."""
-    docs = with_text_key(id_and_text(docs))
-    signed = cut(docs.mapInArrow(_signatures(shingle), SIGNED))
+def decisions(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, measured: bool = False) -> DataFrame:
+    """near_duplicates with text_key: rows of one doc_id and text_key have one decision.
+
+    measured: also the row's source, the number n of its words, and a hash of these, lower-cased in A-Z, as `exact`.
+    """
+    rows = id_and_text(docs)
+    if measured:
+        rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"), docs["source"].cast("string").alias("source"))
+    rows = with_text_key(rows)
+    signed = cut(rows.mapInArrow(_signatures(shingle, measured), f"{SIGNED}, {MEASURED}" if measured else SIGNED))
+    docs = rows.select("doc_id", "text", "text_key")
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), "text_key")).alias("first")
     sets = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(
         F.min("doc_id").alias("least_id"), first, F.any_value("left").alias("left"), F.any_value("right").alias("right")
@@ -189,7 +261,8 @@ def decisions(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -
     found = found.join(least, "b").select(F.col("a").alias("vertex"), "component")
     sets = sets.select("vertex", "set_a", "set_b", "n_shingles", "least_id").join(found, "vertex", "left")
     sets = sets.select("set_a", "set_b", "n_shingles", F.coalesce("component", "least_id").alias("component"))
-    result = signed.select("doc_id", "text_key", "n_shingles", "set_a", "set_b").join(sets, ["set_a", "set_b", "n_shingles"], "left")
+    more = [c.split()[0] for c in MEASURED.split(", ")] if measured else []
+    result = signed.select("doc_id", "text_key", "n_shingles", "set_a", "set_b", *more).join(sets, ["set_a", "set_b", "n_shingles"], "left")
     component = F.coalesce("component", "doc_id")
     return result.select(
         "doc_id",
@@ -197,6 +270,7 @@ def decisions(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+        *more,
     )
 
 

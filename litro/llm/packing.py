@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litro.llm import minhash_dedup
-from litro.llm.common import table, words
+from litro.llm.common import cut, table, words
 
 #: Words of a bin.
 CAPACITY = 2048
@@ -103,21 +103,22 @@ def best_fit(docs: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROU
     return pack_measured(measured(docs, cluster), capacity, group_pieces)
 
 
-def measured(docs: DataFrame, cluster: str | None = None, *more: str) -> DataFrame:
-    """(doc_id, source, n, exact, cluster): number and hash of a text's words; what packing needs of it, and other named columns."""
+def measured(docs: DataFrame, cluster: str | None = None) -> DataFrame:
+    """(doc_id, source, n, exact, cluster): number and hash of a text's words; what packing needs of it."""
     named = (docs[cluster] if cluster else F.lit(None)).cast("long").alias("cluster")
-    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["source"].cast("string").alias("source"), named, *more)
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["source"].cast("string").alias("source"), named)
     tokens = words(F.coalesce("text", F.lit("")))
-    return docs.select("doc_id", "source", F.size(tokens).cast("long").alias("n"), F.xxhash64(F.lower(F.array_join(tokens, " "))).alias("exact"), "cluster", *more)
+    return docs.select("doc_id", "source", F.size(tokens).cast("long").alias("n"), F.xxhash64(F.lower(F.array_join(tokens, " "))).alias("exact"), "cluster")
 
 
 def pack_measured(docs: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """`best_fit` of what `measured` gives; no text is shuffled."""
+    """`best_fit` of what `measured` gives; no text is shuffled. Pieces are written once, as they are counted before they are dealt."""
     docs = docs.withColumn("cluster", F.coalesce("cluster", "exact"))
     last = F.greatest(F.lit(0), F.ceil(F.col("n") / capacity) - 1)
     pieces = docs.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("part"))
     start = F.col("part") * capacity
     pieces = pieces.select("doc_id", "part", start.alias("start"), F.least(F.col("n") - start, F.lit(capacity)).alias("length"), "source", "exact", "cluster")
+    pieces = cut(pieces)
     empty = pieces.where("length = 0").select("doc_id", "part", "start", "length", F.lit(None).cast("long").alias("bin_id"), F.lit(None).cast("long").alias("bin_offset"), "source")
     full = pieces.where("length > 0")
     groups = max(1, -(-full.count() // group_pieces))
@@ -139,15 +140,11 @@ def with_clusters(docs: DataFrame) -> DataFrame:
     """`measured` rows of docs, whose cluster is the component of near copies, five words and a similarity of 0.8 or more.
 
     Texts are compared in lower case, so that exact copies regardless of case stay one cluster. It is
-    null where a component has no doc_id. Words are counted and hashed before clusters are joined.
+    null where a component has no doc_id. Words are counted and hashed in the read that finds near copies.
     """
-    lower = F.lower(docs["text"].cast("string"))
-    keyed = minhash_dedup.with_text_key(docs.select("doc_id", "text", "source", lower.alias("lower")), "lower")
-    rows = measured(keyed, None, "text_key").drop("cluster")
-    found = minhash_dedup.decisions(docs.select("doc_id", lower.alias("text")), PERCENT, SHINGLE)
-    found = found.where("component_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), F.col("component_id").alias("cluster")).distinct()
-    both = rows.join(found, rows["doc_id"].eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
-    return both.select("doc_id", "source", "n", "exact", "cluster")
+    lower = docs.select("doc_id", F.lower(docs["text"].cast("string")).alias("text"), "source")
+    found = minhash_dedup.decisions(lower, PERCENT, SHINGLE, measured=True)
+    return found.select("doc_id", "source", "n", "exact", F.col("component_id").alias("cluster"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

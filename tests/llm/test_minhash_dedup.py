@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from litro.llm import graph, minhash_dedup
 
 
@@ -81,3 +83,15 @@ def test_components_of_a_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(0, 60)] + [(100, 200), (7, 7)], "a long, b long")
     got = {(r.a, r.b) for r in graph.components(links).collect()}
     assert got == {(k, 0) for k in range(1, 61)} | {(200, 100)}
+
+
+def test_sets_of_many_texts_are_those_of_each(monkeypatch):
+    texts = [t or "" for _, t in rows_with_copies()] + ["", " ", "a", "A b", "a b C d", " \x0b\u00c9  \u00e9\n", "\x1c x \u3000 y \x85z"]
+    for size in (1, 3, 5):
+        sets, n = minhash_dedup.shingle_sets(minhash_dedup.word_lists(pa.array(texts)), size)
+        assert [x.tolist() for x in sets] == [minhash_dedup.shingles(t, size).tolist() for t in texts]
+        assert n.tolist() == [len(t.encode().split()) for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(["k"] * len(texts)), pa.array(texts)], ["doc_id", "text_key", "text"])
+    whole = pa.Table.from_batches(minhash_dedup._signatures(3)([batch])).to_pylist()
+    monkeypatch.setattr(minhash_dedup, "BATCH_BYTES", 300)
+    assert pa.Table.from_batches(minhash_dedup._signatures(3)([batch, batch.slice(0, 0)])).to_pylist() == whole

@@ -84,3 +84,29 @@ def test_a_given_cluster_column(spark):
     docs = make(spark, [(1, "a b", "s"), (2, "c d", "t"), (3, "e f", "u")]).selectExpr("*", "CASE WHEN doc_id < 3 THEN 7 END AS mine")
     bins = {p.doc_id: p.bin_id for p in packing.best_fit(docs, 10, cluster="mine").collect()}
     assert bins[1] != bins[2] and bins[3] in (bins[1], bins[2])
+
+
+def test_texts_are_read_once_to_measure_and_once_to_compare(spark):
+    """Pieces are counted, dealt and joined by those without words; none of this reads texts again."""
+    rows = some(60)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = make(spark, rows).select("doc_id", "text", "source").mapInArrow(counted, "doc_id long, text string, source string")
+    assert len(packing.best_fit(docs).collect()) == 60
+    assert read.value == 60
+    assert len(packing.pack_measured(packing.with_clusters(docs)).collect()) == 60
+    assert read.value <= 60 + 2 * 60
+
+
+def test_words_are_measured_alike(spark):
+    """Number and hash of the words by the read for near copies are those of the expressions."""
+    texts = [None, "", " \t", "A  b\t\tC\n", "\x0b\x0c\u00c9 x\r", "\u039f\u0394\u039f\u03a3\t\u03a3 \u03a3a", "\u0130 I\u0307 \u212a", "\x1c y \x85z \u3000", "w " * 3000]
+    docs = make(spark, [(k, t, "s") for k, t in enumerate(texts)] + [(None, "A b", None), (3, "x", "t"), (3, "x", "t")])
+    columns = ("doc_id", "source", "n", "exact")
+    found = sorted(map(tuple, packing.with_clusters(docs).select(*columns).collect()), key=str)
+    assert found == sorted(map(tuple, packing.measured(docs).select(*columns).collect()), key=str)
