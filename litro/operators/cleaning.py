@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from litro.schemas import (
     CRITICAL_HEADINGS,
     OPTIONAL_HEADINGS,
     PARTITION,
+    PLACE,
     RAW_HEADINGS,
     ROW,
     SILVER_NAME_OF_HEADING,
@@ -32,7 +34,7 @@ logger = logging.getLogger(__name__)
 
 def source_columns(df: DataFrame) -> list[str]:
     """Columns that come from the file, not from its path."""
-    return [c for c in df.columns if c not in PARTITION]
+    return [c for c in df.columns if c not in (*PARTITION, PLACE)]
 
 
 def unknown_headings(df: DataFrame) -> list[str]:
@@ -56,17 +58,22 @@ def drop_blank_rows(df: DataFrame) -> DataFrame:
     return df.where(~all_null(source_columns(df)))
 
 
-def drop_exact_duplicates(df: DataFrame, reread: bool = False) -> DataFrame:
+def drop_exact_duplicates(df: DataFrame, reread: bool = False, deal: Sequence[str] = ()) -> DataFrame:
     """One of each fully identical source row per partition; null equals null.
 
     Runs before the projection, so rows that differ only in a dropped column stay apart. Copies
     are combined on the map side, so a row repeated very often costs one row per task to shuffle. reread: for
-    a source that is cheap to read three times; only rows that may have a copy are then shuffled.
+    a source that is cheap to read three times; only rows that may have a copy are then shuffled. deal: columns
+    that name the folders rows go to; the shuffled ones are dealt out by them again, the others lie as they did.
     """
     if not reread:
-        return df.dropDuplicates()
+        return dealt(df.dropDuplicates(), deal)
     alone, others = by_copies(df)
-    return alone.unionAll(others.dropDuplicates())
+    return alone.unionAll(dealt(others.dropDuplicates(), deal))
+
+
+def dealt(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *by) if by else df
 
 
 def add_optional_columns(df: DataFrame) -> DataFrame:
@@ -92,8 +99,8 @@ def normalize_values(df: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def to_silver(df: DataFrame, strict: bool = True, reread: bool = False) -> DataFrame:
-    """The whole cleaning chain, one lazy plan with one shuffle (the de-duplication, which see for `reread`).
+def to_silver(df: DataFrame, strict: bool = True, reread: bool = False, deal: Sequence[str] = ()) -> DataFrame:
+    """The whole cleaning chain, one lazy plan with one shuffle (the de-duplication, which see for `reread` and `deal`).
 
     `strict=False` turns unreadable dates and prices into nulls, for callers that report them
     through the quality rules instead of losing the whole job to one bad row. Lines with a state are
@@ -103,7 +110,7 @@ def to_silver(df: DataFrame, strict: bool = True, reread: bool = False) -> DataF
     warn_unknown_headings(df)
     return (
         df.transform(drop_blank_rows)
-        .transform(drop_exact_duplicates, reread=reread)
+        .transform(drop_exact_duplicates, reread=reread, deal=deal)
         .transform(add_optional_columns)
         .transform(select_silver_names)
         .transform(normalize_values, strict=strict)

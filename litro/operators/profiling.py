@@ -34,7 +34,7 @@ def counted_rows(df: DataFrame, count: str, reread: bool = False) -> DataFrame:
     """Every distinct row and how often it comes. reread: for a source that is cheap to read three times; only
     rows that may have a copy are then shuffled."""
     alone, others = by_copies(df) if reread else (None, df)
-    met = others.groupBy(*[named(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(count))
+    met = others.groupBy(*[named(c) for c in others.columns]).agg(F.count(F.lit(1)).alias(count))
     return met if alone is None else alone.withColumn(count, F.lit(1).cast("bigint")).unionAll(met)
 
 

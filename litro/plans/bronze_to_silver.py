@@ -22,6 +22,7 @@ from litro.sources.delimited import (
     file_headers,
     header_drift,
     scan_bronze,
+    stage_lines,
 )
 from litro.sources.files import partitions, pending
 from litro.sources.layers import PARQUET
@@ -56,8 +57,9 @@ def bronze_to_silver(
     that are not UTF-8, a violated rule or no row left is not published and, once the others are,
     reported in one error. Partitions that already have Silver files are skipped.
 
-    The raw text is read once, and shuffled twice: to find copies, and by partition as it is staged. Clean
-    partitions are then published as they were staged, by renames.
+    The raw text is read once, into a staged table of its fields. Fingerprints tell which of its rows may have a
+    copy; those are shuffled twice, to find copies and by partition, and the others not at all. Clean partitions
+    are then published as they were staged, by renames.
     """
     with scratch_folder(spark, "bronze-to-silver") as work:
         return _publish_pending(spark, bronze, silver, list(rules or silver_rules()), glob, work)
@@ -87,7 +89,7 @@ def _publish_pending(
             found.setdefault("Colunas críticas ausentes", []).append(row.coluna)
     good = [k for k in keys if k not in problems]
     if good:
-        rows = rows_to_stage(spark, bronze, glob, headers, partition_filter(good))
+        rows = rows_to_stage(spark, bronze, glob, headers, partition_filter(good), f"{work}/lines")
         require_contract(rows.drop(*FOLDERS), SILVER, "Silver")
         staged = stage(rows, f"{work}/silver", *FOLDERS)
         for key, found in malformed(staged).items():
@@ -108,11 +110,19 @@ def _publish_pending(
     return sorted(good)
 
 
-def rows_to_stage(spark: SparkSession, bronze: str, glob: str, headers: DataFrame, keep: Column) -> DataFrame:
-    """Silver rows of some partitions with the state of their lines, dealt out for the folders they are staged in."""
+def rows_to_stage(
+    spark: SparkSession, bronze: str, glob: str, headers: DataFrame, keep: Column, lines: str | None = None
+) -> DataFrame:
+    """Silver rows of some partitions with the state of their lines, dealt out for the folders they are staged in.
+
+    lines: a folder for a table of the lines' fields; rows are then taken from it, and only those that may have a
+    copy are shuffled. Without it the text itself is shuffled, all of it.
+    """
     raw = scan_bronze(spark, bronze, glob, headers.where(keep), keep, with_state=True)
-    rows = to_silver(raw, strict=False).withColumn(STATE, F.coalesce(STATE, F.lit(IN_ORDER)))
-    return rows.hint("rebalance", *FOLDERS)
+    if lines:
+        raw = stage_lines(raw, lines)
+    rows = to_silver(raw, strict=False, reread=bool(lines), deal=FOLDERS)
+    return rows.withColumn(STATE, F.coalesce(STATE, F.lit(IN_ORDER)))
 
 
 def malformed(staged: DataFrame) -> dict[tuple[int, int], dict[str, int]]:

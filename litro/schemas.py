@@ -124,6 +124,8 @@ GOLD_REQUIRED = tuple(f for f in GOLD.fieldNames() if f != "desvio_padrao")
 PARTITION = ("ano", "semestre")
 # What is wrong with a raw line, and a number that keeps such lines apart; null for lines in order.
 STATE, ROW = "_estado", "_linha"
+# Where what a row says has its bit in the map of copies, see `operators/copies`.
+PLACE = "_lugar"
 GOLD_KEYS = ("ano_mes", "codigo_ibge", "municipio", "uf", "regiao", "produto")
 GOLD_GRAIN = ("ano_mes", "codigo_ibge", "produto")
 

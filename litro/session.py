@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +53,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 def stage(df: DataFrame, target: str, *by: str) -> DataFrame:
     """Writes `df` below the shared working folder and reads it back: all that reads it shares one
     computation that outlives lost executors. by: columns whose values become folders."""
-    with open_folders(df.sparkSession):
+    with open_folders(df.sparkSession), dropped_shuffles(df.sparkSession):
         df.write.partitionBy(*by).parquet(target) if by else df.write.parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
 
@@ -63,15 +63,25 @@ OPEN_FOLDERS = 64
 
 
 @contextmanager
-def open_folders(spark: SparkSession) -> Iterator[None]:
-    """Writes into `key=value` folders without a sort by folder: a task keeps a file open in each."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(OPEN_FOLDERS))
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session with another value of one setting."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def open_folders(spark: SparkSession) -> AbstractContextManager[None]:
+    """Writes into `key=value` folders without a sort by folder: a task keeps a file open in each."""
+    return setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FOLDERS))
+
+
+def dropped_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Writes whose shuffle files are deleted once the rows are written, not when the driver's memory is cleaned up:
+    the disk then holds the shuffles of one write at a time."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 @contextmanager

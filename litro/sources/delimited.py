@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from litro.operators.copies import with_place
 from litro.schemas import CRITICAL_HEADINGS, PARTITION, RAW_HEADINGS, ROW, STATE
 from litro.session import stage, work_folder
 from litro.sources.files import partition_metadata
@@ -222,6 +223,15 @@ def scan_bronze(
     return scanned
 
 
+def stage_lines(scanned: DataFrame, target: str) -> DataFrame:
+    """A scan's rows as a table, for work that reads them several times: the text is parsed once, and the table is a
+    fraction of it. Each row has its place in the map of copies. Columns are staged under numbers, so that a heading
+    may be any text."""
+    placed = with_place(scanned)
+    numbers = [f"c{i}" for i in range(len(placed.columns))]
+    return stage(placed.toDF(*numbers), target).toDF(*placed.columns)
+
+
 def malformed_rows(scanned: DataFrame) -> DataFrame:
     """(ano, semestre, campos_excedentes, bytes_invalidos) of a scan with state: rows with more fields than their
     header, and rows whose bytes are not UTF-8. Partitions without any are left out."""

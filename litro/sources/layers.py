@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from litro.schemas import DIMENSION, GOLD, GOLD_GRAIN, PARTITION, SILVER
-from litro.session import open_folders
+from litro.session import dropped_shuffles, open_folders
 from litro.sources.files import require_files
 
 PARQUET = "*.parquet"
@@ -51,7 +51,7 @@ def write_partitioned(
     dealt = df.hint("rebalance", *by)
     dealt = dealt.sortWithinPartitions(*by, *order) if order else dealt
     writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
-    with open_folders(df.sparkSession):
+    with open_folders(df.sparkSession), dropped_shuffles(df.sparkSession):
         writer.parquet(root)
 
 
