@@ -43,9 +43,19 @@ def repeated(df: DataFrame) -> DataFrame:
     return counted.groupBy(word(F.col(PLACE)).alias("_palavra")).agg(F.bit_or(bit(F.col(PLACE))).alias("_bits"))
 
 
+def met(place: Column) -> Column:
+    """Whether a place meets a bit of the map, as the condition of a join with its words."""
+    return (word(place) == F.col("_palavra")) & (F.col("_bits").bitwiseAND(bit(place)) != 0)
+
+
+def flagged(df: DataFrame, words: DataFrame, place: Column, flag: str) -> DataFrame:
+    """Rows, each once, with a flag: whether their place meets a bit of the map."""
+    joined = df.join(F.broadcast(words), met(place), "left")
+    return joined.withColumn(flag, F.col("_bits").isNotNull()).drop("_palavra", "_bits")
+
+
 def by_copies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that have no copy, as they lie, and the rows that may have one. Together they are `df`."""
     words, rows = F.broadcast(repeated(df)), with_place(df)
-    place = F.col(PLACE)
-    met = (word(place) == F.col("_palavra")) & (F.col("_bits").bitwiseAND(bit(place)) != 0)
-    return rows.join(words, met, "left_anti").drop(PLACE), rows.join(words, met, "left_semi").drop(PLACE)
+    shared = met(F.col(PLACE))
+    return rows.join(words, shared, "left_anti").drop(PLACE), rows.join(words, shared, "left_semi").drop(PLACE)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from litro.functions.values import all_null, decimal_places, named, to_date
 from litro.operators.cleaning import source_columns
-from litro.operators.copies import by_copies
+from litro.operators.copies import by_copies, flagged, repeated
 from litro.operators.quality import duplicate_keys
 from litro.schemas import PARTITION
 from litro.session import stage, work_folder
@@ -76,9 +76,9 @@ def counted_values(df: DataFrame, reread: bool = False) -> DataFrame:
     medida `valor`: rows by value of a listed column, null among them; `chave`: rows by complete candidate key;
     `padrao`: rows by which columns are null, a 1 or 0 for each. copias of them equal an earlier row.
 
-    One scan (three with `reread`, see counted_rows): whole rows are counted first, with map-side combine, and
-    what is left of them is counted by measure and value, so neither a frequent row nor a frequent value meets
-    in one task.
+    One scan: whole rows are counted first, with map-side combine, and what is left of them is counted by measure and
+    value, so neither a frequent row nor a frequent value meets in one task. With `reread` (see counted_rows) there
+    are four, and of the keys only those are counted that may come in several rows, by their fingerprints.
     """
     columns = source_columns(df)
     distinct = counted_rows(df, "_n", reread)
@@ -89,6 +89,10 @@ def counted_values(df: DataFrame, reread: bool = False) -> DataFrame:
     complete = reduce(lambda a, b: a & b, [named(c).isNotNull() for c in CANDIDATE_KEY])
     # Lengths tell keys apart whose parts would read alike when joined.
     key = F.concat_ws(":", *[F.length(named(c)) for c in CANDIDATE_KEY], *[named(c) for c in CANDIDATE_KEY])
+    if reread:
+        parts = [named(c) for c in (*PARTITION, *CANDIDATE_KEY)]
+        distinct = flagged(distinct, repeated(df.where(complete).select(*parts)), F.xxhash64(*parts), "_varias")
+        complete = complete & F.col("_varias")
     pattern = F.concat(*[F.when(named(c).isNull(), "1").otherwise("0") for c in columns])
     entries = F.array(
         entry(PATTERN, None, pattern),
@@ -125,9 +129,11 @@ def partition_profile(df: DataFrame, reread: bool = False) -> DataFrame:
 
     Unreadable dates are counted and left out of the earliest and latest. Lists of products and units hold
     their first values, at most MOST_LISTED; `value_rows` has all of them. The counted rows are staged in
-    the shared working folder, one folder a measure, and every metric reads them there.
+    the shared working folder, one folder a measure, and every metric reads them there. Of the keys only those
+    of several rows are, as no metric asks for others.
     """
-    counted = stage(counted_values(df, reread), work_folder(df.sparkSession, "profile"), "medida")
+    counted = counted_values(df, reread).where((F.col("medida") != KEY) | (F.col("n") > 1))
+    counted = stage(counted, work_folder(df.sparkSession, "profile"), "medida")
     return profile_of_counts(counted, source_columns(df))
 
 

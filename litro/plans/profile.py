@@ -7,17 +7,20 @@ from pyspark.sql import functions as F
 
 from litro.operators.profiling import counted_values, partition_profile, value_rows
 from litro.schemas import PARTITION
-from litro.session import stage, work_folder
-from litro.sources.delimited import file_headers, scan_bronze
+from litro.session import scratch_folder, stage, work_folder
+from litro.sources.delimited import file_headers, scan_bronze, stage_lines
 
 
 def profile_bronze(spark: SparkSession, bronze: str, glob: str = "*.csv") -> DataFrame:
     """`partition_profile`, with columns and nulls limited to what each partition's files have.
 
-    The raw text is read once, whatever the number of headers.
+    The raw text is read once, whatever the number of headers, into a staged table of its fields; that is read for
+    the profile and deleted.
     """
     headers = stage(file_headers(spark, bronze, glob), work_folder(spark, "headers"))
-    profile = partition_profile(scan_bronze(spark, bronze, glob, headers))
+    with scratch_folder(spark, "bronze-profile") as work:
+        lines = stage_lines(scan_bronze(spark, bronze, glob, headers), f"{work}/lines")
+        profile = partition_profile(lines, reread=True)
     own = headers.groupBy(*PARTITION).agg(
         F.array_distinct(F.flatten(F.collect_set("colunas"))).alias("colunas")
     )

@@ -6,11 +6,14 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from litro.operators import profiling
 from litro.operators.copies import repeated
 from litro.plans import bronze_to_silver as job
+from litro.plans import profile
 from litro.schemas import PARTITION, STATE
 from litro.session import dropped_shuffles, stage, work_folder
 from litro.sources import delimited
+from litro.sources.remote import exists
 
 HEAD = "Estado - Sigla;Municipio;Revenda;CNPJ da Revenda;Complemento;Produto;Data da Coleta;Valor de Venda;Unidade de Medida"
 
@@ -99,3 +102,23 @@ def test_shuffle_files_go_with_the_write(spark, tmp_path):
     with dropped_shuffles(spark):
         assert spark.conf.get(key) == "true"
     assert spark.conf.get(key, None) == was
+
+
+def test_profile_counts_keys_that_may_repeat(spark, tmp_path, monkeypatch):
+    """The profile of staged lines is that of the text; keys of one row are not counted, the text is staged and then deleted."""
+    root, seen = raw_files(tmp_path / "in"), []
+    scanned = delimited.scan_bronze(spark, root)
+    staged = delimited.stage_lines(scanned, str(tmp_path / "lines"))
+    text, found = (profiling.counted_values(df, reread) for df, reread in ((scanned, False), (staged, True)))
+    order = ["medida", "semestre", "coluna", "valor"]
+    rows = [[tuple(r) for r in df.orderBy(*order).collect()] for df in (text, found)]
+    several = [r for r in rows[0] if r[0] != profiling.KEY or r[5] > 1]
+    assert several == rows[1] and len(several) < len(rows[0])
+    keys = {(r.semestre, r.valor.split("/")[1][:4], r.n, r.copias) for r in found.where(F.col("medida") == profiling.KEY).collect()}
+    # A line of the invalid bytes has the key of the line it was made from.
+    assert {(1, "0007", 3, 2), (1, "0008", 2, 0), (2, "0000", 2, 1)} <= keys
+    monkeypatch.setattr(profile, "stage_lines", lambda raw, target: seen.append(target) or delimited.stage_lines(raw, target))
+    got, expected = profile.profile_bronze(spark, root), profiling.partition_profile(scanned)
+    same = [c for c in expected.columns if c not in ("nulos", "colunas", "total_colunas")]
+    assert sorted(map(str, got.select(same).collect())) == sorted(map(str, expected.select(same).collect()))
+    assert len(seen) == 1 and not exists(spark, seen[0])
