@@ -9,13 +9,15 @@ import io
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from functools import partial, wraps
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from litro.functions.values import named
 from litro.operators.monthly import monthly_prices
 from litro.plans.bronze_to_silver import bronze_to_silver
 from litro.plans.municipalities import build_dimension
@@ -58,23 +60,26 @@ def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(observations(spark, sf_dir))
 
 
-@once
-def bronze(spark: SparkSession, sf_dir: str, target: str) -> None:
-    """CSV files whose headers drift: complete in most years; without the brand up to 1996;
-    with a new column, in another order, from 2000 on. Observations lie by partition already, so their text is
-    written by the tasks that read them."""
-    raw = views.raw(observed(spark, sf_dir))
+def raw_versions(obs: DataFrame) -> list[DataFrame]:
+    """Raw text by header, which drifts: complete in most years; without the brand up to 1996; with a new column, in
+    another order, from 2000 on."""
+    raw = views.raw(obs)
     data = [c for c in raw.columns if c not in PARTITION]
     year = F.col("ano")
-    versions = [
+    return [
         raw.where((year > 1996) & (year < 2000)),
         raw.where(year <= 1996).drop("Bandeira"),
         raw.where(year >= 2000)
         .withColumn("Origem", F.when(F.col("Produto").isNotNull(), F.lit("coleta")))
         .select("Origem", *["`" + c + "`" for c in reversed(data)], *PARTITION),
     ]
+
+
+@once
+def bronze(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """CSV files of the raw text. Observations lie by partition already, so it is written by the tasks that read them."""
     with open_folders(spark):
-        for version in versions:
+        for version in raw_versions(observed(spark, sf_dir)):
             version.write.mode("append").options(**CSV).partitionBy(*PARTITION).csv(target)
 
 
@@ -92,33 +97,40 @@ def one_row_batches(spark: SparkSession) -> Iterator[None]:
 
 @once
 def archives(spark: SparkSession, sf_dir: str, target: str) -> None:
-    """Every Bronze file zipped on its own, in the same folder layout."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(bronze(spark, sf_dir))
-        .select("path", "content", *PARTITION)
-    )
-    zipped = files.mapInPandas(partial(zip_files, target=qualified(spark, target)), "path string")
-    with one_row_batches(spark):
+    """The raw text as Bronze has it, zipped in the same folder layout: an archive of one file for each header,
+    task and partition. Text goes into the archives line by line, so it lies on disk packed only."""
+    for number, version in enumerate(raw_versions(observed(spark, sf_dir))):
+        headings = [c for c in version.columns if c not in PARTITION]
+        line = F.to_csv(F.struct(*[named(c) for c in headings]), CSV)
+        write = partial(zip_lines, target=qualified(spark, target), version=number, head=CSV["sep"].join(headings))
+        zipped = version.select(*PARTITION, line.alias("line")).mapInPandas(write, "path string")
         zipped.agg(F.count("path")).collect()
 
 
-def zip_files(batches: Iterator[pd.DataFrame], target: str) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        paths = []
-        for path, content, ano, half in batch.itertuples(index=False):
-            name = path.rsplit("/", 1)[-1]
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("leia-me.txt", "fonte")
-                archive.writestr(f"dados/{name}", content)
-            store, inner = open_filesystem(f"{target}/ano={ano}/semestre={half}")
-            store.create_dir(inner, recursive=True)
-            with store.open_output_stream(f"{inner}/{name}.zip") as out:
-                out.write(packed.getvalue())
-            paths.append(path)
-        yield pd.DataFrame({"path": paths})
+@contextmanager
+def zipped_text(folder: str, name: str) -> Iterator[Callable[[bytes], int]]:
+    """Writes what it is given to the file `name` of a new archive."""
+    store, inner = open_filesystem(folder)
+    store.create_dir(inner, recursive=True)
+    with store.open_output_stream(f"{inner}/{name}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("leia-me.txt", "fonte")
+        with archive.open(f"dados/{name}", "w", force_zip64=True) as member:
+            yield member.write
+
+
+def zip_lines(batches: Iterator[pd.DataFrame], target: str, version: int, head: str) -> Iterator[pd.DataFrame]:
+    """Zips the lines of each partition as they come. A task that is repeated writes the same archives anew."""
+    name = f"{version}-{TaskContext.get().partitionId():05d}.csv"
+    with ExitStack() as stack:
+        archives = {}
+        for batch in batches:
+            for (ano, half), lines in batch.groupby(list(PARTITION))["line"]:
+                folder = f"{target}/ano={ano}/semestre={half}"
+                if folder not in archives:
+                    archives[folder] = stack.enter_context(zipped_text(folder, name))
+                    archives[folder](f"{head}\n".encode())
+                archives[folder](("\n".join(lines) + "\n").encode())
+    yield pd.DataFrame({"path": [f"{folder}/{name}.zip" for folder in archives]}, dtype="object")
 
 
 def zip_of(members: dict[str, bytes]) -> bytes:

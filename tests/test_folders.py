@@ -1,10 +1,15 @@
 """Layers cut from the tables: which rows they hold, and that writing them moves no rows."""
 
+import zipfile
 from collections import Counter
+from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from litro.session import stage
+from litro.sources.archives import land_archives
+from litro.sources.delimited import scan_bronze
 from litro.workload import folders, views
 
 
@@ -64,3 +69,40 @@ def test_layers_are_written_without_a_shuffle_for_folders(spark, tmp_path, monke
 def test_semester_sizes_need_no_window(spark, tmp_path):
     lines = views.observed_lines(views.observations(spark, lineitems(spark, str(tmp_path))))
     assert "Window" not in plan_of(lines) and lines.count() == 5
+
+
+def text_of_three_headers(spark, folder):
+    """Observations of years with each of the headers, a name that needs quotes, copies, blank rows and nulls."""
+    obs = views.observations(spark, lineitems(spark, folder))
+    years = spark.createDataFrame([(1996,), (1998,), (2001,)], "y int")
+    name = F.when(F.col("l_linenumber") == 1, 'POSTO; "A"\\').when(F.col("l_linenumber") == 3, "").otherwise(F.col("revenda"))
+    day = F.make_date("y", F.month("data_coleta"), F.dayofmonth("data_coleta"))
+    return obs.crossJoin(years).withColumns({"ano": F.col("y"), "data_coleta": day, "revenda": name}).drop("y").repartition(3)
+
+
+def test_archives_hold_the_raw_text_without_a_copy_of_it_on_disk(spark, tmp_path, monkeypatch):
+    obs = stage(text_of_three_headers(spark, str(tmp_path / "in")), str(tmp_path / "obs"))
+    monkeypatch.setattr(folders, "observed", lambda *_: obs)
+    with monkeypatch.context() as patch:
+        patch.setattr(folders, "bronze", None)
+        archives = folders.archives(spark, str(tmp_path / "in"))
+    manifest = land_archives(spark, archives, str(tmp_path / "landed"))
+    assert manifest.where("erro IS NOT NULL").isEmpty() and manifest.select("ano").distinct().count() == 3
+    landed, written = (
+        Counter(tuple(r.asDict().items()) for r in scan_bronze(spark, root).collect())
+        for root in (str(tmp_path / "landed"), folders.bronze(spark, str(tmp_path / "in")))
+    )
+    assert landed == written and sum(landed.values()) == views.raw(obs).count()
+
+
+def test_an_archive_is_written_as_its_lines_come(tmp_path, monkeypatch):
+    """Two partitions that alternate over the batches: an archive each, with all lines in order, the same when repeated."""
+    monkeypatch.setattr(folders.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 7))
+    batches = [pd.DataFrame({"ano": [2000, 2001, 2000], "semestre": [1, 2, 1], "line": [f"é{i}", f"b{i}", f"c{i}"]}) for i in range(3)]
+    for _ in range(2):
+        (paths,) = folders.zip_lines(iter(batches), str(tmp_path), 2, "A")
+    assert sorted(paths["path"]) == [f"{tmp_path}/ano=2000/semestre=1/2-00007.csv.zip", f"{tmp_path}/ano=2001/semestre=2/2-00007.csv.zip"]
+    assert sorted(str(p) for p in tmp_path.rglob("*.zip")) == sorted(paths["path"])
+    with zipfile.ZipFile(tmp_path / "ano=2000" / "semestre=1" / "2-00007.csv.zip") as archive:
+        assert archive.namelist() == ["leia-me.txt", "dados/2-00007.csv"]
+        assert archive.read("dados/2-00007.csv").decode() == "A\né0\nc0\né1\nc1\né2\nc2\n"
