@@ -30,7 +30,8 @@ def price_histogram(prices: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def price_statistics(histogram: DataFrame, keys: Sequence[str] = GOLD_KEYS) -> DataFrame:
-    """Mean, exact median, minimum, maximum, sample deviation and count from (keys, price, n)."""
+    """Mean, exact median, minimum, maximum, sample deviation and count from (keys, price, n), where a price may
+    come in several rows of a key."""
     ordered = Window.partitionBy(*keys).orderBy("valor_venda")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -73,12 +74,10 @@ def monthly_prices_of_places(silver: DataFrame, dimension: DataFrame) -> DataFra
 
     Equal to `monthly_prices(enrich(silver, dimension))`: the match depends only on state and
     name, and counts add up when names of one municipality meet. Far fewer rows are folded,
-    joined and shuffled on the wide key.
+    joined and shuffled on the wide key, and that once: the statistics take a price in several rows.
     """
     counted = price_histogram(silver, PLACE_KEYS)
-    coded = enrich(counted, dimension)
-    merged = coded.groupBy(*GOLD_KEYS, "valor_venda").agg(F.sum("n").alias("n"))
-    return price_statistics(merged).select(GOLD.fieldNames())
+    return price_statistics(enrich(counted, dimension)).select(GOLD.fieldNames())
 
 
 def sorted_prices(gold: DataFrame) -> DataFrame:

@@ -1,12 +1,13 @@
 """Disk that the file jobs take: text is parsed once into a staged table, and only what may be a copy is shuffled."""
 
+import statistics
 import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from litro.operators import profiling
+from litro.operators import monthly, profiling
 from litro.operators.copies import repeated
 from litro.plans import bronze_to_silver as job
 from litro.plans import profile
@@ -122,3 +123,19 @@ def test_profile_counts_keys_that_may_repeat(spark, tmp_path, monkeypatch):
     same = [c for c in expected.columns if c not in ("nulos", "colunas", "total_colunas")]
     assert sorted(map(str, got.select(same).collect())) == sorted(map(str, expected.select(same).collect()))
     assert len(seen) == 1 and not exists(spark, seen[0])
+
+
+def test_gold_is_shuffled_twice(spark, tmp_path):
+    """By place and price, and by the wide key; a price that two spellings of a municipality have is in two rows there."""
+    places = [("1", "São Jorge", "RS", "Sul", "SAO JORGE")]
+    stage(spark.createDataFrame(places, "codigo_ibge string, municipio string, uf string, regiao string, municipio_match string"), str(tmp_path / "d"))
+    prices = [(name, price) for name in ("SAO JORGE", "São Jorge") for price in ("1.00", "3.00", "3.00", "9.00", None)] + [("SAO JORGE", "2.00")] * 4
+    rows = [("RS", name, "GNV", price) for name, price in prices]
+    silver = spark.createDataFrame(rows, "uf string, municipio string, produto string, valor string")
+    silver = silver.select("uf", "municipio", "produto", F.lit("2024-03-07").cast("date").alias("data_coleta"), F.col("valor").cast("decimal(10,2)").alias("valor_venda"))
+    gold = monthly.monthly_prices_of_places(silver, spark.read.parquet(str(tmp_path / "d")))
+    assert gold._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    row = gold.collect()
+    assert len(row) == 1 and (row[0].preco_medio, row[0].preco_mediano, row[0].preco_minimo, row[0].preco_maximo) == (40 / 12, 2.5, 1.0, 9.0)
+    known = [1, 3, 3, 9] * 2 + [2] * 4
+    assert abs(row[0].desvio_padrao - statistics.stdev(known)) < 1e-12 and row[0].qtd_coletas == 14
